@@ -60,3 +60,10 @@ for _m in MODELS:
         _c = _ARRAY_MODELS[_m]
         _sel = f"select * replace (array_to_string({_c}, ',') as {_c}) from {_m}"
     register(_m, _model_query(_m), O.model_sql(_m, select=_sel))
+
+
+def _load_operator_queries() -> None:
+    from relaymart.plans import operator_queries  # noqa: F401  (registers on import)
+
+
+_load_operator_queries()

@@ -12,16 +12,14 @@ driver table with a fixed rule. Every rule reads its whole driver table:
 * every ``orders`` row is a form submission: status ``P`` ones arrive through
   Webflow, all others through Netlify.
 
-Each rule exists twice, as Spark column expressions (``SPARK_SELECTS``) and as
-DuckDB SQL (``DUCKDB_SOURCES``), so the DuckDB oracle can inline the same
+Each rule is written once in the SQL subset both engines share and rendered
+for Spark (``SPARK_DERIVATIONS``) and for DuckDB (``duckdb_source_sql``), so the DuckDB oracle can inline the same
 source as a CTE. Both texts use only ``||``, ``case``, casts and arithmetic
 that mean the same in both engines.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +41,6 @@ SOURCE_NAMES = (
 )
 
 
-@dataclass(frozen=True)
-class Derivation:
-    driver_table: str
-    where: str | None            # shared SQL predicate text (both engines)
-    spark_columns: tuple[str, ...]  # Spark SQL expressions "expr as name"
-
-
 _SG_EVENT = (
     "case event_type when 'view' then 'open' when 'click' then 'click' "
     "when 'signup' then 'group_resubscribe' when 'purchase' then 'delivered' "
@@ -148,8 +139,9 @@ def _derivations(idiv: str, epoch_seconds: str, add_days: str) -> dict[str, tupl
             "ts as event_created_at",
             "'rem-' || cast(event_id % 60 as string) as email_id",
             "ARRAY_CTOR('User' || cast(user_id as string) || '@example.com', "
-            "case when event_id % 7 = 0 then cast(null as string) else ' user' || "
-            "cast(user_id + 1 as string) || '@EXAMPLE.com' end) as to_addresses",
+            "case when event_id % 7 = 0 then cast(null as string) "
+            "when event_id % 11 = 0 then 'USER' || cast(user_id as string) || '@example.com ' "
+            "else ' user' || cast(user_id + 1 as string) || '@EXAMPLE.com' end) as to_addresses",
             f"{_RE_SUBJECT} as subject",
             "case when event_type = 'click' then '10.1.0.' || cast(user_id % 250 as string) "
             "else '' end as click_ip_address",
