@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaymart.plans.graph import MODELS, ModelGraph
-from relaymart.session import apply_defaults
+from relaymart.session import apply_defaults, work_path
 from relaymart.sources.fixtures import load_sources
 from relaymart.testing import oracle as O
 
@@ -27,9 +27,26 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def graph(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> ModelGraph:
+def graph(spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
+          materialize: bool = False) -> ModelGraph:
+    """The model graph over the sources derived from ``sf_dir``.
+
+    ``materialize``: write every model once (zstd Parquet under the shared
+    checkpoint folder) as it is first needed, and let consumers read the
+    files. Used by queries that touch many models many times (the check
+    suite), where re-planning each model from the sources would repeat work.
+    """
     apply_defaults(spark)
-    return ModelGraph(load_sources(spark, sf_dir), as_of=as_of)
+    mat = None
+    if materialize:
+        base = work_path(spark, "models")
+
+        def mat(name: str, df: DataFrame) -> DataFrame:
+            path = f"{base}/{name}"
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            return spark.read.parquet(path)
+    return ModelGraph(load_sources(spark, sf_dir), as_of=as_of, materialize=mat,
+                      shared=MODELS if materialize else ())
 
 
 def _render_arrays(df: DataFrame) -> DataFrame:

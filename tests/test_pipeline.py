@@ -1,0 +1,27 @@
+import pytest
+
+from relaymart.plans.pipeline import build, build_all
+from relaymart.quality.contracts import ContractError
+from relaymart.session import work_path
+from relaymart.sources.fixtures import load_sources
+
+
+def test_strict_build_rejects_orphan_jobs(spark, sf_small):
+    # jobs whose organization file is missing break dim_jobs' NOT NULL contract
+    with pytest.raises(ContractError, match="dim_jobs.organization_id"):
+        build(spark, load_sources(spark, sf_small), "2024-02-15", run_checks=False)
+
+
+def test_lenient_build_reports_and_does_not_publish(spark, sf_small):
+    res = build_all(spark, sf_small, as_of="2024-02-15",
+                    publish_base=work_path(spark, "pub"))
+    assert res.published is None
+    assert any("dim_jobs.organization_id" in p for p in res.problems)
+    report = {(r.model, r.column_name, r.check_name): r.failures for r in res.check_report.collect()}
+    assert len(report) == 161
+    assert report[("stg_resend__contact_events", "event_type", "accepted_values")] == 1
+    assert report[("dim_jobs", "organization_id", "not_null")] > 0
+    assert set(res.marts) == {"dim_jobs", "dim_organizations", "dim_email_messages",
+                              "dim_email_subscribers", "fct_email_events",
+                              "fct_email_subscriber_messages", "fct_email_subscribers_daily",
+                              "fct_form_submissions"}
