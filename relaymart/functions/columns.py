@@ -35,6 +35,12 @@ BOT_SCANNER_PATTERN = (
 PRIVACY_REASON = "privacy_or_image_proxy"
 BOT_REASON = "bot_or_security_scanner"
 ENGAGEMENT_EVENT_TYPES = ("opened", "clicked")
+# Unicode White_Space code points (what "trim whitespace" removes).
+WHITESPACE = "".join(chr(c) for c in (
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+))
 # Zero-based positions of the slugs in a content path split on "/" and ".".
 ORGANIZATION_SLUG_POSITION = 2
 JOB_SLUG_POSITION = 3
@@ -58,10 +64,11 @@ def surrogate_key(cols: Iterable[Column | str]) -> Column:
 
 
 def strip_whitespace(c: Column | str) -> Column:
-    """Trim every kind of leading/trailing whitespace (Unicode aware).
+    """Trim every kind of leading/trailing whitespace (Unicode White_Space).
 
-    ``F.trim`` removes only spaces; tabs and newlines would survive it."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    ``F.trim`` removes only spaces; tabs and newlines would survive it. A
+    character-set ``btrim`` does it without a regex engine per row."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def normalize_email(c: Column | str) -> Column:
@@ -121,6 +128,27 @@ def json_document(c: Column | str) -> Column:
     return F.try_parse_json(_col(c))
 
 
+def json_fields(text: Column | str, keys) -> Column:
+    """Parse JSON object text ONCE into a struct of the top-level ``keys``,
+    each as text (strings unquoted; numbers/booleans as written; objects and
+    arrays re-serialised). Malformed text gives NULL fields."""
+    schema = ", ".join(f"`{k}` string" for k in keys)
+    return F.from_json(_col(text), schema)
+
+
+def json_field(fields: Column, text: Column | str, key: str,
+               output_type: str = "string") -> Column:
+    """Scalar value of top-level ``key`` from :func:`json_fields`, with the
+    scalar-only rule: an object or array gives NULL. Only values that look
+    like one (text starting with '{' or '[') are re-checked against the
+    document's real JSON type, so the extra parse is paid by those rows only."""
+    v = fields.getField(key)
+    looks_nested = v.startswith("{") | v.startswith("[")
+    exact = json_scalar(json_document(text), f"$.{key}")
+    out = F.when(looks_nested, exact).otherwise(v)
+    return out if output_type == "string" else out.cast(output_type)
+
+
 def json_scalar(doc: Column, path: str, output_type: str = "string") -> Column:
     """Scalar JSON value at ``path`` cast to ``output_type``.
 

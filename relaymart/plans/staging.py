@@ -2,7 +2,8 @@
 
 Each function takes the raw source DataFrame and returns a lazy DataFrame;
 filters are written before any expensive projection so Catalyst pushes them
-into the Parquet scan, and JSON documents are parsed once per row.
+into the Parquet scan, and each JSON document is parsed once per row (into a
+struct of just the keys the model reads).
 """
 
 from __future__ import annotations
@@ -14,59 +15,76 @@ from relaymart.functions import columns as C
 from relaymart.operators.unnest import explode_not_null
 
 
+JOB_KEYS = ("active", "featured", "date", "closed_at", "title", "url", "description",
+            "location", "salary")
+ORGANIZATION_KEYS = ("active", "featured", "title", "about", "about_short", "website",
+                     "headcount", "headcount_inferred", "location", "location_inferred")
+FORM_KEYS = ("email", "job_slug", "org_slug", "posthog_distinct_id", "posthog_session_id",
+             "job_title", "job_url")
+
+
+def _fields(df: DataFrame, text_col: str, keys) -> DataFrame:
+    """Keep ``df`` and add its JSON document parsed once (``_j``)."""
+    return df.withColumn("_j", C.json_fields(text_col, keys))
+
+
 def stg_jobs(jobs: DataFrame) -> DataFrame:
-    doc = F.col("_doc")
-    return jobs.select("file_path", C.json_document("frontmatter").alias("_doc")).select(
+    j, fm = F.col("_j"), F.col("frontmatter")
+
+    def v(key, typ="string"):
+        return C.json_field(j, fm, key, typ)
+
+    return _fields(jobs.select("file_path", "frontmatter"), "frontmatter", JOB_KEYS).select(
         C.organization_slug("file_path").alias("organization_slug"),
         C.job_slug("file_path").alias("job_slug"),
-        C.json_scalar(doc, "$.active", "boolean").alias("is_active"),
-        C.json_scalar(doc, "$.featured", "boolean").alias("is_featured"),
-        C.json_scalar(doc, "$.date", "date").alias("date_added"),
-        C.json_scalar(doc, "$.closed_at", "date").alias("date_removed"),
-        C.json_scalar(doc, "$.title").alias("title"),
-        C.json_scalar(doc, "$.url").alias("posting_url"),
-        C.json_scalar(doc, "$.description").alias("description"),
-        C.json_scalar(doc, "$.location").alias("location"),
-        C.json_scalar(doc, "$.salary").alias("salary"),
-        C.json_string_array(doc, "$.tags").alias("tags"),
+        v("active", "boolean").alias("is_active"),
+        v("featured", "boolean").alias("is_featured"),
+        v("date", "date").alias("date_added"),
+        v("closed_at", "date").alias("date_removed"),
+        v("title").alias("title"),
+        v("url").alias("posting_url"),
+        v("description").alias("description"),
+        v("location").alias("location"),
+        v("salary").alias("salary"),
+        C.json_string_array(C.json_document(fm), "$.tags").alias("tags"),
     )
 
 
 def stg_organizations(organizations: DataFrame) -> DataFrame:
-    doc = F.col("_doc")
-    return organizations.select(
-        "file_path", C.json_document("frontmatter").alias("_doc")
-    ).select(
+    j, fm = F.col("_j"), F.col("frontmatter")
+
+    def v(key, typ="string"):
+        return C.json_field(j, fm, key, typ)
+
+    return _fields(organizations.select("file_path", "frontmatter"), "frontmatter",
+                   ORGANIZATION_KEYS).select(
         C.organization_slug("file_path").alias("organization_slug"),
-        C.json_scalar(doc, "$.active", "boolean").alias("is_active"),
-        C.json_scalar(doc, "$.featured", "boolean").alias("is_featured"),
-        C.json_scalar(doc, "$.title").alias("name"),
-        C.json_scalar(doc, "$.about").alias("description"),
-        C.json_scalar(doc, "$.about_short").alias("description_short"),
-        C.json_scalar(doc, "$.website").alias("organization_url"),
+        v("active", "boolean").alias("is_active"),
+        v("featured", "boolean").alias("is_featured"),
+        v("title").alias("name"),
+        v("about").alias("description"),
+        v("about_short").alias("description_short"),
+        v("website").alias("organization_url"),
         # published value wins; an empty string is a value and blocks the fallback
-        F.coalesce(C.json_scalar(doc, "$.headcount"),
-                   C.json_scalar(doc, "$.headcount_inferred")).alias("headcount"),
-        F.coalesce(C.json_scalar(doc, "$.location"),
-                   C.json_scalar(doc, "$.location_inferred")).alias("location"),
+        F.coalesce(v("headcount"), v("headcount_inferred")).alias("headcount"),
+        F.coalesce(v("location"), v("location_inferred")).alias("location"),
     )
 
 
 def stg_netlify__form_submissions(submissions: DataFrame) -> DataFrame:
-    doc = F.col("_doc")
+    j, fd = F.col("_j"), F.col("form_data")
 
     def field(key: str):
-        return C.empty_to_null(C.json_scalar(doc, f"$.{key}"))
+        return C.empty_to_null(C.json_field(j, fd, key))
 
     return (
-        submissions.filter(F.col("submission_id").isNotNull())
-        .withColumn("_doc", C.json_document("form_data"))
+        _fields(submissions.filter(F.col("submission_id").isNotNull()), "form_data", FORM_KEYS)
         .select(
             C.surrogate_key([F.lit("netlify"), "submission_id"]).alias("form_submission_id"),
             F.col("submission_id").alias("source_form_submission_id"),
             F.lit("netlify").alias("source"),
             "form_name",
-            C.normalize_email(C.json_scalar(doc, "$.email")).alias("email_address"),
+            C.normalize_email(C.json_field(j, fd, "email")).alias("email_address"),
             field("job_slug").alias("job_slug"),
             field("org_slug").alias("organization_slug"),
             field("posthog_distinct_id").alias("posthog_distinct_id"),

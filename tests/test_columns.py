@@ -97,3 +97,16 @@ def test_date_range_never_counts_down(spark):
     assert one(spark, F.size(C.date_range(d("2024-01-03"), d("2024-01-01")))) == 0
     assert one(spark, F.size(C.date_range(d("2024-01-01"), d("2024-01-03")))) == 3
     assert one(spark, C.date_range(F.lit(None).cast("date"), d("2024-01-03"))) is None
+
+
+def test_json_field_struct_path(spark):
+    doc = '{"a":"x","n":null,"o":{"k":1},"l":[1,2],"b":true,"t":"[tag] x","u":"{not nested}"}'
+    df = spark.createDataFrame([(doc,), ("not json",)], "j string")
+    keys = ["a", "n", "o", "l", "b", "t", "u", "missing"]
+    df = df.withColumn("_f", C.json_fields("j", keys))
+    rows = df.select(*[C.json_field(F.col("_f"), F.col("j"), k).alias(k) for k in keys],
+                     C.json_field(F.col("_f"), F.col("j"), "b", "boolean").alias("bb")).collect()
+    r = rows[0]
+    assert (r.a, r.n, r.o, r.l, r.b, r.t, r.u, r.missing, r.bb) == \
+        ("x", None, None, None, "true", "[tag] x", "{not nested}", None, True)
+    assert all(v is None for v in rows[1])
