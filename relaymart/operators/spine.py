@@ -4,18 +4,22 @@ The reference states daily subscription status as a range join (every
 subscriber x every day on or after its first event) followed by a join of
 each subscriber-day to *all* earlier events. That emits every
 (day, earlier event) pair of a subscriber and plans as nested-loop joins.
-Here the same answer comes from:
-
-1. events reduced to one row per (key, day) with partial aggregation
-   (a hot key is spread over its days before it is shuffled);
-2. a per-key spine ``explode(sequence(first_day, as_of))`` — narrow, no join;
-3. spine rows and day rows unioned, hash-partitioned once by key;
-4. a per-day merge (``groupBy(key, day)``) and a window ordered by day
-   over the same partitioning: running maxima over *earlier* rows give the
-   "before this day" values. The spine is gapless, so rows and days coincide.
-
-Per key the window holds one row per day of its lifetime, whatever the
-number of its events, so neither skew nor event volume can blow a task up.
+Here the same answer comes from (:func:`daily_state_from_changes`):
+
+1. events reduced to one row per (key, day) with partial aggregation, so a
+   hot key is cut down to one row per active day before it is shuffled;
+2. one window per key, ordered by day, over those change rows only: running
+   aggregates before / through each change day and the next change day;
+3. each change row generates its own days up to the next change with a
+   narrow ``explode(sequence(...))`` - no spine table, no join.
+
+Two exchanges in all: (key, day) for the aggregate, key for the window. Per
+key the window holds at most one row per active day, whatever the number of
+its events, so neither skew nor event volume can blow a task up; the
+expansion to every day happens after the sort, in the generator.
+
+:func:`per_key_spine` is the plain per-key day spine (``explode`` of a
+guarded ``sequence``), kept for callers that need the spine itself.
 """
 
 from __future__ import annotations
@@ -50,39 +54,66 @@ def per_key_spine(
     return firsts.select(key, gen(days).alias(day_col))
 
 
-def running_daily_state(
+def daily_state_from_changes(
     day_rows: DataFrame,
-    spine: DataFrame,
     key: str,
     day_col: str,
     metrics: Mapping[str, str],
+    as_of: str,
 ) -> DataFrame:
-    """Merge per-(key, day) metric rows onto a gapless per-key day spine.
-
-    ``day_rows`` has ``key, day_col`` and one column per metric (unique per
-    key and day, or not: they are merged with ``metrics[name]`` in
-    {'max', 'min'}). Returns the spine with, per metric ``m``: ``m`` (the
-    value on that day, NULL if none) and ``m_before`` (the running
-    aggregate over strictly earlier days). Day rows outside the spine are
-    dropped. One shuffle (by ``key``) serves the merge and the window.
+    """Expand per-(key, day) change rows into one row per key and day, from
+    the key's first day to ``as_of``, carrying running aggregates.
+
+    ``day_rows`` holds at most one row per (key, day) with one column per
+    metric (``metrics[name]`` in {'max', 'min'}). For every generated day
+    ``d`` the result has, per metric ``m``:
+
+    * ``m``        - the value of day ``d`` itself (NULL when it had no row);
+    * ``m_before`` - the running aggregate over all days strictly before ``d``.
+
+    A key whose first day is after ``as_of`` yields one row with a NULL day
+    and NULL metrics (what a left range join that matched nothing gives).
+
+    Plan: one window over the change rows (partitioned by ``key``, ordered
+    by day) computes, per change row, the aggregates before it, through it,
+    and the next change day; each row then generates its own days up to the
+    next change (``explode(sequence(...))``). So the sort/window only sees
+    change rows, gap days are produced by a narrow generator, and no spine
+    table or join is needed.
     """
     aggs = {"max": F.max, "min": F.min}
-    spine_rows = spine.select(
-        key, day_col, F.lit(True).alias("_on_spine"),
-        *[F.lit(None).cast(day_rows.schema[m].dataType).alias(m) for m in metrics],
+    end = F.lit(as_of).cast("date")
+    w = Window.partitionBy(key).orderBy(day_col)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    through = w.rowsBetween(Window.unboundedPreceding, 0)
+    day = F.col(day_col)
+    ranked = day_rows.select(
+        key, day_col, *metrics.keys(),
+        *[aggs[fn](m).over(before).alias(f"_{m}_before") for m, fn in metrics.items()],
+        *[aggs[fn](m).over(through).alias(f"_{m}_through") for m, fn in metrics.items()],
+        F.lead(day).over(w).alias("_next"),
+        F.lag(day).over(w).alias("_prev"),
     )
-    metric_rows = day_rows.select(
-        key, day_col, F.lit(False).alias("_on_spine"), *metrics.keys())
-    merged = (
-        spine_rows.unionByName(metric_rows)
-        .repartition(key)
-        .groupBy(key, day_col)
-        .agg(F.max("_on_spine").alias("_on_spine"),
-             *[aggs[fn](m).alias(m) for m, fn in metrics.items()])
-        .filter(F.col("_on_spine"))
-        .drop("_on_spine")
+    last = F.least(F.coalesce(F.date_sub("_next", 1), end), end)
+    null_day = F.array(F.lit(None).cast("date"))
+    none = F.array().cast("array<date>")
+    days = (
+        F.when(day <= end, F.sequence(day, last, F.expr("interval 1 day")))
+        # a NULL day never matches a day; it stands alone only for a key
+        # with no dated row at all (NULLs sort first, so _next is then NULL)
+        .when(day.isNull(), F.when(F.col("_next").isNull(), null_day).otherwise(none))
+        # first dated row already after as_of: the one unmatched row
+        .when(F.col("_prev").isNull(), null_day)
+        .otherwise(none)
     )
-    w = (Window.partitionBy(key).orderBy(day_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return merged.select(
-        "*", *[aggs[fn](m).over(w).alias(f"{m}_before") for m, fn in metrics.items()])
+    out = ranked.select("*", F.explode(days).alias("_d"))
+    d = F.col("_d")
+    on_change_day = d == day
+    cols = []
+    for m in metrics:
+        cols.append(F.when(on_change_day, F.col(m)).alias(m))
+        cols.append(
+            F.when(d.isNull(), F.lit(None))
+            .when(on_change_day, F.col(f"_{m}_before"))
+            .otherwise(F.col(f"_{m}_through")).alias(f"{m}_before"))
+    return out.select(key, d.alias(day_col), *cols)

@@ -9,7 +9,7 @@ from relaymart.functions import columns as C
 from relaymart.operators.aggregates import count_if, max_if, min_if
 from relaymart.operators.joins import lookup_join
 from relaymart.operators.sets import union_all
-from relaymart.operators.spine import per_key_spine, running_daily_state
+from relaymart.operators.spine import daily_state_from_changes
 
 FORM_COLUMNS = (
     "form_submission_id", "source_form_submission_id", "source", "form_name",
@@ -139,13 +139,12 @@ def fct_email_subscribers_daily(
                F.col("event_ts")).alias(name)
         for (src, kind), name in _PAIRS.items()
     ]
-    # (1) one row per subscriber and day; partial aggregation before the shuffle
+    # one row per subscriber and day with any event (partial aggregation
+    # before the shuffle, so a hot subscriber is cut down to its days), then
+    # expanded to every day of its lifetime with running "before" maxima
     day_rows = ev.groupBy("subscriber_id", "date_day").agg(*metric_cols)
-    firsts = day_rows.groupBy("subscriber_id").agg(F.min("date_day").alias("first_day"))
-    # (2) gapless per-subscriber spine, (3)+(4) merge + running maxima
-    spine = per_key_spine(firsts, "subscriber_id", "first_day", as_of)
-    state = running_daily_state(
-        day_rows, spine, "subscriber_id", "date_day", {m: "max" for m in _PAIRS.values()})
+    state = daily_state_from_changes(
+        day_rows, "subscriber_id", "date_day", {m: "max" for m in _PAIRS.values()}, as_of)
     cutover = provider_cutover(stg_contacts)
     # NULL cutover or NULL day -> Resend
     use_sg = F.coalesce(F.col("date_day") < cutover, F.lit(False))

@@ -87,3 +87,13 @@ def test_hot_subscriber_many_events(spark):
     got = run(spark, events, [t(1)], as_of)
     assert got == brute_force(events, [t(1)], as_of)
     assert sum(1 for k in got if k[1] == "h") == 10
+
+
+def test_null_timestamps(spark):
+    as_of = dt.date(2024, 1, 5)
+    events = [("n", "resend", "cn", "n@x.com", "subscribed", None),
+              ("m", "resend", "cm", "m@x.com", "subscribed", None),
+              ("m", "resend", "cm", "m@x.com", "subscribed", t(3))]
+    got = run(spark, events, [t(1)], as_of)
+    assert got == {(None, "n"): False, (t(3).date(), "m"): True,
+                   (dt.date(2024, 1, 4), "m"): True, (as_of, "m"): True}
