@@ -44,7 +44,7 @@ def graph(spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
         def mat(name: str, df: DataFrame) -> DataFrame:
             path = f"{base}/{name}"
             df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-            return spark.read.parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
     return ModelGraph(load_sources(spark, sf_dir), as_of=as_of, materialize=mat,
                       shared=MODELS if materialize else ())
 

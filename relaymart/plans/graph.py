@@ -43,7 +43,7 @@ class ModelGraph:
         materialize: Callable[[str, DataFrame], DataFrame] | None = None,
         shared: tuple[str, ...] = SHARED,
     ):
-        self.sources = dict(sources)
+        self.sources = sources
         self.as_of = as_of or I.default_as_of()
         self._materialize = materialize
         self._shared = shared

@@ -115,6 +115,40 @@ select file_path, {O.jv('frontmatter', 'active', 'boolean')},
 from content_jobs""", ["content_organizations", "content_jobs"]))
 
 
+def op_json_bool(spark, sf_dir):
+    """JSON scalar cast to boolean (strict: junk raises under ANSI)."""
+    j = _src(spark, sf_dir, "content_organizations")
+    j = j.withColumn("_j", C.json_fields("frontmatter", ["active", "featured"]))
+    return j.select(
+        "file_path",
+        C.json_field(F.col("_j"), F.col("frontmatter"), "active", "boolean").alias("is_active"),
+        C.json_field(F.col("_j"), F.col("frontmatter"), "featured", "boolean").alias("is_featured"),
+    )
+
+
+register("op_json_bool", op_json_bool, O.with_query(f"""
+select file_path, {O.jv('frontmatter', 'active', 'boolean')} as is_active,
+       {O.jv('frontmatter', 'featured', 'boolean')} as is_featured
+from content_organizations""", ["content_organizations"]))
+
+
+def op_json_date(spark, sf_dir):
+    """JSON scalar cast to date; a missing key gives NULL."""
+    j = _src(spark, sf_dir, "content_jobs")
+    j = j.withColumn("_j", C.json_fields("frontmatter", ["date", "closed_at"]))
+    return j.select(
+        "file_path",
+        C.json_field(F.col("_j"), F.col("frontmatter"), "date", "date").alias("date_added"),
+        C.json_field(F.col("_j"), F.col("frontmatter"), "closed_at", "date").alias("date_removed"),
+    )
+
+
+register("op_json_date", op_json_date, O.with_query(f"""
+select file_path, {O.jv('frontmatter', 'date', 'date')} as date_added,
+       {O.jv('frontmatter', 'closed_at', 'date')} as date_removed
+from content_jobs""", ["content_jobs"]))
+
+
 def op_json_array(spark, sf_dir):
     doc = F.col("_doc")
     s = _src(spark, sf_dir, "content_jobs").select(

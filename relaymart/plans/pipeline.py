@@ -39,7 +39,7 @@ def _materializer(spark: SparkSession, base: str):
     def materialize(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}"
         write_table(df, path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     return materialize
 
 

@@ -45,11 +45,14 @@ def apply_defaults(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a laptop) a fresh
-    local folder is created and registered."""
+    Read from the session; only when it is unset on a *local* master (tests,
+    a laptop) a fresh local folder is created and registered. On a cluster a
+    machine-local folder would not be shared, so an unset value is an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="relaymart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

@@ -20,6 +20,8 @@ that mean the same in both engines.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,13 +257,35 @@ def derive_source(driver_df: DataFrame, name: str) -> DataFrame:
     return df.selectExpr(*cols)
 
 
-def load_sources(spark: SparkSession, sf_dir: str, names=SOURCE_NAMES) -> dict[str, DataFrame]:
+class LazySources(Mapping):
+    """Provider sources derived on first access (each driver table is read
+    once per instance), so a query only lists and opens the files it uses."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=SOURCE_NAMES):
+        self._spark, self._dir, self._names = spark, sf_dir, tuple(names)
+        self._tables: dict[str, DataFrame] = {}
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._cache:
+            table = SPARK_DERIVATIONS[name][0]
+            if table not in self._tables:
+                self._tables[table] = read_driver_table(self._spark, self._dir, table)
+            self._cache[name] = derive_source(self._tables[table], name)
+        return self._cache[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self):
+        return len(self._names)
+
+
+def load_sources(spark: SparkSession, sf_dir: str, names=SOURCE_NAMES) -> Mapping[str, DataFrame]:
     """Lazily derive the named provider sources from the driver tables."""
-    out = {}
-    for name in names:
-        table, _, _ = SPARK_DERIVATIONS[name]
-        out[name] = derive_source(read_driver_table(spark, sf_dir, table), name)
-    return out
+    return LazySources(spark, sf_dir, names)
 
 
 def events_by_property(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
