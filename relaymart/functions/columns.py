@@ -136,12 +136,27 @@ def json_fields(text: Column | str, keys) -> Column:
     return F.from_json(_col(text), schema)
 
 
-def json_field(fields: Column, text: Column | str, key: str,
+def json_field(fields: Column | str, text: Column | str, key: str,
                output_type: str = "string") -> Column:
     """Scalar value of top-level ``key`` from :func:`json_fields`, with the
     scalar-only rule: an object or array gives NULL. Only values that look
     like one (text starting with '{' or '[') are re-checked against the
-    document's real JSON type, so the extra parse is paid by those rows only."""
+    document's real JSON type, so the extra parse is paid by those rows only.
+
+    With column *names* the whole expression is handed to Spark as one SQL
+    expression (one call to build it instead of one per sub-expression)."""
+    if isinstance(fields, str) and isinstance(text, str):
+        v = f"`{fields}`.`{key}`"
+        node = f"try_variant_get(try_parse_json(`{text}`), '$.{key}', 'variant')"
+        exact = (f"CASE WHEN NOT (startswith(schema_of_variant({node}), 'OBJECT') OR "
+                 f"startswith(schema_of_variant({node}), 'ARRAY')) THEN "
+                 f"try_variant_get(try_parse_json(`{text}`), '$.{key}', 'string') END")
+        out = (f"CASE WHEN startswith({v}, '{{') OR startswith({v}, '[') "
+               f"THEN {exact} ELSE {v} END")
+        if output_type != "string":
+            out = f"CAST({out} AS {output_type})"
+        return F.expr(out)
+    fields, text = _col(fields), _col(text)
     v = fields.getField(key)
     looks_nested = v.startswith("{") | v.startswith("[")
     exact = json_scalar(json_document(text), f"$.{key}")

@@ -10,6 +10,7 @@ suite, and publishes the exports only when all of that passed.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,31 @@ def _materializer(spark: SparkSession, base: str):
     return materialize
 
 
+# mart -> marts it reads (the rest of its inputs are staging/intermediate)
+MART_DEPENDENCIES = {
+    "dim_organizations": (),
+    "dim_jobs": ("dim_organizations",),
+    "dim_email_messages": (),
+    "dim_email_subscribers": (),
+    "fct_email_events": (),
+    "fct_email_subscriber_messages": ("fct_email_events",),
+    "fct_email_subscribers_daily": (),
+    "fct_form_submissions": ("dim_email_subscribers", "dim_jobs", "dim_organizations"),
+}
+
+
+def mart_waves() -> list[list[str]]:
+    """Marts grouped so each wave depends only on earlier waves."""
+    done: set[str] = set()
+    waves = []
+    while len(done) < len(MARTS):
+        wave = [m for m in MARTS if m not in done
+                and all(d in done for d in MART_DEPENDENCIES[m])]
+        waves.append(wave)
+        done.update(wave)
+    return waves
+
+
 def build(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -51,24 +77,29 @@ def build(
     strict: bool = True,
     run_checks: bool = True,
     publish_base: str | None = None,
+    threads: int = 4,
 ) -> BuildResult:
     """Build every mart from ``sources``.
 
     ``strict``: raise :class:`ContractError` on a schema mismatch or a NOT
     NULL violation (nothing is published); otherwise record them in the
-    result. Publishing happens only when there were no problems."""
+    result. Publishing happens only when there were no problems. Up to
+    ``threads`` independent marts are written at the same time."""
     apply_defaults(spark)
     inter_dir = work_path(spark, "intermediate")
     marts_dir = marts_dir or work_path(spark, "marts")
     g = ModelGraph(sources, as_of=as_of, materialize=_materializer(spark, inter_dir))
     marts: dict[str, DataFrame] = {}
     problems: list[str] = []
-    for name in MARTS:
-        df = enforce_schema(g[name], name)
-        path = f"{marts_dir}/{name}"
-        write_table(df, path)
-        marts[name] = spark.read.parquet(path)
-        g._cache[name] = marts[name]  # later marts read the written table
+    for wave in mart_waves():
+        # plans are built on this thread; independent marts are then written
+        # as concurrent Spark jobs (the scheduler shares the executors)
+        plans = {name: enforce_schema(g[name], name) for name in wave}
+        with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
+            list(pool.map(lambda n: write_table(plans[n], f"{marts_dir}/{n}"), wave))
+        for name in wave:
+            marts[name] = spark.read.schema(plans[name].schema).parquet(f"{marts_dir}/{name}")
+            g._cache[name] = marts[name]  # later marts read the written table
     violations = union_all([not_null_violations(marts[n], n) for n in MARTS])
     bad = violations.collect()  # at most one row per contract column
     problems += [f"{r.mart}.{r.column_name}: {r.n_nulls} NULL(s) in a NOT NULL column"

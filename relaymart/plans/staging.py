@@ -29,10 +29,8 @@ def _fields(df: DataFrame, text_col: str, keys) -> DataFrame:
 
 
 def stg_jobs(jobs: DataFrame) -> DataFrame:
-    j, fm = F.col("_j"), F.col("frontmatter")
-
     def v(key, typ="string"):
-        return C.json_field(j, fm, key, typ)
+        return C.json_field("_j", "frontmatter", key, typ)
 
     return _fields(jobs.select("file_path", "frontmatter"), "frontmatter", JOB_KEYS).select(
         C.organization_slug("file_path").alias("organization_slug"),
@@ -46,15 +44,13 @@ def stg_jobs(jobs: DataFrame) -> DataFrame:
         v("description").alias("description"),
         v("location").alias("location"),
         v("salary").alias("salary"),
-        C.json_string_array(C.json_document(fm), "$.tags").alias("tags"),
+        C.json_string_array(C.json_document("frontmatter"), "$.tags").alias("tags"),
     )
 
 
 def stg_organizations(organizations: DataFrame) -> DataFrame:
-    j, fm = F.col("_j"), F.col("frontmatter")
-
     def v(key, typ="string"):
-        return C.json_field(j, fm, key, typ)
+        return C.json_field("_j", "frontmatter", key, typ)
 
     return _fields(organizations.select("file_path", "frontmatter"), "frontmatter",
                    ORGANIZATION_KEYS).select(
@@ -72,10 +68,8 @@ def stg_organizations(organizations: DataFrame) -> DataFrame:
 
 
 def stg_netlify__form_submissions(submissions: DataFrame) -> DataFrame:
-    j, fd = F.col("_j"), F.col("form_data")
-
     def field(key: str):
-        return C.empty_to_null(C.json_field(j, fd, key))
+        return C.empty_to_null(C.json_field("_j", "form_data", key))
 
     return (
         _fields(submissions.filter(F.col("submission_id").isNotNull()), "form_data", FORM_KEYS)
@@ -84,7 +78,7 @@ def stg_netlify__form_submissions(submissions: DataFrame) -> DataFrame:
             F.col("submission_id").alias("source_form_submission_id"),
             F.lit("netlify").alias("source"),
             "form_name",
-            C.normalize_email(C.json_field(j, fd, "email")).alias("email_address"),
+            C.normalize_email(C.json_field("_j", "form_data", "email")).alias("email_address"),
             field("job_slug").alias("job_slug"),
             field("org_slug").alias("organization_slug"),
             field("posthog_distinct_id").alias("posthog_distinct_id"),

@@ -2,10 +2,11 @@
 
 Each check returns its *failing rows*; a pass is zero rows. The suite
 (``run_suite``) evaluates every declared check and returns one row per check
-with its failure count: the per-row checks of a model (not_null, normalized
-e-mail) share a single aggregate pass over that model; uniqueness, accepted
-values and relationships group or join (one small shuffle each, after a
-map-side partial aggregate); the per-check results are tiny and are unioned.
+with its failure count. Per model: the per-row checks (not_null, normalized
+e-mail) share one aggregate pass; all uniqueness and accepted-values checks
+share one scan and one shuffle (``_keyed_checks``); each relationship check
+is an anti join against the parent's distinct keys. The per-check results
+are tiny and are unioned.
 """
 
 from __future__ import annotations
@@ -240,6 +241,29 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
+def _keyed_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All uniqueness and accepted-values checks of one model in ONE scan
+    and ONE shuffle: every row emits a (check, value) pair per check it is
+    relevant to (non-NULL value for unique, unaccepted value for accepted
+    values), pairs are counted per (check, value) with a map-side partial
+    aggregate, and a one-row aggregate turns the counts into failures:
+    duplicated values for unique, distinct unaccepted values otherwise."""
+    items = []
+    for i, c in enumerate(checks):
+        col = F.col(c.column)
+        emit = col.isNotNull() if c.kind == "unique" else _row_predicate(c, df)
+        items.append(F.when(emit, F.struct(F.lit(i).alias("k"), col.cast("string").alias("v"))))
+    pairs = df.select(F.explode(F.array(*items)).alias("e")).filter(F.col("e").isNotNull())
+    counts = pairs.groupBy(F.col("e.k").alias("k"), F.col("e.v").alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
+    k, n = F.col("k"), F.col("n")
+    totals = counts.agg(*[
+        F.count_if((k == i) & (n > 1) if c.kind == "unique" else (k == i)).alias(f"f{i}")
+        for i, c in enumerate(checks)])
+    return totals.select(F.inline(F.array(*[
+        _result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])))
+
+
 def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
               checks: list[Check] = DECLARED) -> DataFrame:
     """One row per check: (model, column_name, check_name, failures)."""
@@ -257,10 +281,11 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
                            for i, c in enumerate(row_checks)])
             parts.append(agg.select(F.inline(F.array(*[
                 _result(c, F.col(f"f{i}")) for i, c in enumerate(row_checks)]))))
+        keyed = [c for c in chs if c.kind in ("unique", "accepted_values")]
+        if keyed:
+            parts.append(_keyed_checks(df, keyed))
         for c in chs:
-            if c.kind in ("unique", "accepted_values", "relationships"):
-                # failures = rows the failing-rows query returns (one per
-                # duplicated / unaccepted value, one per orphan row)
+            if c.kind == "relationships":
                 parts.append(failing_rows(c, get).agg(F.count(F.lit(1)).alias("f"))
                              .select(F.inline(F.array(_result(c, F.col("f"))))))
     return union_all(parts)

@@ -48,14 +48,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset on a *local* master (tests,
     a laptop) a fresh local folder is created and registered. On a cluster a
     machine-local folder would not be shared, so an unset value is an error."""
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="relaymart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
