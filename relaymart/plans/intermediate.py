@@ -99,21 +99,28 @@ def int_email_subscription_events(
     contact_events: DataFrame,
     message_events: DataFrame,
 ) -> DataFrame:
-    """Subscribe/unsubscribe lifecycle events from four branches. No
-    uniqueness is implied and nothing is deduplicated."""
-    created = contacts.select(
-        F.lit("resend").alias("source"),
-        F.col("contact_id").alias("resend_contact_id"),
-        "email_address",
-        F.lit("subscribed").alias("subscriber_event_type"),
-        F.col("contact_created_ts").alias("event_ts"),
+    """Subscribe/unsubscribe lifecycle events from four kinds of records
+    (contact created, contact unsubscribed in the snapshot, contact
+    webhooks, SendGrid resubscribes). No uniqueness is implied and nothing
+    is deduplicated."""
+    # every contact: subscribed at creation; contacts not subscribed in the
+    # snapshot: also unsubscribed at backfill time. Both come from ONE scan
+    # of the snapshot (an array of 1-2 events per contact, exploded).
+    snapshot_events = F.array(
+        F.struct(F.lit("subscribed").alias("t"), F.col("contact_created_ts").alias("ts")),
+        F.when(~F.col("is_subscribed"),
+               F.struct(F.lit("unsubscribed").alias("t"), F.col("backfilled_ts").alias("ts"))),
     )
-    unsubscribed = contacts.filter(~F.col("is_subscribed")).select(
-        F.lit("resend").alias("source"),
-        F.col("contact_id").alias("resend_contact_id"),
-        "email_address",
-        F.lit("unsubscribed").alias("subscriber_event_type"),
-        F.col("backfilled_ts").alias("event_ts"),
+    snapshot = (
+        contacts.select("contact_id", "email_address", F.explode(snapshot_events).alias("e"))
+        .filter(F.col("e").isNotNull())
+        .select(
+            F.lit("resend").alias("source"),
+            F.col("contact_id").alias("resend_contact_id"),
+            "email_address",
+            F.col("e.t").alias("subscriber_event_type"),
+            F.col("e.ts").alias("event_ts"),
+        )
     )
     webhooks = contact_events.filter(
         F.col("event_type").isin("contact.created", "contact.updated")
@@ -135,7 +142,7 @@ def int_email_subscription_events(
         F.lit("subscribed").alias("subscriber_event_type"),
         "event_ts",
     )
-    events = union_all([created, unsubscribed, webhooks, resubscribes])
+    events = union_all([snapshot, webhooks, resubscribes])
     return events.select(
         C.surrogate_key(["email_address"]).alias("subscriber_id"),
         "source", "resend_contact_id", "email_address", "subscriber_event_type", "event_ts",

@@ -146,11 +146,13 @@ def fct_email_subscribers_daily(
     state = daily_state_from_changes(
         day_rows, "subscriber_id", "date_day", {m: "max" for m in _PAIRS.values()}, as_of)
     cutover = provider_cutover(stg_contacts)
-    # NULL cutover or NULL day -> Resend
-    use_sg = F.coalesce(F.col("date_day") < cutover, F.lit(False))
+    # NULL cutover or NULL day -> Resend; projected once, so the scalar
+    # subquery appears (and runs) once in the plan
+    state = state.withColumn(
+        "_use_sg", F.coalesce(F.col("date_day") < cutover, F.lit(False)))
 
     def pick(name: str):
-        return F.when(use_sg, F.col(f"sg_{name}")).otherwise(F.col(f"re_{name}"))
+        return F.when(F.col("_use_sg"), F.col(f"sg_{name}")).otherwise(F.col(f"re_{name}"))
 
     on_day = pick("sub").isNotNull()
     sub_before, unsub_before = pick("sub_before"), pick("unsub_before")
