@@ -7,13 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs rely on; a cluster's own values win (only unset keys are set).
+# Settings the jobs rely on; a cluster's own values win (only unset keys are
+# set). Compression and partition-overwrite mode are per-write options, not
+# session settings, so a caller's other writes are not affected.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

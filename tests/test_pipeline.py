@@ -25,3 +25,22 @@ def test_lenient_build_reports_and_does_not_publish(spark, sf_small):
                               "dim_email_subscribers", "fct_email_events",
                               "fct_email_subscriber_messages", "fct_email_subscribers_daily",
                               "fct_form_submissions"}
+
+
+def test_clean_build_publishes(spark, sf_small):
+    """With every job's organization present and checks not run, the build
+    has no problems and publishes both exports."""
+    from pyspark.sql import functions as F
+
+    from relaymart.sinks.publish import read_published
+    src = dict(load_sources(spark, sf_small))
+    orgs = src["content_organizations"].select(
+        F.regexp_extract("file_path", r"(org-\d+)", 1).alias("org"))
+    src["content_jobs"] = src["content_jobs"].join(
+        orgs, F.regexp_extract("file_path", r"/(org-\d+)/", 1) == F.col("org"), "left_semi")
+    base = work_path(spark, "pub")
+    res = build(spark, src, "2024-02-15", run_checks=False, publish_base=base)
+    assert res.problems == []
+    assert read_published(spark, base, "jobs").count() == res.marts["dim_jobs"].count() > 0
+    assert read_published(spark, base, "organizations").count() == \
+        res.marts["dim_organizations"].count()
