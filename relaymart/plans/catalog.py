@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.plans.graph import MODELS, ModelGraph
+from relaymart.plans.graph import MARTS, MODELS, SHARED, ModelGraph
 from relaymart.session import apply_defaults, work_path
 from relaymart.sources.fixtures import load_sources
 from relaymart.testing import oracle as O
@@ -31,10 +31,11 @@ def graph(spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
           materialize: bool = False) -> ModelGraph:
     """The model graph over the sources derived from ``sf_dir``.
 
-    ``materialize``: write every model once (zstd Parquet under the shared
-    checkpoint folder) as it is first needed, and let consumers read the
-    files. Used by queries that touch many models many times (the check
-    suite), where re-planning each model from the sources would repeat work.
+    ``materialize``: write the multi-consumer intermediates and the marts
+    once (zstd Parquet under the shared checkpoint folder) as they are first
+    needed, and let consumers read the files. Used by queries that touch
+    many models many times (the check suite). Staging models are a scan and
+    a projection, cheaper to recompute than to write.
     """
     apply_defaults(spark)
     mat = None
@@ -46,7 +47,7 @@ def graph(spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
             df.write.mode("overwrite").option("compression", "zstd").parquet(path)
             return spark.read.schema(df.schema).parquet(path)
     return ModelGraph(load_sources(spark, sf_dir), as_of=as_of, materialize=mat,
-                      shared=MODELS if materialize else ())
+                      shared=SHARED + MARTS if materialize else ())
 
 
 def _render_arrays(df: DataFrame) -> DataFrame:
