@@ -22,7 +22,7 @@ from relaymart.quality import checks as Q
 from relaymart.quality.contracts import CONTRACTS, not_null_violations, null_counts
 from relaymart.session import apply_defaults, work_path
 from relaymart.sinks.publish import export_parquet
-from relaymart.sources.fixtures import events_by_property, load_sources
+from relaymart.sources.fixtures import events_by_property, load_sources, read_driver_table
 from relaymart.sources.freshness import DECLARED as FRESHNESS, freshness_report
 from relaymart.streaming.incremental import STATIC_INCREMENTAL_DAYS, rebuild_trailing_window
 from relaymart.testing import oracle as O
@@ -640,7 +640,7 @@ register("export_organizations", _export("dim_organizations"), O.model_sql("dim_
 
 
 def _event_days(spark, sf_dir, factor: float) -> DataFrame:
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    ev = read_driver_table(spark, sf_dir, "events")
     return ev.select("event_id", "user_id", "event_type",
                      (F.col("value") * factor).alias("value"),
                      C.utc_date("ts").alias("event_date"))

@@ -246,8 +246,19 @@ def duckdb_source_sql() -> dict[str, str]:
     return out
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a driver table. Its files are listed on every call; the Parquet
+    schema is inferred once per path and process (footer reads skipped on
+    later reads of the same path)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def derive_source(driver_df: DataFrame, name: str) -> DataFrame:
