@@ -2,11 +2,9 @@
 
 Each check returns its *failing rows*; a pass is zero rows. The suite
 (``run_suite``) evaluates every declared check and returns one row per check
-with its failure count. Per model: the per-row checks (not_null, normalized
-e-mail) share one aggregate pass; all uniqueness and accepted-values checks
-share one scan and one shuffle (``_keyed_checks``); each relationship check
-is an anti join against the parent's distinct keys. The per-check results
-are tiny and are unioned.
+with its failure count, from one scan per model and one shared shuffle (see
+``run_suite``); each relationship check adds an anti join against the
+parent's distinct keys.
 """
 
 from __future__ import annotations
@@ -241,51 +239,61 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
-def _keyed_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All uniqueness and accepted-values checks of one model in ONE scan
-    and ONE shuffle: every row emits a (check, value) pair per check it is
-    relevant to (non-NULL value for unique, unaccepted value for accepted
-    values), pairs are counted per (check, value) with a map-side partial
-    aggregate, and a one-row aggregate turns the counts into failures:
-    duplicated values for unique, distinct unaccepted values otherwise."""
-    items = []
-    for i, c in enumerate(checks):
-        col = F.col(c.column)
-        emit = col.isNotNull() if c.kind == "unique" else _row_predicate(c, df)
-        items.append(F.when(emit, F.struct(F.lit(i).alias("k"), col.cast("string").alias("v"))))
-    pairs = df.select(F.explode(F.array(*items)).alias("e")).filter(F.col("e").isNotNull())
-    counts = pairs.groupBy(F.col("e.k").alias("k"), F.col("e.v").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"))
-    k, n = F.col("k"), F.col("n")
-    totals = counts.agg(*[
-        F.count_if((k == i) & (n > 1) if c.kind == "unique" else (k == i)).alias(f"f{i}")
-        for i, c in enumerate(checks)])
-    return totals.select(F.inline(F.array(*[
-        _result(c, F.col(f"f{i}")) for i, c in enumerate(checks)])))
+def _pair(i: int, emit: Column, value: Column | None) -> Column:
+    v = value.cast("string") if value is not None else F.lit(None).cast("string")
+    return F.when(emit, F.struct(F.lit(i).alias("k"), v.alias("v")))
 
 
 def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
               checks: list[Check] = DECLARED) -> DataFrame:
-    """One row per check: (model, column_name, check_name, failures)."""
+    """One row per check: (model, column_name, check_name, failures).
+
+    All checks become ONE stream of (check, value) pairs: every row of a
+    model emits one pair per check it fails or feeds (NULL for not_null,
+    badly normalized address, unaccepted value, every non-NULL value for
+    unique), so each model is scanned once for all of its checks; orphan
+    rows of each relationship (anti join against the parent's distinct
+    keys) join the stream. One grouped count per (check, value) - with a
+    map-side partial aggregate, so a million NULLs leave each task as one
+    row - and one final single-row aggregate give every failure count:
+    failing rows for not_null / normalized e-mail / relationships,
+    duplicated values for unique, distinct unaccepted values otherwise."""
     get = models.__getitem__ if isinstance(models, Mapping) else models
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for ch in checks:
-        by_model.setdefault(ch.model, []).append(ch)
+    by_model: dict[str, list[tuple[int, Check]]] = {}
+    for i, ch in enumerate(checks):
+        by_model.setdefault(ch.model, []).append((i, ch))
+    streams: list[DataFrame] = []
     for model, chs in by_model.items():
         df = get(model)
-        row_checks = [c for c in chs if c.kind in ("not_null", "normalized_email")]
-        if row_checks:
-            # all per-row checks of a model in one aggregate pass
-            agg = df.agg(*[F.count_if(_row_predicate(c, df)).alias(f"f{i}")
-                           for i, c in enumerate(row_checks)])
-            parts.append(agg.select(F.inline(F.array(*[
-                _result(c, F.col(f"f{i}")) for i, c in enumerate(row_checks)]))))
-        keyed = [c for c in chs if c.kind in ("unique", "accepted_values")]
-        if keyed:
-            parts.append(_keyed_checks(df, keyed))
-        for c in chs:
+        items = []
+        for i, c in chs:
+            col = F.col(c.column)
+            if c.kind in ("not_null", "normalized_email"):
+                items.append(_pair(i, _row_predicate(c, df), None))
+            elif c.kind == "unique":
+                items.append(_pair(i, col.isNotNull(), col))
+            elif c.kind == "accepted_values":
+                items.append(_pair(i, _row_predicate(c, df), col))
+        if items:
+            streams.append(df.select(F.explode(F.array(*items)).alias("e"))
+                           .filter(F.col("e").isNotNull())
+                           .select(F.col("e.k").alias("k"), F.col("e.v").alias("v")))
+        for i, c in chs:
             if c.kind == "relationships":
-                parts.append(failing_rows(c, get).agg(F.count(F.lit(1)).alias("f"))
-                             .select(F.inline(F.array(_result(c, F.col("f"))))))
-    return union_all(parts)
+                streams.append(failing_rows(c, get).select(
+                    F.lit(i).alias("k"), F.lit(None).cast("string").alias("v")))
+    counts = union_all(streams).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    # contribution of one (check, value) group to its check's failures
+    kind = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("k") + 1)
+    n = F.col("n")
+    contrib = (F.when(kind == "unique", F.when(n > 1, 1).otherwise(0))
+               .when(kind == "accepted_values", F.lit(1))
+               .otherwise(n))
+    per_check = counts.groupBy("k").agg(F.sum(contrib).cast("bigint").alias("failures"))
+    # label the (at most one per check) result rows; checks without rows pass
+    labels = F.array(*[_result(c, F.lit(i)) for i, c in enumerate(checks)])
+    catalog = per_check.sparkSession.range(1).select(F.inline(labels)).withColumnRenamed(
+        "failures", "k")
+    return (catalog.join(F.broadcast(per_check), "k", "left")
+            .select("model", "column_name", "check_name",
+                    F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
