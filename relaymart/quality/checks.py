@@ -28,134 +28,134 @@ class Check:
     parent: tuple[str, str] | None = None  # (model, column) for relationships
 
 
-# The declared checks, per model, in declaration order.
-#   nn = not_null, un = unique, ne = normalized e-mail,
-#   av = accepted values (column: v1|v2|...), rel = relationships (column -> model.column)
+# The declared checks, one line per model column, in the
+# order they are declared: "model.column: test, test, ...". Tests are
+# not_null, unique, is_normalized_email_address, accepted_values(v|v|...)
+# and relationships(parent_model.parent_column).
 DECLARED_TEXT = """
-stg_netlify__form_submissions
-  nn form_submission_id source_form_submission_id source form_name email_address form_submission_details submitted_ts loaded_ts
-  un form_submission_id source_form_submission_id
-  ne email_address
-  av source: netlify
-  av form_name: job-apply-capture|newsletter|offer-review|resume-review
-stg_webflow__form_submissions
-  nn form_submission_id source_form_submission_id source form_name email_address form_submission_details submitted_ts
-  un form_submission_id source_form_submission_id
-  ne email_address
-  av source: webflow
-  av form_name: newsletter
-stg_resend__contacts
-  nn contact_id email_address is_subscribed contact_created_ts backfilled_ts
-  un contact_id
-  ne email_address
-stg_resend__contact_events
-  nn contact_id email_address event_type event_created_ts is_subscribed
-  ne email_address
-  av event_type: contact.created|contact.updated
-stg_resend__email_events
-  nn email_event_id message_id email_address event_type event_created_ts
-  un email_event_id
-  ne email_address
-  av event_type: bounced|clicked|delivered|delivery_delayed|opened|sent|suppressed
-stg_resend__emails_backfill
-  nn email_event_id message_id email_address email_created_ts
-  un email_event_id
-  ne email_address
-stg_sendgrid__email_events
-  nn event_id message_id email_address event_type event_ts
-  un event_id
-  ne email_address
-  av event_type: clicked|delivered|opened|resubscribed|sent
-int_email_message_events
-  nn email_event_id email_id source source_email_id event_type email_address event_ts
-  un email_event_id
-  ne email_address
-  av source: resend|sendgrid
-  av event_type: bounced|clicked|delivered|delivery_delayed|opened|resubscribed|sent|suppressed
-  av privacy_or_bot_reason: bot_or_security_scanner|privacy_or_image_proxy
-int_email_messages
-  nn email_id source source_email_id
-  un email_id
-  av source: resend|sendgrid
-int_email_subscription_events
-  nn subscriber_id source email_address subscriber_event_type event_ts
-  ne email_address
-  av source: resend|sendgrid
-  av subscriber_event_type: subscribed|unsubscribed
-dates
-  nn date_day
-  un date_day
-int_email_subscribers
-  nn subscriber_id email_address is_subscribed
-  un subscriber_id email_address
-  ne email_address
-dim_jobs
-  nn job_id organization_id organization_slug job_slug
-  un job_id
-  av is_active: true|false
-  av is_featured: true|false
-  rel organization_id -> dim_organizations.organization_id
-dim_organizations
-  nn organization_id organization_slug
-  un organization_id organization_slug
-  av is_active: true|false
-  av is_featured: true|false
-fct_form_submissions
-  nn form_submission_id source_form_submission_id source form_name email_address form_submission_details submitted_ts
-  un form_submission_id
-  ne email_address
-  av source: netlify|webflow
-  av form_name: job-apply-capture|newsletter|offer-review|resume-review
-  rel subscriber_id -> dim_email_subscribers.subscriber_id
-  rel job_id -> dim_jobs.job_id
-  rel organization_id -> dim_organizations.organization_id
-dim_email_messages
-  nn email_id source source_email_id
-  un email_id
-  av source: resend|sendgrid
-dim_email_subscribers
-  nn subscriber_id email_address is_subscribed
-  un subscriber_id email_address
-  ne email_address
-fct_email_events
-  nn email_event_id email_id event_type event_ts is_engagement is_privacy_or_bot_like email_event_details
-  un email_event_id
-  av event_type: bounced|clicked|delivered|delivery_delayed|opened|resubscribed|sent|suppressed
-  av is_engagement: true|false
-  av is_privacy_or_bot_like: true|false
-  rel subscriber_id -> dim_email_subscribers.subscriber_id
-  rel email_id -> dim_email_messages.email_id
-fct_email_subscribers_daily
-  nn email_subscriber_daily_id date_day subscriber_id is_subscribed
-  un email_subscriber_daily_id
-  av is_subscribed: true|false
-  rel subscriber_id -> dim_email_subscribers.subscriber_id
-fct_email_subscriber_messages
-  nn email_subscriber_message_id email_id subscriber_id n_events_opened n_events_clicked
-  un email_subscriber_message_id
-  rel email_id -> dim_email_messages.email_id
-  rel subscriber_id -> dim_email_subscribers.subscriber_id
+stg_netlify__form_submissions.form_submission_id: not_null, unique
+stg_netlify__form_submissions.source_form_submission_id: not_null, unique
+stg_netlify__form_submissions.source: not_null, accepted_values(netlify)
+stg_netlify__form_submissions.form_name: not_null, accepted_values(job-apply-capture|newsletter|offer-review|resume-review)
+stg_netlify__form_submissions.email_address: not_null, is_normalized_email_address
+stg_netlify__form_submissions.form_submission_details: not_null
+stg_netlify__form_submissions.submitted_ts: not_null
+stg_netlify__form_submissions.loaded_ts: not_null
+stg_webflow__form_submissions.form_submission_id: not_null, unique
+stg_webflow__form_submissions.source_form_submission_id: not_null, unique
+stg_webflow__form_submissions.source: not_null, accepted_values(webflow)
+stg_webflow__form_submissions.form_name: not_null, accepted_values(newsletter)
+stg_webflow__form_submissions.email_address: not_null, is_normalized_email_address
+stg_webflow__form_submissions.form_submission_details: not_null
+stg_webflow__form_submissions.submitted_ts: not_null
+stg_resend__contacts.contact_id: not_null, unique
+stg_resend__contacts.email_address: not_null, is_normalized_email_address
+stg_resend__contacts.is_subscribed: not_null
+stg_resend__contacts.contact_created_ts: not_null
+stg_resend__contacts.backfilled_ts: not_null
+stg_resend__contact_events.contact_id: not_null
+stg_resend__contact_events.email_address: not_null, is_normalized_email_address
+stg_resend__contact_events.event_type: not_null, accepted_values(contact.created|contact.updated)
+stg_resend__contact_events.event_created_ts: not_null
+stg_resend__contact_events.is_subscribed: not_null
+stg_resend__email_events.email_event_id: not_null, unique
+stg_resend__email_events.message_id: not_null
+stg_resend__email_events.email_address: not_null, is_normalized_email_address
+stg_resend__email_events.event_type: not_null, accepted_values(bounced|clicked|delivered|delivery_delayed|opened|sent|suppressed)
+stg_resend__email_events.event_created_ts: not_null
+stg_resend__emails_backfill.email_event_id: not_null, unique
+stg_resend__emails_backfill.message_id: not_null
+stg_resend__emails_backfill.email_address: not_null, is_normalized_email_address
+stg_resend__emails_backfill.email_created_ts: not_null
+stg_sendgrid__email_events.event_id: not_null, unique
+stg_sendgrid__email_events.message_id: not_null
+stg_sendgrid__email_events.email_address: not_null, is_normalized_email_address
+stg_sendgrid__email_events.event_type: not_null, accepted_values(clicked|delivered|opened|resubscribed|sent)
+stg_sendgrid__email_events.event_ts: not_null
+int_email_message_events.email_event_id: not_null, unique
+int_email_message_events.email_id: not_null
+int_email_message_events.source: not_null, accepted_values(resend|sendgrid)
+int_email_message_events.source_email_id: not_null
+int_email_message_events.event_type: not_null, accepted_values(bounced|clicked|delivered|delivery_delayed|opened|resubscribed|sent|suppressed)
+int_email_message_events.email_address: not_null, is_normalized_email_address
+int_email_message_events.event_ts: not_null
+int_email_message_events.privacy_or_bot_reason: accepted_values(bot_or_security_scanner|privacy_or_image_proxy)
+int_email_messages.email_id: not_null, unique
+int_email_messages.source: not_null, accepted_values(resend|sendgrid)
+int_email_messages.source_email_id: not_null
+int_email_subscription_events.subscriber_id: not_null
+int_email_subscription_events.source: not_null, accepted_values(resend|sendgrid)
+int_email_subscription_events.email_address: not_null, is_normalized_email_address
+int_email_subscription_events.subscriber_event_type: not_null, accepted_values(subscribed|unsubscribed)
+int_email_subscription_events.event_ts: not_null
+dates.date_day: not_null, unique
+int_email_subscribers.subscriber_id: not_null, unique
+int_email_subscribers.email_address: not_null, unique, is_normalized_email_address
+int_email_subscribers.is_subscribed: not_null
+dim_jobs.job_id: not_null, unique
+dim_jobs.organization_id: not_null, relationships(dim_organizations.organization_id)
+dim_jobs.organization_slug: not_null
+dim_jobs.job_slug: not_null
+dim_jobs.is_active: accepted_values(true|false)
+dim_jobs.is_featured: accepted_values(true|false)
+dim_organizations.organization_id: not_null, unique
+dim_organizations.organization_slug: not_null, unique
+dim_organizations.is_active: accepted_values(true|false)
+dim_organizations.is_featured: accepted_values(true|false)
+fct_form_submissions.form_submission_id: not_null, unique
+fct_form_submissions.source_form_submission_id: not_null
+fct_form_submissions.source: not_null, accepted_values(netlify|webflow)
+fct_form_submissions.form_name: not_null, accepted_values(job-apply-capture|newsletter|offer-review|resume-review)
+fct_form_submissions.subscriber_id: relationships(dim_email_subscribers.subscriber_id)
+fct_form_submissions.job_id: relationships(dim_jobs.job_id)
+fct_form_submissions.organization_id: relationships(dim_organizations.organization_id)
+fct_form_submissions.email_address: not_null, is_normalized_email_address
+fct_form_submissions.form_submission_details: not_null
+fct_form_submissions.submitted_ts: not_null
+dim_email_messages.email_id: not_null, unique
+dim_email_messages.source: not_null, accepted_values(resend|sendgrid)
+dim_email_messages.source_email_id: not_null
+dim_email_subscribers.subscriber_id: not_null, unique
+dim_email_subscribers.email_address: not_null, unique, is_normalized_email_address
+dim_email_subscribers.is_subscribed: not_null
+fct_email_events.email_event_id: not_null, unique
+fct_email_events.subscriber_id: relationships(dim_email_subscribers.subscriber_id)
+fct_email_events.email_id: not_null, relationships(dim_email_messages.email_id)
+fct_email_events.event_type: not_null, accepted_values(bounced|clicked|delivered|delivery_delayed|opened|resubscribed|sent|suppressed)
+fct_email_events.event_ts: not_null
+fct_email_events.is_engagement: not_null, accepted_values(true|false)
+fct_email_events.is_privacy_or_bot_like: not_null, accepted_values(true|false)
+fct_email_events.email_event_details: not_null
+fct_email_subscribers_daily.email_subscriber_daily_id: not_null, unique
+fct_email_subscribers_daily.date_day: not_null
+fct_email_subscribers_daily.subscriber_id: not_null, relationships(dim_email_subscribers.subscriber_id)
+fct_email_subscribers_daily.is_subscribed: not_null, accepted_values(true|false)
+fct_email_subscriber_messages.email_subscriber_message_id: not_null, unique
+fct_email_subscriber_messages.email_id: not_null, relationships(dim_email_messages.email_id)
+fct_email_subscriber_messages.subscriber_id: not_null, relationships(dim_email_subscribers.subscriber_id)
+fct_email_subscriber_messages.n_events_opened: not_null
+fct_email_subscriber_messages.n_events_clicked: not_null
 """
 
+_KINDS = {"is_normalized_email_address": "normalized_email"}
+
 
 def _parse_declared(text: str) -> list[Check]:
     checks: list[Check] = []
-    model = None
-    for raw in text.strip().splitlines():
-        if not raw.startswith(" "):
-            model = raw.strip()
-            continue
-        kind, rest = raw.strip().split(" ", 1)
-        if kind in ("nn", "un", "ne"):
-            full = {"nn": "not_null", "un": "unique", "ne": "normalized_email"}[kind]
-            checks += [Check(model, c, full) for c in rest.split()]
-        elif kind == "av":
-            col, vals = rest.split(": ", 1)
-            checks.append(Check(model, col, "accepted_values", tuple(vals.split("|"))))
-        elif kind == "rel":
-            col, target = [s.strip() for s in rest.split("->")]
-            pm, pc = target.split(".")
-            checks.append(Check(model, col, "relationships", parent=(pm, pc)))
+    for line in text.strip().splitlines():
+        target, tests = line.split(": ", 1)
+        model, column = target.split(".")
+        for test in (t.strip() for t in tests.split(", ")):
+            name, _, arg = test.partition("(")
+            arg = arg.rstrip(")")
+            kind = _KINDS.get(name, name)
+            if kind == "accepted_values":
+                checks.append(Check(model, column, kind, tuple(arg.split("|"))))
+            elif kind == "relationships":
+                pm, pc = arg.split(".")
+                checks.append(Check(model, column, kind, parent=(pm, pc)))
+            else:
+                checks.append(Check(model, column, kind))
     return checks
 
 
