@@ -12,34 +12,80 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The eight mart contracts ("!" = NOT NULL), in column order.
-CONTRACTS_TEXT = {
-    "dim_jobs": "job_id! string, organization_id! string, organization_slug! string, "
-    "job_slug! string, is_active bool, is_featured bool, date_added date, "
-    "date_removed date, title string, posting_url string, description string, "
-    "location string, salary string, tags array<string>",
-    "dim_organizations": "organization_id! string, organization_slug! string, "
-    "is_active bool, is_featured bool, name string, description string, "
-    "description_short string, organization_url string, headcount string, location string",
-    "fct_form_submissions": "form_submission_id! string, source_form_submission_id! string, "
-    "source! string, form_name! string, subscriber_id string, job_id string, "
-    "organization_id string, email_address! string, posthog_distinct_id string, "
-    "posthog_session_id string, form_submission_details! json, submitted_ts! timestamp",
-    "dim_email_messages": "email_id! string, source! string, source_email_id! string, "
-    "subject string, sent_ts timestamp",
-    "dim_email_subscribers": "subscriber_id! string, email_address! string, "
-    "resend_contact_id string, is_subscribed! bool, min_subscribed_ts timestamp, "
-    "max_subscribed_ts timestamp, min_unsubscribed_ts timestamp, max_unsubscribed_ts timestamp",
-    "fct_email_events": "email_event_id! string, subscriber_id string, email_id! string, "
-    "event_type! string, event_ts! timestamp, is_engagement! bool, "
-    "is_privacy_or_bot_like! bool, email_event_details! json",
-    "fct_email_subscribers_daily": "email_subscriber_daily_id! string, date_day! date, "
-    "subscriber_id! string, is_subscribed! bool",
-    "fct_email_subscriber_messages": "email_subscriber_message_id! string, email_id! string, "
-    "subscriber_id! string, min_sent_ts timestamp, min_delivered_ts timestamp, "
-    "min_opened_ts timestamp, min_clicked_ts timestamp, n_events_opened! int64, "
-    "n_events_clicked! int64",
-}
+# The eight mart contracts, one line per column in contract
+# order: "mart.column: type[, not_null]".
+CONTRACTS_TEXT = """
+dim_jobs.job_id: string, not_null
+dim_jobs.organization_id: string, not_null
+dim_jobs.organization_slug: string, not_null
+dim_jobs.job_slug: string, not_null
+dim_jobs.is_active: bool
+dim_jobs.is_featured: bool
+dim_jobs.date_added: date
+dim_jobs.date_removed: date
+dim_jobs.title: string
+dim_jobs.posting_url: string
+dim_jobs.description: string
+dim_jobs.location: string
+dim_jobs.salary: string
+dim_jobs.tags: array<string>
+dim_organizations.organization_id: string, not_null
+dim_organizations.organization_slug: string, not_null
+dim_organizations.is_active: bool
+dim_organizations.is_featured: bool
+dim_organizations.name: string
+dim_organizations.description: string
+dim_organizations.description_short: string
+dim_organizations.organization_url: string
+dim_organizations.headcount: string
+dim_organizations.location: string
+fct_form_submissions.form_submission_id: string, not_null
+fct_form_submissions.source_form_submission_id: string, not_null
+fct_form_submissions.source: string, not_null
+fct_form_submissions.form_name: string, not_null
+fct_form_submissions.subscriber_id: string
+fct_form_submissions.job_id: string
+fct_form_submissions.organization_id: string
+fct_form_submissions.email_address: string, not_null
+fct_form_submissions.posthog_distinct_id: string
+fct_form_submissions.posthog_session_id: string
+fct_form_submissions.form_submission_details: json, not_null
+fct_form_submissions.submitted_ts: timestamp, not_null
+dim_email_messages.email_id: string, not_null
+dim_email_messages.source: string, not_null
+dim_email_messages.source_email_id: string, not_null
+dim_email_messages.subject: string
+dim_email_messages.sent_ts: timestamp
+dim_email_subscribers.subscriber_id: string, not_null
+dim_email_subscribers.email_address: string, not_null
+dim_email_subscribers.resend_contact_id: string
+dim_email_subscribers.is_subscribed: bool, not_null
+dim_email_subscribers.min_subscribed_ts: timestamp
+dim_email_subscribers.max_subscribed_ts: timestamp
+dim_email_subscribers.min_unsubscribed_ts: timestamp
+dim_email_subscribers.max_unsubscribed_ts: timestamp
+fct_email_events.email_event_id: string, not_null
+fct_email_events.subscriber_id: string
+fct_email_events.email_id: string, not_null
+fct_email_events.event_type: string, not_null
+fct_email_events.event_ts: timestamp, not_null
+fct_email_events.is_engagement: bool, not_null
+fct_email_events.is_privacy_or_bot_like: bool, not_null
+fct_email_events.email_event_details: json, not_null
+fct_email_subscribers_daily.email_subscriber_daily_id: string, not_null
+fct_email_subscribers_daily.date_day: date, not_null
+fct_email_subscribers_daily.subscriber_id: string, not_null
+fct_email_subscribers_daily.is_subscribed: bool, not_null
+fct_email_subscriber_messages.email_subscriber_message_id: string, not_null
+fct_email_subscriber_messages.email_id: string, not_null
+fct_email_subscriber_messages.subscriber_id: string, not_null
+fct_email_subscriber_messages.min_sent_ts: timestamp
+fct_email_subscriber_messages.min_delivered_ts: timestamp
+fct_email_subscriber_messages.min_opened_ts: timestamp
+fct_email_subscriber_messages.min_clicked_ts: timestamp
+fct_email_subscriber_messages.n_events_opened: int64, not_null
+fct_email_subscriber_messages.n_events_clicked: int64, not_null
+"""
 
 # contract type name -> Spark type. JSON is carried as JSON text; timestamps
 # are UTC wall-clock TIMESTAMP_NTZ.
@@ -54,17 +100,17 @@ TYPE_MAP = {
 }
 
 
-def _parse(text: str) -> list[tuple[str, str, bool]]:
-    cols = []
-    for part in text.split(", "):
-        name, typ = part.strip().split(" ", 1)
-        cols.append((name.rstrip("!"), typ, name.endswith("!")))
-    return cols
+def _parse(text: str) -> dict[str, list[tuple[str, str, bool]]]:
+    out: dict[str, list[tuple[str, str, bool]]] = {}
+    for line in text.strip().splitlines():
+        target, spec = line.split(": ", 1)
+        mart, column = target.split(".")
+        typ, _, constraint = spec.partition(", ")
+        out.setdefault(mart, []).append((column, typ, constraint == "not_null"))
+    return out
 
 
-CONTRACTS: dict[str, list[tuple[str, str, bool]]] = {
-    k: _parse(v) for k, v in CONTRACTS_TEXT.items()
-}
+CONTRACTS: dict[str, list[tuple[str, str, bool]]] = _parse(CONTRACTS_TEXT)
 
 
 def contract_schema(mart: str) -> T.StructType:
