@@ -73,3 +73,27 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 __all__ = ["local_session", "apply_defaults", "ensure_checkpoint_dir", "work_path"]
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a large run (to pass to the session builder).
+
+    * scans: ``maxPartitionBytes`` at the target size, so each task reads a
+      bounded slice whatever the table size;
+    * shuffles: an initial partition count large enough that each holds about
+      one target-size slice of the (at most input-sized) shuffled data, at
+      least 3 waves of tasks over all cores; AQE then coalesces small
+      partitions to the advisory size and splits skewed ones.
+    """
+    slices = max(1, -(-input_bytes // target_partition_bytes))
+    initial = max(3 * total_cores, slices)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
