@@ -54,9 +54,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _names(*cs) -> bool:
+    """True when every argument is a plain column name: the helper can then
+    hand Spark the whole expression as one SQL string (one call to build it
+    instead of one per sub-expression; same expression tree)."""
+    return all(isinstance(c, str) for c in cs)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def surrogate_key(cols: Iterable[Column | str]) -> Column:
     """md5 hex of the columns cast to string, NULL replaced by a marker,
     joined by '-'. Stable across runs and engines."""
+    cols = list(cols)
+    if _names(*cols):
+        parts = ", ".join(
+            f"coalesce(cast({_q(c)} as string), {_sql_str(SURROGATE_KEY_NULL)})" for c in cols)
+        return F.expr(f"md5(concat_ws({_sql_str(SURROGATE_KEY_SEPARATOR)}, {parts}))")
     parts = [
         F.coalesce(_col(c).cast("string"), F.lit(SURROGATE_KEY_NULL)) for c in cols
     ]
@@ -68,15 +88,21 @@ def strip_whitespace(c: Column | str) -> Column:
 
     ``F.trim`` removes only spaces; tabs and newlines would survive it. A
     character-set ``btrim`` does it without a regex engine per row."""
+    if _names(c):
+        return F.expr(f"btrim({_q(c)}, {_sql_str(WHITESPACE)})")
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def normalize_email(c: Column | str) -> Column:
     """lower(trim(address)): the cross-provider join key."""
+    if _names(c):
+        return F.expr(f"lower(btrim({_q(c)}, {_sql_str(WHITESPACE)}))")
     return F.lower(strip_whitespace(c))
 
 
 def empty_to_null(c: Column | str) -> Column:
+    if _names(c):
+        return F.expr(f"nullif({_q(c)}, '')")
     return F.nullif(_col(c), F.lit(""))
 
 
@@ -84,6 +110,12 @@ def normalize_event_type(c: Column | str) -> Column:
     """Empty -> NULL, lower case, provider names mapped, else every
     'email.' removed. The map is consulted before the prefix removal, so
     'email.open' becomes 'open', not 'opened'."""
+    if _names(c):
+        low = f"lower(nullif({_q(c)}, ''))"
+        branches = " ".join(f"WHEN {low} = {_sql_str(k)} THEN {_sql_str(v)}"
+                            for k, v in EVENT_TYPE_MAP.items())
+        return F.expr(f"CASE {branches} ELSE replace({low}, "
+                      f"{_sql_str(EVENT_TYPE_PREFIX)}, '') END")
     lowered = F.lower(empty_to_null(c))
     out = None
     for raw, norm in EVENT_TYPE_MAP.items():
@@ -97,6 +129,14 @@ def privacy_or_bot_reason(event_type: Column | str, user_agent: Column | str) ->
 
     Only opened/clicked events are classified. A NULL event type makes the
     NOT IN test NULL, so such rows are still tested against the patterns."""
+    if _names(event_type, user_agent):
+        et = _q(event_type)
+        agent = f"lower(coalesce({_q(user_agent)}, ''))"
+        kinds = ", ".join(_sql_str(k) for k in ENGAGEMENT_EVENT_TYPES)
+        return F.expr(
+            f"CASE WHEN NOT {et} IN ({kinds}) THEN CAST(NULL AS STRING) "
+            f"WHEN {agent} RLIKE {_sql_str(PRIVACY_PROXY_PATTERN)} THEN {_sql_str(PRIVACY_REASON)} "
+            f"WHEN {agent} RLIKE {_sql_str(BOT_SCANNER_PATTERN)} THEN {_sql_str(BOT_REASON)} END")
     et = _col(event_type)
     agent = F.lower(F.coalesce(_col(user_agent), F.lit("")))
     return (
