@@ -243,10 +243,6 @@ def epoch_seconds_to_ts(c: Column | str) -> Column:
     return F.timestamp_add("SECOND", _col(c), _epoch())
 
 
-def ts_to_epoch_seconds(c: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", _epoch(), _col(c))
-
-
 def load_id_to_ts(c: Column | str) -> Column:
     """Loader id text 'epoch_seconds.fraction' -> TIMESTAMP_NTZ at the
     millisecond, rounding half away from zero like an float->int64 cast."""
