@@ -19,7 +19,10 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="command", required=True)
     for name in ("build", "freshness", "checks"):
         sp = sub.add_parser(name)
-        sp.add_argument("--sf-dir", required=True, help="folder with the driver tables")
+        src = sp.add_mutually_exclusive_group(required=True)
+        src.add_argument("--sf-dir", help="folder with the driver tables (derived sources)")
+        src.add_argument("--sources-dir",
+                         help="folder with one Parquet folder per provider source table")
         sp.add_argument("--as-of", default=None, help="run date (default: today, UTC)")
         sp.add_argument("--master", default=None, help="local master, e.g. local[8]")
         if name in ("build", "checks"):
@@ -44,19 +47,24 @@ def main(argv: list[str] | None = None) -> int:
         ensure_checkpoint_dir(spark)
     as_of = args.as_of or default_as_of()
 
-    if args.command == "freshness":
+    if args.sources_dir:
+        from relaymart.sources.tables import SourceTables
+        sources = SourceTables(spark, args.sources_dir)
+    else:
         from relaymart.sources.fixtures import load_sources
-        from relaymart.sources.freshness import DECLARED, freshness_report
+        sources = load_sources(spark, args.sf_dir)
+
+    if args.command == "freshness":
+        from relaymart.sources.freshness import freshness_report
         now = args.now or f"{as_of} 00:00:00"
-        srcs = load_sources(spark, args.sf_dir, [d.source for d in DECLARED])
-        freshness_report(srcs, now).show(truncate=False)
+        freshness_report(sources, now).show(truncate=False)
         return 0
 
-    from relaymart.plans.pipeline import build_all
+    from relaymart.plans.pipeline import build
     from relaymart.quality.contracts import ContractError
     try:
-        res = build_all(spark, args.sf_dir, as_of=as_of, marts_dir=args.marts_dir,
-                        strict=args.strict, publish_base=args.publish_base)
+        res = build(spark, sources, as_of, marts_dir=args.marts_dir,
+                    strict=args.strict, publish_base=args.publish_base)
     except ContractError as e:
         print(f"contract violation: {e}", file=sys.stderr)
         return 2
