@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         freshness_report(sources, now).show(truncate=False)
         return 0
 
-    from relaymart.plans.pipeline import build
+    from relaymart.plans.build import build
     from relaymart.quality.contracts import ContractError
     try:
         res = build(spark, sources, as_of, marts_dir=args.marts_dir,

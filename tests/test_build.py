@@ -1,6 +1,6 @@
 import pytest
 
-from relaymart.plans.pipeline import build, build_all
+from relaymart.plans.build import build, build_all
 from relaymart.quality.contracts import ContractError
 from relaymart.session import work_path
 from relaymart.sources.fixtures import load_sources
