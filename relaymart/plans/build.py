@@ -3,8 +3,9 @@
 ``build(...)`` writes the shared intermediates once (to the cluster's shared
 checkpoint folder) so their several consumers read files instead of
 recomputing the plan, enforces each mart's contract before writing it,
-checks NOT NULL constraints on the written data, runs the declared check
-suite, and publishes the exports only when all of that passed.
+counts NULLs in its NOT NULL columns while writing it (observed metrics),
+runs the declared check suite, and publishes the exports only when all of
+that passed.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.operators.sets import union_all
 from relaymart.plans.graph import MARTS, ModelGraph
 from relaymart.quality.checks import run_suite
-from relaymart.quality.contracts import ContractError, enforce_schema, not_null_violations
+from relaymart.quality.contracts import ContractError, enforce_schema, not_null_columns
 from relaymart.session import apply_defaults, work_path
 from relaymart.sinks.publish import publish_exports, write_table
 from relaymart.sources.fixtures import load_sources
@@ -91,19 +91,25 @@ def build(
     g = ModelGraph(sources, as_of=as_of, materialize=_materializer(spark, inter_dir))
     marts: dict[str, DataFrame] = {}
     problems: list[str] = []
+    observations: dict[str, Observation] = {}
     for wave in mart_waves():
         # plans are built on this thread; independent marts are then written
-        # as concurrent Spark jobs (the scheduler shares the executors)
-        plans = {name: enforce_schema(g[name], name) for name in wave}
+        # as concurrent Spark jobs (the scheduler shares the executors). The
+        # NOT NULL constraints are counted *while* each mart is written
+        # (observed metrics of the write job): no second pass over the data.
+        plans = {}
+        for name in wave:
+            obs = observations[name] = Observation(f"not_null_{name}")
+            plans[name] = enforce_schema(g[name], name).observe(
+                obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_columns(name)])
         with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
             list(pool.map(lambda n: write_table(plans[n], f"{marts_dir}/{n}"), wave))
         for name in wave:
             marts[name] = spark.read.schema(plans[name].schema).parquet(f"{marts_dir}/{name}")
             g._cache[name] = marts[name]  # later marts read the written table
-    violations = union_all([not_null_violations(marts[n], n) for n in MARTS])
-    bad = violations.collect()  # at most one row per contract column
-    problems += [f"{r.mart}.{r.column_name}: {r.n_nulls} NULL(s) in a NOT NULL column"
-                 for r in bad]
+    bad = [(m, c, int(n)) for m, obs in observations.items() for c, n in obs.get.items() if n]
+    violations = spark.createDataFrame(bad, "mart string, column_name string, n_nulls bigint")
+    problems += [f"{m}.{c}: {n} NULL(s) in a NOT NULL column" for m, c, n in bad]
     if problems and strict:
         raise ContractError("; ".join(problems))
     report = None
