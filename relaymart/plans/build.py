@@ -57,6 +57,13 @@ MART_DEPENDENCIES = {
 }
 
 
+def register_table(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """(Re)register ``database.name`` as an external Parquet table at ``path``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+
+
 def mart_waves() -> list[list[str]]:
     """Marts grouped so each wave depends only on earlier waves."""
     done: set[str] = set()
@@ -78,13 +85,19 @@ def build(
     run_checks: bool = True,
     publish_base: str | None = None,
     threads: int = 4,
+    database: str | None = None,
 ) -> BuildResult:
     """Build every mart from ``sources``.
 
     ``strict``: raise :class:`ContractError` on a schema mismatch or a NOT
     NULL violation (nothing is published); otherwise record them in the
     result. Publishing happens only when there were no problems. Up to
-    ``threads`` independent marts are written at the same time."""
+    ``threads`` independent marts are written at the same time.
+
+    ``database``: also register each mart as the catalog table
+    ``<database>.<mart>`` (replaced on every build), the per-target schema
+    of a deployment (e.g. ``prd``, ``ci_<n>``, ``dev_<user>``); its data stays
+    at ``<marts_dir>/<mart>``."""
     apply_defaults(spark)
     inter_dir = work_path(spark, "intermediate")
     marts_dir = marts_dir or work_path(spark, "marts")
@@ -107,6 +120,8 @@ def build(
         for name in wave:
             marts[name] = spark.read.schema(plans[name].schema).parquet(f"{marts_dir}/{name}")
             g._cache[name] = marts[name]  # later marts read the written table
+            if database:
+                register_table(spark, database, name, f"{marts_dir}/{name}")
     bad = [(m, c, int(n)) for m, obs in observations.items() for c, n in obs.get.items() if n]
     violations = spark.createDataFrame(bad, "mart string, column_name string, n_nulls bigint")
     problems += [f"{m}.{c}: {n} NULL(s) in a NOT NULL column" for m, c, n in bad]

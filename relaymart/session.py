@@ -27,6 +27,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # catalog tables of a local session live in a scratch folder, not in
+        # the current directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="relaymart-warehouse-"))
     )
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)

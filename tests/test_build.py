@@ -59,3 +59,12 @@ def test_build_from_source_tables(spark, sf_small):
     for m in ("fct_email_subscribers_daily", "fct_form_submissions", "dim_jobs"):
         assert res.marts[m].exceptAll(ref.marts[m]).count() == 0
         assert res.marts[m].count() == ref.marts[m].count()
+
+
+def test_marts_registered_in_target_schema(spark, sf_small):
+    res = build(spark, load_sources(spark, sf_small), "2024-02-15", strict=False,
+                run_checks=False, database="relaymart_ci_test")
+    for name, df in res.marts.items():
+        t = spark.table(f"relaymart_ci_test.{name}")
+        assert t.columns == df.columns
+        assert t.count() == df.count()
