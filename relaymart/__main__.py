@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> int:
         if name in ("build", "checks"):
             sp.add_argument("--marts-dir", default=None)
             sp.add_argument("--publish-base", default=None)
+            sp.add_argument("--database", default=None,
+                            help="register the marts as tables in this schema (per target)")
             sp.add_argument("--strict", action="store_true",
                             help="fail on contract violations before running checks")
         if name == "freshness":
@@ -63,8 +65,8 @@ def main(argv: list[str] | None = None) -> int:
     from relaymart.plans.build import build
     from relaymart.quality.contracts import ContractError
     try:
-        res = build(spark, sources, as_of, marts_dir=args.marts_dir,
-                    strict=args.strict, publish_base=args.publish_base)
+        res = build(spark, sources, as_of, marts_dir=args.marts_dir, strict=args.strict,
+                    publish_base=args.publish_base, database=args.database)
     except ContractError as e:
         print(f"contract violation: {e}", file=sys.stderr)
         return 2
