@@ -30,3 +30,44 @@ def test_hot_address_lookup_and_rollup(spark):
     want = {f"m{k}": (sum(1 for i in range(n_hot) if i % 3 == k and i % 3 == 0),
                       sum(1 for i in range(n_hot) if i % 3 == k and i % 3 == 1)) for k in range(3)}
     assert per_msg == want
+
+
+def test_aqe_splits_a_hot_address_in_the_event_lookup(spark):
+    """With the sort-merge shape forced and tiny skew thresholds, the final
+    adaptive plan of the event -> subscriber lookup splits the hot address."""
+    import contextlib
+    import io
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t = dt.datetime(2024, 1, 1)
+        rows = [(f"e{i}", "m1", "resend", "opened", t, "s1",
+                 "hot@x.com" if i % 3 == 0 else f"u{i % 2000}@x.com", None, None, None, None,
+                 False, None) for i in range(60000)]
+        events = spark.createDataFrame(rows, EV)
+        subs = int_email_subscribers(spark.createDataFrame(
+            [(f"sid-{i}", "resend", f"c{i}", f"u{i}@x.com", "subscribed", t) for i in range(2000)]
+            + [("sid-hot", "resend", "ch", "hot@x.com", "subscribed", t)], SUBS))
+        fct = fct_email_events(events, subs)
+        got = fct.collect()
+        assert len(got) == 60000
+        assert sum(1 for r in got if r.subscriber_id is not None) == 60000
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fct.explain()
+        assert "isFinalPlan=true" in buf.getvalue()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
