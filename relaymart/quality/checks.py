@@ -277,12 +277,20 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
         if items:
             streams.append(df.select(F.explode(F.array(*items)).alias("e"))
                            .filter(F.col("e").isNotNull())
-                           .select(F.col("e.k").alias("k"), F.col("e.v").alias("v")))
+                           .select(F.col("e.k").alias("k"), F.col("e.v").alias("v"),
+                                   F.lit(1).cast("bigint").alias("w")))
         for i, c in chs:
             if c.kind == "relationships":
-                streams.append(failing_rows(c, get).select(
-                    F.lit(i).alias("k"), F.lit(None).cast("string").alias("v")))
-    counts = union_all(streams).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+                # orphan rows, counted per key on BOTH sides first: a child key
+                # holding a third of the rows leaves each task as one row, so
+                # the anti join only sees distinct keys
+                pm, pc = c.parent
+                child = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column)
+                         .agg(F.count(F.lit(1)).alias("w")))
+                parent = get(pm).select(F.col(pc).alias(c.column)).dropDuplicates()
+                streams.append(child.join(parent, c.column, "left_anti").select(
+                    F.lit(i).alias("k"), F.lit(None).cast("string").alias("v"), "w"))
+    counts = union_all(streams).groupBy("k", "v").agg(F.sum("w").alias("n"))
     # contribution of one (check, value) group to its check's failures
     kind = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("k") + 1)
     n = F.col("n")
