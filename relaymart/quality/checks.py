@@ -251,13 +251,15 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
     All checks become ONE stream of (check, value) pairs: every row of a
     model emits one pair per check it fails or feeds (NULL for not_null,
     badly normalized address, unaccepted value, every non-NULL value for
-    unique), so each model is scanned once for all of its checks; orphan
-    rows of each relationship (anti join against the parent's distinct
-    keys) join the stream. One grouped count per (check, value) - with a
-    map-side partial aggregate, so a million NULLs leave each task as one
-    row - and one final single-row aggregate give every failure count:
-    failing rows for not_null / normalized e-mail / relationships,
-    duplicated values for unique, distinct unaccepted values otherwise."""
+    unique), so each model is scanned once for all of its checks; each
+    relationship adds its orphan keys weighted by their row counts (child
+    rows counted per key map-side, then an anti join of those distinct keys
+    against the parent's distinct keys, so a hot child key cannot stall a
+    task). One weighted count per (check, value) - with a map-side partial
+    aggregate, so a million NULLs leave each task as one row - and one
+    per-check sum give every failure count: failing rows for not_null /
+    normalized e-mail / relationships, duplicated values for unique,
+    distinct unaccepted values otherwise."""
     get = models.__getitem__ if isinstance(models, Mapping) else models
     by_model: dict[str, list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks):
