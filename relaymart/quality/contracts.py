@@ -1,9 +1,10 @@
 """Enforced mart contracts: column names, types and NOT NULL constraints.
 
-The contract is also the published Parquet schema. ``enforce`` fails before
-anything is written; there is no silent casting. NOT NULL is checked on the
-data in one aggregate pass per mart (Parquet does not enforce it, and a
-DataFrame's declared nullability says nothing about its rows).
+The contract is also the published Parquet schema. ``enforce_schema`` fails
+before anything is written; there is no silent casting. NOT NULL is checked
+on the data (Parquet does not enforce it, and a DataFrame's declared
+nullability says nothing about its rows): in one aggregate pass per mart
+here, or as observed metrics of the write job in the build.
 """
 
 from __future__ import annotations
