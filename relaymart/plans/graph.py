@@ -30,9 +30,14 @@ MARTS = (
     "fct_form_submissions",
 )
 MODELS = STAGING + INTERMEDIATE + MARTS
-# models read by more than one consumer: worth writing once per build
-SHARED = ("int_email_message_events", "int_email_subscription_events",
-          "int_email_subscribers", "stg_resend__email_events")
+# models read by several consumers AND costly to recompute (the exploded,
+# normalised and keyed Resend events feed both the event union and its anti
+# join and are checked; the event union with its anti join; the lifecycle
+# union): written once per build. The subscriber aggregate is not: it is
+# cheap over the written lifecycle events and is written anyway as the
+# dim_email_subscribers mart.
+SHARED = ("stg_resend__email_events", "int_email_message_events",
+          "int_email_subscription_events")
 
 
 class ModelGraph:
