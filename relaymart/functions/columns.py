@@ -168,6 +168,40 @@ def json_document(c: Column | str) -> Column:
     return F.try_parse_json(_col(c))
 
 
+# Text accepted by the strict casts (anything else fails the query, as a bad
+# value fails the reference's cast): booleans true/false in any case; dates
+# as year-month-day with 1-2 digit month and day.
+STRICT_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+
+
+def _strict_cast_sql(value_sql: str, output_type: str) -> str:
+    if output_type == "boolean":
+        return (f"CASE WHEN {value_sql} IS NULL THEN CAST(NULL AS BOOLEAN) "
+                f"WHEN lower({value_sql}) IN ('true', 'false') THEN lower({value_sql}) = 'true' "
+                f"ELSE CAST(raise_error(concat('invalid boolean: ', {value_sql})) AS BOOLEAN) END")
+    if output_type == "date":
+        return (f"CASE WHEN {value_sql} IS NULL THEN CAST(NULL AS DATE) "
+                f"WHEN {value_sql} RLIKE {_sql_str(STRICT_DATE_PATTERN)} THEN CAST({value_sql} AS DATE) "
+                f"ELSE CAST(raise_error(concat('invalid date: ', {value_sql})) AS DATE) END")
+    return f"CAST({value_sql} AS {output_type})"
+
+
+def strict_cast(c: Column, output_type: str) -> Column:
+    """Cast text to ``output_type`` accepting only what a strict SQL cast
+    accepts for booleans and dates (Spark alone would also take 'yes', '1',
+    '2024' or a full timestamp); other types use the ordinary cast."""
+    if output_type == "boolean":
+        low = F.lower(c)
+        return (F.when(c.isNull(), F.lit(None).cast("boolean"))
+                .when(low.isin("true", "false"), low == "true")
+                .otherwise(F.raise_error(F.concat(F.lit("invalid boolean: "), c)).cast("boolean")))
+    if output_type == "date":
+        return (F.when(c.isNull(), F.lit(None).cast("date"))
+                .when(c.rlike(STRICT_DATE_PATTERN), c.cast("date"))
+                .otherwise(F.raise_error(F.concat(F.lit("invalid date: "), c)).cast("date")))
+    return c.cast(output_type)
+
+
 def json_fields(text: Column | str, keys) -> Column:
     """Parse JSON object text ONCE into a struct of the top-level ``keys``,
     each as text (strings unquoted; numbers/booleans as written; objects and
@@ -194,14 +228,14 @@ def json_field(fields: Column | str, text: Column | str, key: str,
         out = (f"CASE WHEN startswith({v}, '{{') OR startswith({v}, '[') "
                f"THEN {exact} ELSE {v} END")
         if output_type != "string":
-            out = f"CAST({out} AS {output_type})"
+            out = _strict_cast_sql(f"({out})", output_type)
         return F.expr(out)
     fields, text = _col(fields), _col(text)
     v = fields.getField(key)
     looks_nested = v.startswith("{") | v.startswith("[")
     exact = json_scalar(json_document(text), f"$.{key}")
     out = F.when(looks_nested, exact).otherwise(v)
-    return out if output_type == "string" else out.cast(output_type)
+    return out if output_type == "string" else strict_cast(out, output_type)
 
 
 def json_scalar(doc: Column, path: str, output_type: str = "string") -> Column:
@@ -214,7 +248,7 @@ def json_scalar(doc: Column, path: str, output_type: str = "string") -> Column:
     kind = F.schema_of_variant(node)
     text = F.try_variant_get(doc, path, "string")
     scalar = F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), text)
-    return scalar if output_type == "string" else scalar.cast(output_type)
+    return scalar if output_type == "string" else strict_cast(scalar, output_type)
 
 
 def json_string_array(doc: Column, path: str) -> Column:

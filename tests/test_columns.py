@@ -110,3 +110,22 @@ def test_json_field_struct_path(spark):
     assert (r.a, r.n, r.o, r.l, r.b, r.t, r.u, r.missing, r.bb) == \
         ("x", None, None, None, "true", "[tag] x", "{not nested}", None, True)
     assert all(v is None for v in rows[1])
+
+
+def test_strict_json_casts(spark):
+    import pytest
+    keys = ["b", "d"]
+    ok = spark.createDataFrame([('{"b":"TRUE","d":"2024-1-5"}',), ('{"b":false}',), ("{}",)], "j string")
+    ok = ok.withColumn("_f", C.json_fields("j", keys))
+    rows = ok.select(C.json_field("_f", "j", "b", "boolean").alias("b"),
+                     C.json_field("_f", "j", "d", "date").alias("d")).collect()
+    assert [(r.b, r.d) for r in rows] == [(True, dt.date(2024, 1, 5)), (False, None), (None, None)]
+    for bad in ('{"b":"yes"}', '{"d":"2024"}', '{"d":"2024-01-05 10:00:00"}'):
+        df = spark.createDataFrame([(bad,)], "j string").withColumn("_f", C.json_fields("j", keys))
+        with pytest.raises(Exception):
+            df.select(C.json_field("_f", "j", "b", "boolean"),
+                      C.json_field("_f", "j", "d", "date")).collect()
+        # the Column path (non-name inputs) is just as strict
+        with pytest.raises(Exception):
+            df.select(C.json_field(F.col("_f"), F.col("j"), "b", "boolean"),
+                      C.json_field(F.col("_f"), F.col("j"), "d", "date")).collect()
