@@ -25,7 +25,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, sf_small, name):
-    r = compare(QUERIES[name](spark, sf_small), ORACLE[name], con)
+    df = QUERIES[name](spark, sf_small)
+    assert len(set(df.columns)) == len(df.columns), df.columns
+    r = compare(df, ORACLE[name], con)
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
