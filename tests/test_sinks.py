@@ -57,3 +57,19 @@ def test_full_refresh_and_protection(spark):
         rows = spark.read.parquet(path).collect()
         assert len(rows) == 40
         assert all((r.v == 2 * r.id) == (expect_all or r.event_date.day >= 17) or r.id == 0 for r in rows)
+
+
+def test_read_published_missing_export(spark):
+    base = work_path(spark, "publish-missing")
+    publish_exports(spark, {"dim_jobs": spark.range(1), "dim_organizations": spark.range(1)},
+                    base, run_id="r1")
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, base, "no-such-export")
+
+
+def test_cluster_partition_sizing():
+    from relaymart.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600   # one 256 MB slice each
+    assert int(cluster_conf(1024, 64)["spark.sql.shuffle.partitions"]) == 192  # >= 3 waves
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
