@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relaymart.llm import decontaminate, packing, simhash
+from relaymart.llm import decontaminate, language_id, packing, secret_scan, simhash
 from relaymart.llm.common import table
 
 
@@ -14,15 +14,23 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_pack, op9_simhash)
+    f.__name__: f for f in (op2_decontaminate, op3_language_id, op4_pack, op7_secret_scan, op9_simhash)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import written
+from relaymart.llm.common import map_text, written
 
 SHINGLE = 4
 SEED = 42
@@ -316,3 +316,33 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) ->
     # a plain exchange on either side: Spark splits the partition of a hot fingerprint
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The documents, all columns as they are, with one of each group: that of
+    the smallest id (null last; of repeated rows, one)."""
+    fp, row = _free_name(docs, "fp"), _free_name(docs, "row")
+
+    def make():
+        def one(text: str | None):
+            return text, int(np.uint64(fingerprint(text, shingle)).astype(np.int64))
+
+        return one
+
+    # written, so that each row keeps its number
+    marked = map_text(docs, "text", make, f"{fp} long").withColumn(row, F.monotonically_increasing_id())
+    marked = written(marked, "fingerprinted")
+    prints = marked.select(F.col("doc_id").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    nodes = written(prints.groupBy("fp").agg(first), "fingerprint-classes")
+    roots = written(components(links(nodes.select("fp"), max_bits)), "components")
+    of_root = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
+        F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    stay = written(of_root.select(F.col("first.row").alias(row)), "stay")
+    return marked.join(stay, row, "left_semi").select(*docs.columns)
+
+
+def _free_name(docs: DataFrame, name: str) -> str:
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
