@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from relaymart.llm import decontaminate, language_id, license_scan, packing, quality_fm, secret_scan, simhash
+from relaymart.llm import decontaminate, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash
 from relaymart.llm.common import table
 
 
@@ -39,7 +40,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op7_secret_scan, op9_simhash)
+    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op7_secret_scan, op9_simhash, op10_nearest)
 }
 ORACLE_SQL: dict[str, str] = {}
