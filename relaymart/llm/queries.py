@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.llm import decontaminate, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash
+from relaymart.llm import decontaminate, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash, warc
 from relaymart.llm.common import table
 
 
@@ -32,6 +32,24 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+OP6_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html)) as n, sha1(html) as hex from p),
+m as (select hex, max(page_id) as last from d group by hex)
+select d.page_id, d.n::bigint as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + ((('0x' || substr(d.hex, (1 + 5 * (i // 4))::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31))::int, 1)), '')
+    as payload_digest,
+  case when d.page_id = m.last then 'response' else 'revisit' end as record_type,
+  case when d.page_id <> m.last then m.last end as refers_to
+from d join m using (hex)
+"""
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +63,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op7_secret_scan, op9_simhash, op10_nearest)
+    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op6_warc, op7_secret_scan, op9_simhash, op10_nearest)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
