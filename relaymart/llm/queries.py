@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.llm import decontaminate, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash, warc
+from relaymart.llm import decontaminate, html_wrappers, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash, warc
 from relaymart.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -63,6 +67,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op6_warc, op7_secret_scan, op9_simhash, op10_nearest)
+    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op6_warc, op7_secret_scan, op8_html_text, op9_simhash, op10_nearest)
 }
 ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
