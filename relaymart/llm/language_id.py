@@ -137,7 +137,7 @@ def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[lis
             for lang, group in frame.groupby("lang"):
                 whole = np.rint(bundles(list(group["text"])) * _SCALE).astype(np.int64).sum(axis=0)
                 total[lang] = total.get(lang, 0) + whole
-        yield pd.DataFrame({"lang": list(total), "v": [v.tolist() for v in total.values()]})
+        yield pd.DataFrame([(lang, v.tolist()) for lang, v in total.items()], columns=["lang", "v"])
 
     parts = rows.filter(chosen).select("lang", "text").mapInPandas(sums, "lang string, v array<long>")
     summed = (parts.select("lang", F.posexplode("v").alias("i", "x"))

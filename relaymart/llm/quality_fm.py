@@ -162,9 +162,9 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = S
     known = labels.select(F.col("doc_id"), F.col("quality").cast("int").alias("label")).filter(
         learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     total = known.count()
-    machine = Machine.start()
     if not total:
-        return machine
+        return Machine(0.0, np.zeros(PLACES), np.zeros((PLACES, FACTORS)))
+    machine = Machine.start()
     share = int(min(1.0, sample / total) * 2**31)
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < F.lit(share))
     # at most about `sample` ids: bounded by the parameter

@@ -170,9 +170,9 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, segment: int = SEGMENT,
                                         f"{task}-{number}", segment):
                     parts.append(one)
                     size += len(one)
-                if size >= archive:
-                    yield pd.DataFrame({"archive": [_END.join(parts)]})
-                    parts, size = [], 0
+                    if size >= archive:
+                        yield pd.DataFrame({"archive": [_END.join(parts)]})
+                        parts, size = [], 0
         if parts:
             yield pd.DataFrame({"archive": [_END.join(parts)]})
 

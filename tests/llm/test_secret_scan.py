@@ -1,0 +1,73 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from relaymart.llm import secret_scan as s
+from tests_llm_rows import MESSY, doc
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute(text):
+    text = text or ""
+    out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out, key=lambda x: (x[1], s.KINDS.index(x[0])))
+
+
+def secrets(n=200, seed=3):
+    rng = random.Random(seed)
+    hexes = lambda k: "".join(rng.choices("0123456789abcdef", k=k))
+    rows = []
+    for i in range(n):
+        word = rng.choice(["Password = ", "token=", 'api_key": "', "APIKEY : ", "passwd=short", "token=secret=",
+                           "password: token: ", "é K token = "])
+        rows.append(doc(i, f"some é text {word}{hexes(rng.choice([6, 18, 40]))} and AKIA{hexes(rng.choice([3, 16])).upper()}"
+                           f" or {hexes(rng.choice([20, 31, 32, 64]))}."))
+    return rows
+
+
+def test_base_spans_against_brute_force():
+    for _, text, *_ in secrets() + MESSY:
+        assert [(k, a, b) for k, a, b, _ in s.base_spans(text)[0]] == brute(text)
+
+
+def test_automaton_learns_the_format():
+    rng = random.Random(8)
+    a = s.FormatAutomaton(["".join(rng.choices("0123456789abcdef", k=rng.randint(16, 40))) for _ in range(500)])
+    fresh = ["".join(rng.choices("0123456789abcdef", k=30)) for _ in range(200)]
+    assert sum(map(a.accepts, fresh)) >= 190
+    assert not any(map(a.accepts, ["thequickbrownfox1234", "ABCDEF0123456789ABCD", "12-34-56-78-90-12-34"]))
+    assert len(a.next) < 200  # merged, not a list of the values
+    for q, out in enumerate(a.next):
+        assert out.keys() <= a.count[q].keys()
+
+
+def test_report_keeps_base_spans_and_adds_formats(corpus):
+    bare = doc(500, "see 0a1b2c3d4e5f60718293 here, card 4041894974608795 and antidisestablishmentarianism")
+    rows = secrets() + [bare] + [(r[0] and r[0] + 1000, *r[1:]) for r in MESSY]
+    docs = corpus(rows).withColumn("spans", F.lit(1)).withColumn("secret_spans", F.lit(2))
+    out = s.report(docs).collect()
+    assert len(out) == len(rows)
+    texts = {r[0]: r[1] for r in rows}
+    for r in out:
+        base = [f"{k}:{a}:{b}" for k, a, b in brute(texts[r.doc_id])] if r.doc_id is not None else []
+        spans = r.spans.split(",") if r.spans else []
+        assert [x for x in spans if not x.startswith("format")] == base
+        assert r.n_assign + r.n_access + r.n_hex == len(base)
+    assert {r.doc_id: r.spans for r in out}[500] == "format:4:24"
+
+
+def test_redaction(corpus):
+    docs = corpus(secrets() + MESSY)
+    out = s.redact(docs, s.learn(docs)).collect()
+    assert len(out) == 200 + len(MESSY) and out[0].__fields__ == docs.columns
+    assert not any(brute(r.text) for r in out)
+    clean = {r.doc_id: r for r in out}
+    assert clean[6].text == MESSY[8][1] and clean[6].n_chars == len(MESSY[8][1])
+
+
+def test_empty_table(corpus):
+    assert s.report(corpus([])).count() == 0
