@@ -4,13 +4,17 @@
                   driver tables in ``--sf-dir``, enforce contracts, run the
                   161 checks, and publish the exports when ``--publish-base``
                   is given and nothing failed;
-* ``freshness`` - print the source freshness report;
-* ``checks``    - print the failing checks of a build.
+* ``freshness`` - print the source freshness report (exit status 1 if a source
+                  is too old);
+* ``checks``    - print the failing checks of a build;
+* ``publish``   - export the marts in ``--marts-dir`` as the manifest says and
+                  make them current, without a build.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 
@@ -34,6 +38,17 @@ def main(argv: list[str] | None = None) -> int:
                             help="fail on contract violations before running checks")
         if name == "freshness":
             sp.add_argument("--now", default=None, help="UTC timestamp to age against")
+        if name == "build":
+            sp.add_argument("--manifest", default=None, help="JSON file with the exports")
+            sp.add_argument("--full-refresh", action="store_true",
+                            help="rewrite unprotected incremental tables whole")
+            sp.add_argument("--web-export", action="append", default=[], metavar="ID=PATH",
+                            help="event export (Parquet) of a web-analytics property")
+    sp = sub.add_parser("publish")
+    sp.add_argument("--marts-dir", required=True)
+    sp.add_argument("--publish-base", required=True)
+    sp.add_argument("--manifest", default=None, help="JSON file with the exports")
+    sp.add_argument("--master", default=None, help="local master, e.g. local[8]")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -47,6 +62,13 @@ def main(argv: list[str] | None = None) -> int:
         spark = SparkSession.builder.getOrCreate()
         apply_defaults(spark)
         ensure_checkpoint_dir(spark)
+    manifest = None
+    if getattr(args, "manifest", None):
+        from relaymart.sinks.publish import load_manifest
+        with open(args.manifest, encoding="utf-8") as f:
+            manifest = load_manifest(f.read())
+    if args.command == "publish":
+        return publish(spark, args.marts_dir, args.publish_base, manifest)
     as_of = args.as_of or default_as_of()
 
     if args.sources_dir:
@@ -58,15 +80,19 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "freshness":
         from relaymart.sources.freshness import freshness_report
-        now = args.now or f"{as_of} 00:00:00"
-        freshness_report(sources, now).show(truncate=False)
-        return 0
+        now = args.now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        rows = freshness_report(sources, now).collect()  # one row a source
+        for r in rows:
+            print(f"{r.source}: {r.status}, newest row {r.max_loaded_at}, {r.age_hours} h old")
+        return int(any(r.status == "error" for r in rows))
 
     from relaymart.plans.build import build
     from relaymart.quality.contracts import ContractError
     try:
         res = build(spark, sources, as_of, marts_dir=args.marts_dir, strict=args.strict,
-                    publish_base=args.publish_base, database=args.database)
+                    publish_base=args.publish_base, database=args.database, manifest=manifest,
+                    web_exports=_web_exports(spark, getattr(args, "web_export", [])),
+                    full_refresh=getattr(args, "full_refresh", False))
     except ContractError as e:
         print(f"contract violation: {e}", file=sys.stderr)
         return 2
@@ -80,5 +106,24 @@ def main(argv: list[str] | None = None) -> int:
     return 1 if res.problems else 0
 
 
+def _web_exports(spark, items: list[str]):
+    return {int(i): spark.read.parquet(path) for i, _, path in (item.partition("=") for item in items)}
+
+
+def publish(spark, marts_dir: str, base: str, manifest=None) -> int:
+    """Export marts whose last build was checked without a failure."""
+    from relaymart.sinks import files
+    from relaymart.sinks.publish import load_manifest, publish_exports
+
+    marts_dir, manifest = marts_dir.rstrip("/"), manifest or load_manifest()
+    report = f"{marts_dir}/_check_report"
+    if not files.exists(spark, report) or spark.read.parquet(report).filter("failures > 0").limit(1).count():
+        print("the marts were not checked, or a check failed: nothing published", file=sys.stderr)
+        return 1
+    marts = {spec.relation: spark.read.parquet(f"{marts_dir}/{spec.relation}") for spec in manifest}
+    publish_exports(spark, marts, base, manifest).show(truncate=False)
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())

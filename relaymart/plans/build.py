@@ -2,14 +2,17 @@
 
 ``build(...)`` writes the shared intermediates once (to the cluster's shared
 checkpoint folder) so their several consumers read files instead of
-recomputing the plan, enforces each mart's contract before writing it,
-counts NULLs in its NOT NULL columns while writing it (observed metrics),
-runs the declared check suite, and publishes the exports only when all of
-that passed.
+recomputing the plan, enforces each mart's contract before writing it, and
+counts NULLs in its NOT NULL columns while writing it (observed metrics).
+Marts are written in a run folder and put in the place of the old ones only
+when all of them are written and, in a strict build, none was refused. Then
+the declared checks run, and the exports are published only when all of that
+passed. The run folder and the intermediates are removed at the end.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -21,14 +24,17 @@ from relaymart.plans.graph import MARTS, ModelGraph
 from relaymart.quality.checks import run_suite
 from relaymart.quality.contracts import ContractError, enforce_schema, not_null_columns
 from relaymart.session import apply_defaults, work_path
+from relaymart.operators.sets import combine_properties
+from relaymart.sinks import files
 from relaymart.sinks.publish import publish_exports, write_table
 from relaymart.sources.fixtures import load_sources
+from relaymart.sources.tables import UtcSources
+from relaymart.streaming.incremental import rebuild_trailing_window
 
 
 @dataclass
 class BuildResult:
     marts: dict[str, DataFrame]
-    intermediates_dir: str
     marts_dir: str
     constraint_violations: DataFrame
     check_report: DataFrame | None
@@ -44,6 +50,9 @@ def _materializer(spark: SparkSession, base: str):
     return materialize
 
 
+# Fixed value: first day of the web-analytics exports that is read.
+WEB_START_DATE = "20220101"
+
 # mart -> marts it reads (the rest of its inputs are staging/intermediate)
 MART_DEPENDENCIES = {
     "dim_organizations": (),
@@ -58,12 +67,25 @@ MART_DEPENDENCIES = {
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> None:
-    """(Re)register ``database.name`` as an external Parquet table at ``path``."""
+    """Register ``database.name`` as an external Parquet table at ``path``. A
+    table that is there already at this path with these columns only has its
+    file listing renewed, so its readers see no gap."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    full, columns = f"`{database}`.`{name}`", spark.read.parquet(path).dtypes
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        spark.sql(f"REFRESH TABLE {full}")
+        location = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect() if r.col_name == "Location"]
+        if location[:1] == [_qualified(spark, path)] and spark.table(full).dtypes == columns:
+            return
+        spark.sql(f"DROP TABLE {full}")
     spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, p = files._path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def mart_waves() -> list[list[str]]:
     """Marts grouped so each wave depends only on earlier waves."""
     done: set[str] = set()
@@ -86,25 +108,51 @@ def build(
     publish_base: str | None = None,
     threads: int = 4,
     database: str | None = None,
+    manifest=None,
+    web_exports: Mapping[int, DataFrame] | None = None,
+    full_refresh: bool = False,
 ) -> BuildResult:
     """Build every mart from ``sources``.
 
     ``strict``: raise :class:`ContractError` on a schema mismatch or a NOT
-    NULL violation (nothing is published); otherwise record them in the
-    result. Publishing happens only when there were no problems. Up to
-    ``threads`` independent marts are written at the same time.
+    NULL violation, before marts that read the refused one are built; what was
+    there before the build, tables included, stays as it was. Otherwise
+    violations are recorded in the result. Publishing happens only after the
+    checks ran and when there were no problems. Up to ``threads`` independent
+    marts are written at the same time.
+
+    ``web_exports``: event exports by web-analytics property; their union is
+    rebuilt over the trailing window at ``<marts_dir>/web_events`` (or whole,
+    if it is not there yet; its history is protected, so ``full_refresh`` does
+    not rewrite it). The marts themselves are rebuilt whole in every build.
 
     ``database``: also register each mart as the catalog table
     ``<database>.<mart>`` (replaced on every build), the per-target schema
     of a deployment (e.g. ``prd``, ``ci_<n>``, ``dev_<user>``); its data stays
     at ``<marts_dir>/<mart>``."""
     apply_defaults(spark)
+    if publish_base and not run_checks:
+        raise ValueError("only checked data is published")
     inter_dir = work_path(spark, "intermediate")
-    marts_dir = marts_dir or work_path(spark, "marts")
+    marts_dir = (marts_dir or work_path(spark, "marts")).rstrip("/")
+    run_dir = f"{marts_dir}/_run-{uuid.uuid4().hex[:12]}"
+    try:
+        return _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_checks, publish_base, threads,
+                      database, manifest, web_exports, full_refresh)
+    finally:
+        files.remove(spark, run_dir)
+        files.remove(spark, inter_dir)
+
+
+def _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_checks, publish_base, threads,
+           database, manifest, web_exports, full_refresh) -> BuildResult:
+    sources = UtcSources(sources)
     g = ModelGraph(sources, as_of=as_of, materialize=_materializer(spark, inter_dir))
     marts: dict[str, DataFrame] = {}
     problems: list[str] = []
     observations: dict[str, Observation] = {}
+    bad: list[tuple[str, str, int]] = []
+    schemas: dict = {}
     for wave in mart_waves():
         # plans are built on this thread; independent marts are then written
         # as concurrent Spark jobs (the scheduler shares the executors). The
@@ -116,17 +164,26 @@ def build(
             plans[name] = enforce_schema(g[name], name).observe(
                 obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_columns(name)])
         with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
-            list(pool.map(lambda n: write_table(plans[n], f"{marts_dir}/{n}"), wave))
-        for name in wave:
-            marts[name] = spark.read.schema(plans[name].schema).parquet(f"{marts_dir}/{name}")
-            g._cache[name] = marts[name]  # later marts read the written table
-            if database:
-                register_table(spark, database, name, f"{marts_dir}/{name}")
-    bad = [(m, c, int(n)) for m, obs in observations.items() for c, n in obs.get.items() if n]
+            list(pool.map(lambda n: write_table(plans[n], f"{run_dir}/new/{n}"), wave))
+        bad += [(m, c, int(n)) for m in wave for c, n in observations[m].get.items() if n]
+        if bad and strict:
+            raise ContractError("; ".join(_problem(*b) for b in bad))
+        for name in wave:  # later marts read the written table
+            g._cache[name] = spark.read.schema(plans[name].schema).parquet(f"{run_dir}/new/{name}")
+        schemas |= {name: plans[name].schema for name in wave}
+    files.remove(spark, f"{marts_dir}/_check_report")  # of the marts that go
+    for name in schemas:
+        files.switch(spark, f"{run_dir}/new/{name}", f"{marts_dir}/{name}", f"{run_dir}/old/{name}")
+    for name, schema in schemas.items():
+        marts[name] = g._cache[name] = spark.read.schema(schema).parquet(f"{marts_dir}/{name}")
+        if database:
+            register_table(spark, database, name, f"{marts_dir}/{name}")
     violations = spark.createDataFrame(bad, "mart string, column_name string, n_nulls bigint")
-    problems += [f"{m}.{c}: {n} NULL(s) in a NOT NULL column" for m, c, n in bad]
-    if problems and strict:
-        raise ContractError("; ".join(problems))
+    problems += [_problem(*b) for b in bad]
+    if web_exports:
+        union = combine_properties(web_exports, WEB_START_DATE)
+        rebuild_trailing_window(spark, union, f"{marts_dir}/web_events", "event_date", as_of,
+                                full_refresh=full_refresh, protected=True)
     report = None
     if run_checks:
         lookup = {**{n: g[n] for n in g._cache}, **marts}
@@ -138,8 +195,12 @@ def build(
             problems.append(f"{failed} data check(s) failed")
     published = None
     if publish_base and not problems:
-        published = publish_exports(spark, marts, publish_base)
-    return BuildResult(marts, inter_dir, marts_dir, violations, report, published, problems)
+        published = publish_exports(spark, marts, publish_base, manifest)
+    return BuildResult(marts, marts_dir, violations, report, published, problems)
+
+
+def _problem(mart: str, column: str, n: int) -> str:
+    return f"{mart}.{column}: {n} NULL(s) in a NOT NULL column"
 
 
 def build_all(spark: SparkSession, sf_dir: str, as_of: str, **kw) -> BuildResult:

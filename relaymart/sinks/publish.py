@@ -2,8 +2,10 @@
 
 Executors write in parallel; nothing passes through the driver. Exports of
 one publish run are written side by side under ``<base>/runs/<run_id>/`` and
-then made current together by overwriting the one-row-per-export pointer
-table ``<base>/_current``, so readers never mix two runs' versions.
+then made current together by a new version of the one-row-per-export pointer
+table, ``<base>/_pointers/<version>``. Readers take the newest version that was
+written to its end, so there is always one, and they never mix two runs. The
+last ``KEEP`` versions and their runs stay, older ones are removed.
 """
 
 from __future__ import annotations
@@ -16,6 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relaymart.sinks import files
+
+#: Pointer versions (and their runs) that stay: the current one, and some for
+#: readers that have begun on an older one.
+KEEP = 3
+
 # The published exports (name, dataset, relation).
 MANIFEST_JSON = """[
   {"name": "jobs", "dataset": "dbt_prd", "relation": "dim_jobs"},
@@ -74,8 +82,7 @@ def publish_exports(
     manifest: list[ExportSpec] | None = None,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Export every manifest relation, then switch ``<base>/_current`` to
-    this run. Returns the pointer rows (name, relation, run_id, path)."""
+    """Export every manifest relation, then make this run the current one. Returns the pointer rows (name, relation, run_id, path)."""
     manifest = manifest if manifest is not None else load_manifest()
     run_id = run_id or uuid.uuid4().hex[:12]
     rows = []
@@ -84,15 +91,37 @@ def publish_exports(
         export_parquet(relations[spec.relation], path)
         rows.append((spec.name, spec.relation, run_id, path))
     pointer = spark.createDataFrame(rows, "name string, relation string, run_id string, path string")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{base.rstrip('/')}/_current")
+    base = base.rstrip("/")
+    versions = _versions(spark, base)
+    version = f"{int(versions[-1]) + 1 if versions else 1:012d}"
+    pointer.coalesce(1).write.mode("errorifexists").json(f"{base}/_pointers/{version}")
+    for old in [*versions, version][:-KEEP]:
+        runs = {r.run_id for r in _pointer(spark, base, old).select("run_id").collect()} - {run_id}
+        files.remove(spark, f"{base}/_pointers/{old}")
+        for r in runs:
+            files.remove(spark, f"{base}/runs/{r}")
     return pointer
 
 
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    """Pointer versions that were written to their end, oldest first."""
+    return sorted(v for v in files.names(spark, f"{base}/_pointers")
+                  if files.exists(spark, f"{base}/_pointers/{v}/_SUCCESS"))
+
+
+def _pointer(spark: SparkSession, base: str, version: str) -> DataFrame:
+    return spark.read.schema("name string, relation string, run_id string, path string").json(
+        f"{base}/_pointers/{version}")
+
+
 def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Read the current version of an export."""
-    ptr = spark.read.schema("name string, relation string, run_id string, path string") \
-        .json(f"{base.rstrip('/')}/_current").filter(F.col("name") == name)
-    paths = [r.path for r in ptr.select("path").collect()]  # one small pointer row
+    base = base.rstrip("/")
+    versions = _versions(spark, base)
+    if not versions:
+        raise FileNotFoundError(f"nothing is published under {base}")
+    paths = [r.path for r in _pointer(spark, base, versions[-1]).filter(F.col("name") == name)
+             .select("path").collect()]  # one small pointer row
     if not paths:
         raise FileNotFoundError(f"no published export {name!r} under {base}")
     return spark.read.parquet(paths[0])

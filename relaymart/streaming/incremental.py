@@ -3,9 +3,10 @@
 The marts are refreshed on a schedule; late or restated rows only touch the
 last few days. ``rebuild_trailing_window`` recomputes just those day
 partitions and replaces them in place (dynamic partition overwrite), leaving
-every older partition untouched. A full refresh rewrites every partition,
-unless the table is *protected* (its history cannot be recomputed), in which
-case it is still refreshed incrementally.
+every older partition untouched; days of the window that have no rows any more
+are removed. A full refresh rewrites every partition, unless the table is
+*protected* (its history cannot be recomputed), in which case it is still
+refreshed incrementally.
 
 There is no Structured Streaming here: the sources are append-style tables
 read in full on each run, and nothing in the marts keeps cross-run state.
@@ -13,23 +14,27 @@ read in full on each run, and nothing in the marts keeps cross-run state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from relaymart.sinks import files
+
 # Fixed value: days rebuilt on an incremental run.
 STATIC_INCREMENTAL_DAYS = 7
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018  (lists files only)
-        return True
-    except Exception:  # noqa: BLE001 - missing path / no files
-        return False
+def should_full_refresh(now: dt.datetime, last_full_refresh: str) -> bool:
+    """Whether a scheduled run refreshes everything: the first one of a Sunday
+    (UTC). ``last_full_refresh`` is the ISO date of the last, or empty."""
+    today = now.astimezone(dt.timezone.utc).date()
+    return today.isoweekday() == 7 and today.isoformat() != last_full_refresh
 
 
-def window_start(as_of: str, days: int) -> F.Column:
-    return F.date_sub(F.lit(as_of).cast("date"), days)
+def window_days(as_of: str, days: int) -> list[dt.date]:
+    last = dt.date.fromisoformat(as_of)
+    return [last - dt.timedelta(days=k) for k in range(days, -1, -1)]
 
 
 def rebuild_trailing_window(
@@ -44,17 +49,34 @@ def rebuild_trailing_window(
 ) -> str:
     """Write ``rows`` into the ``date_col``-partitioned table at ``path``.
 
-    * first run (no table) or ``full_refresh`` on an unprotected table:
-      every partition is rewritten from ``rows``;
-    * otherwise only partitions with ``date_col >= as_of - days`` are
+    * first run (the file system says that there is nothing at ``path``) or
+      ``full_refresh`` on an unprotected table: every partition is rewritten;
+    * otherwise only partitions from ``as_of - days`` to ``as_of`` are
       replaced; ``rows`` is filtered before it is computed, so the filter
-      reaches the source scan. Returns the mode used ('full'|'incremental').
+      reaches the source scan. The new days are switched in by one dynamic
+      overwrite; then days that were there and got no rows (counted while
+      writing) are removed. A run that dies between the two leaves only such
+      days behind, and the next run removes them.
+
+    Rows are rebalanced by day before the write, so that a day has files of
+    about the advisory size, whatever the number of tasks. An error of the
+    file system is raised and leaves the table as it is. Returns the mode used
+    ('full'|'incremental').
     """
-    full = (not _exists(spark, path)) or (full_refresh and not protected)
-    w = (rows if full else rows.filter(F.col(date_col) >= window_start(as_of, days)))
-    (w.write.mode("overwrite")
+    full = not files.exists(spark, path) or (full_refresh and not protected)
+    window = window_days(as_of, days)
+    if not full:
+        rows = rows.filter(F.col(date_col).between(F.lit(window[0]), F.lit(window[-1])))
+    found = Observation("rows_by_day")
+    if not full:
+        rows = rows.observe(found, *[F.count_if(F.col(date_col) == F.lit(d)).alias(d.isoformat()) for d in window])
+    (rows.hint("rebalance", date_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "static" if full else "dynamic")
      .option("compression", "zstd")
      .partitionBy(date_col)
      .parquet(path))
+    if not full:
+        empty = {f"{date_col}={day}" for day, n in found.get.items() if not n}
+        for name in empty.intersection(files.names(spark, path)):
+            files.remove(spark, f"{path}/{name}")
     return "full" if full else "incremental"

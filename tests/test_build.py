@@ -27,23 +27,79 @@ def test_lenient_build_reports_and_does_not_publish(spark, sf_small):
                               "fct_form_submissions"}
 
 
-def test_clean_build_publishes(spark, sf_small):
-    """With every job's organization present and checks not run, the build
-    has no problems and publishes both exports."""
+def clean_sources(spark, sf_dir):
+    """Every job's organization is present, and every event type accepted."""
     from pyspark.sql import functions as F
-
-    from relaymart.sinks.publish import read_published
-    src = dict(load_sources(spark, sf_small))
+    src = dict(load_sources(spark, sf_dir))
     orgs = src["content_organizations"].select(
         F.regexp_extract("file_path", r"(org-\d+)", 1).alias("org"))
     src["content_jobs"] = src["content_jobs"].join(
         orgs, F.regexp_extract("file_path", r"/(org-\d+)/", 1) == F.col("org"), "left_semi")
+    src["resend_wh_contacts"] = src["resend_wh_contacts"].filter(
+        "event_type in ('contact.created', 'contact.updated')")
+    # one recipient an e-mail: addresses that differ by case only repeat ids
+    for name in ("resend_wh_emails", "resend_emails_backfill"):
+        src[name] = src[name].withColumn("to_addresses", F.slice("to_addresses", 1, 1))
+    return src
+
+
+def test_clean_build_publishes(spark, sf_small):
+    """A build without problems publishes both exports, one without checks
+    none."""
+    from relaymart.sinks import files
+    from relaymart.sinks.publish import read_published
+    src = clean_sources(spark, sf_small)
     base = work_path(spark, "pub")
-    res = build(spark, src, "2024-02-15", run_checks=False, publish_base=base)
-    assert res.problems == []
+    with pytest.raises(ValueError):
+        build(spark, src, "2024-02-15", run_checks=False, publish_base=base)
+    res = build(spark, src, "2024-02-15", publish_base=base)
+    assert res.problems == [], res.check_report.filter("failures > 0").collect()
     assert read_published(spark, base, "jobs").count() == res.marts["dim_jobs"].count() > 0
     assert read_published(spark, base, "organizations").count() == \
         res.marts["dim_organizations"].count()
+    # run folder and intermediates are gone
+    assert sorted(files.names(spark, res.marts_dir)) == sorted([*res.marts, "_check_report"])
+
+
+def test_refused_build_leaves_marts_and_tables_as_they_were(spark, sf_small):
+    from relaymart.sinks import files
+    marts_dir, db = work_path(spark, "marts"), "relaymart_refused"
+    build(spark, clean_sources(spark, sf_small), "2024-02-15", marts_dir=marts_dir, run_checks=False, database=db)
+    def listing(name):
+        return sorted(files.names(spark, f"{marts_dir}/{name}"))
+    before = {n: listing(n) for n in files.names(spark, marts_dir)}
+    rows = sorted(map(str, spark.table(f"{db}.dim_jobs").collect()))
+    with pytest.raises(ContractError, match="dim_jobs.organization_id"):
+        build(spark, load_sources(spark, sf_small), "2024-02-15", marts_dir=marts_dir, database=db)
+    assert {n: listing(n) for n in files.names(spark, marts_dir)} == before
+    assert sorted(map(str, spark.table(f"{db}.dim_jobs").collect())) == rows
+    assert sorted(map(str, spark.read.parquet(f"{marts_dir}/dim_jobs").collect())) == rows
+
+
+def test_zoned_timestamps_give_the_same_marts(spark, sf_small):
+    """Sources with TIMESTAMP columns, under two session zones."""
+    from pyspark.sql import functions as F
+
+    from relaymart.sources.tables import SourceTables
+    derived = load_sources(spark, sf_small)
+    base = work_path(spark, "zoned")
+    for name in derived:
+        df = derived[name]
+        ntz = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+        df.withColumns({c: F.to_timestamp(F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00")))
+                        for c in ntz}).write.parquet(f"{base}/{name}")
+    assert "timestamp" in dict(spark.read.parquet(f"{base}/resend_wh_emails").dtypes).values()
+    ref = build(spark, derived, "2024-02-15", strict=False, run_checks=False)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for tz in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            res = build(spark, SourceTables(spark, base), "2024-02-15", strict=False, run_checks=False)
+            for m in ref.marts:
+                assert res.marts[m].exceptAll(ref.marts[m]).count() == 0
+                assert res.marts[m].count() == ref.marts[m].count()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_build_from_source_tables(spark, sf_small):

@@ -73,3 +73,56 @@ def test_cluster_partition_sizing():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600   # one 256 MB slice each
     assert int(cluster_conf(1024, 64)["spark.sql.shuffle.partitions"]) == 192  # >= 3 waves
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_vanished_days_go_and_later_days_wait(spark):
+    path = work_path(spark, "inc-vanish")
+    rebuild_trailing_window(spark, _days(spark, 1), path, "event_date", "2024-01-20")
+    restated = _days(spark, 2).filter("event_date <> date '2024-01-18'").unionByName(
+        spark.sql("select 99 as id, date '2024-01-21' as event_date, 1.0D as v"))
+    assert rebuild_trailing_window(spark, restated, path, "event_date", "2024-01-20", days=3) == "incremental"
+    days = {r.event_date.day for r in spark.read.parquet(path).select("event_date").distinct().collect()}
+    assert days == set(range(1, 21)) - {18}
+
+
+def test_failed_listing_leaves_a_protected_table(spark, monkeypatch):
+    from relaymart.sinks import files
+    path = work_path(spark, "inc-guard")
+    rebuild_trailing_window(spark, _days(spark, 1), path, "event_date", "2024-01-20", protected=True)
+
+    def refused(*_):
+        raise TimeoutError("listing refused")
+
+    monkeypatch.setattr(files, "exists", refused)
+    with pytest.raises(TimeoutError):
+        rebuild_trailing_window(spark, _days(spark, 2), path, "event_date", "2024-01-20", protected=True)
+    assert spark.read.parquet(path).filter("v = id").count() == 40
+
+
+def test_files_of_a_day_do_not_follow_the_tasks(spark):
+    from relaymart.sinks import files
+    path = work_path(spark, "inc-files")
+    rebuild_trailing_window(spark, _days(spark, 1).repartition(16), path, "event_date", "2024-01-20")
+    parts = [f for d in files.names(spark, path) if "=" in d for f in files.names(spark, f"{path}/{d}") if f.startswith("part")]
+    assert len(parts) <= 2 * 20
+
+
+def test_refresh_decision():
+    import datetime as dt
+
+    from relaymart.streaming.incremental import should_full_refresh
+    at = lambda d, h=0: dt.datetime(2026, 6, d, h, tzinfo=dt.timezone.utc)
+    assert should_full_refresh(at(14), "2026-06-07") and should_full_refresh(at(14, 12), "")
+    assert not should_full_refresh(at(14, 18), "2026-06-14")
+    assert not should_full_refresh(at(13), "2026-06-07") and not should_full_refresh(at(15), "2026-06-07")
+
+
+def test_an_unfinished_pointer_is_not_read(spark):
+    from relaymart.sinks import files
+    base = work_path(spark, "publish-half")
+    for n in range(1, 6):
+        publish_exports(spark, {"dim_jobs": spark.range(n), "dim_organizations": spark.range(1)}, base)
+    half = files._path(spark, f"{base}/_pointers/{9:012d}")
+    half[0].mkdirs(half[1])
+    assert read_published(spark, base, "jobs").count() == 5
+    assert len(files.names(spark, f"{base}/runs")) == 3
