@@ -54,29 +54,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _names(*cs) -> bool:
-    """True when every argument is a plain column name: the helper can then
-    hand Spark the whole expression as one SQL string (one call to build it
-    instead of one per sub-expression; same expression tree)."""
-    return all(isinstance(c, str) for c in cs)
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _sql_str(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def surrogate_key(cols: Iterable[Column | str]) -> Column:
     """md5 hex of the columns cast to string, NULL replaced by a marker,
     joined by '-'. Stable across runs and engines."""
-    cols = list(cols)
-    if _names(*cols):
-        parts = ", ".join(
-            f"coalesce(cast({_q(c)} as string), {_sql_str(SURROGATE_KEY_NULL)})" for c in cols)
-        return F.expr(f"md5(concat_ws({_sql_str(SURROGATE_KEY_SEPARATOR)}, {parts}))")
     parts = [
         F.coalesce(_col(c).cast("string"), F.lit(SURROGATE_KEY_NULL)) for c in cols
     ]
@@ -88,21 +68,15 @@ def strip_whitespace(c: Column | str) -> Column:
 
     ``F.trim`` removes only spaces; tabs and newlines would survive it. A
     character-set ``btrim`` does it without a regex engine per row."""
-    if _names(c):
-        return F.expr(f"btrim({_q(c)}, {_sql_str(WHITESPACE)})")
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def normalize_email(c: Column | str) -> Column:
     """lower(trim(address)): the cross-provider join key."""
-    if _names(c):
-        return F.expr(f"lower(btrim({_q(c)}, {_sql_str(WHITESPACE)}))")
     return F.lower(strip_whitespace(c))
 
 
 def empty_to_null(c: Column | str) -> Column:
-    if _names(c):
-        return F.expr(f"nullif({_q(c)}, '')")
     return F.nullif(_col(c), F.lit(""))
 
 
@@ -110,12 +84,6 @@ def normalize_event_type(c: Column | str) -> Column:
     """Empty -> NULL, lower case, provider names mapped, else every
     'email.' removed. The map is consulted before the prefix removal, so
     'email.open' becomes 'open', not 'opened'."""
-    if _names(c):
-        low = f"lower(nullif({_q(c)}, ''))"
-        branches = " ".join(f"WHEN {low} = {_sql_str(k)} THEN {_sql_str(v)}"
-                            for k, v in EVENT_TYPE_MAP.items())
-        return F.expr(f"CASE {branches} ELSE replace({low}, "
-                      f"{_sql_str(EVENT_TYPE_PREFIX)}, '') END")
     lowered = F.lower(empty_to_null(c))
     out = None
     for raw, norm in EVENT_TYPE_MAP.items():
@@ -129,14 +97,6 @@ def privacy_or_bot_reason(event_type: Column | str, user_agent: Column | str) ->
 
     Only opened/clicked events are classified. A NULL event type makes the
     NOT IN test NULL, so such rows are still tested against the patterns."""
-    if _names(event_type, user_agent):
-        et = _q(event_type)
-        agent = f"lower(coalesce({_q(user_agent)}, ''))"
-        kinds = ", ".join(_sql_str(k) for k in ENGAGEMENT_EVENT_TYPES)
-        return F.expr(
-            f"CASE WHEN NOT {et} IN ({kinds}) THEN CAST(NULL AS STRING) "
-            f"WHEN {agent} RLIKE {_sql_str(PRIVACY_PROXY_PATTERN)} THEN {_sql_str(PRIVACY_REASON)} "
-            f"WHEN {agent} RLIKE {_sql_str(BOT_SCANNER_PATTERN)} THEN {_sql_str(BOT_REASON)} END")
     et = _col(event_type)
     agent = F.lower(F.coalesce(_col(user_agent), F.lit("")))
     return (
@@ -160,32 +120,12 @@ def job_slug(path: Column | str) -> Column:
     return path_part(path, JOB_SLUG_POSITION)
 
 
-def json_document(c: Column | str) -> Column:
-    """Parse JSON text once into a VARIANT; malformed text gives NULL.
-
-    Project this as a column and read every key from it, so each document
-    is parsed a single time per row."""
-    return F.try_parse_json(_col(c))
-
-
 # Text accepted by the strict casts (anything else fails the query, as a bad
 # value fails the reference's cast): booleans true/false in any case; dates
 # as year-month-day with 1-2 digit month and day.
 STRICT_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
-def _strict_cast_sql(value_sql: str, output_type: str) -> str:
-    if output_type == "boolean":
-        return (f"CASE WHEN {value_sql} IS NULL THEN CAST(NULL AS BOOLEAN) "
-                f"WHEN lower({value_sql}) IN ('true', 'false') THEN lower({value_sql}) = 'true' "
-                f"ELSE CAST(raise_error(concat('invalid boolean: ', {value_sql})) AS BOOLEAN) END")
-    if output_type == "date":
-        return (f"CASE WHEN {value_sql} IS NULL THEN CAST(NULL AS DATE) "
-                f"WHEN {value_sql} RLIKE {_sql_str(STRICT_DATE_PATTERN)} THEN CAST({value_sql} AS DATE) "
-                f"ELSE CAST(raise_error(concat('invalid date: ', {value_sql})) AS DATE) END")
-    return f"CAST({value_sql} AS {output_type})"
-
-
 def strict_cast(c: Column, output_type: str) -> Column:
     """Cast text to ``output_type`` accepting only what a strict SQL cast
     accepts for booleans and dates (Spark alone would also take 'yes', '1',
@@ -202,12 +142,28 @@ def strict_cast(c: Column, output_type: str) -> Column:
     return c.cast(output_type)
 
 
+# One parser with the same options reads every JSON value: strict double quotes;
+# of a repeated key the last value counts; malformed text has no values.
+_JSON_OPTIONS = {"allowSingleQuotes": "false"}
+
+
 def json_fields(text: Column | str, keys) -> Column:
     """Parse JSON object text ONCE into a struct of the top-level ``keys``,
-    each as text (strings unquoted; numbers/booleans as written; objects and
-    arrays re-serialised). Malformed text gives NULL fields."""
-    schema = ", ".join(f"`{k}` string" for k in keys)
-    return F.from_json(_col(text), schema)
+    each as text (strings unquoted; numbers as the parser prints them, so
+    100000.00 is 100000.0; objects and arrays re-serialised). Malformed text
+    gives NULL fields. Which text the reference's warehouse gives for such
+    numbers could not be confirmed."""
+    return F.from_json(_col(text), ", ".join(f"`{k}` string" for k in keys), _JSON_OPTIONS)
+
+
+def _json_node(text: Column | str, key: str) -> Column:
+    """Top-level ``key`` as a VARIANT, which knows the value's JSON type."""
+    return F.from_json(_col(text), f"`{key}` variant", _JSON_OPTIONS).getField(key)
+
+
+def _is_nested(node: Column) -> Column:
+    kind = F.schema_of_variant(node)
+    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
 
 
 def json_field(fields: Column | str, text: Column | str, key: str,
@@ -215,61 +171,28 @@ def json_field(fields: Column | str, text: Column | str, key: str,
     """Scalar value of top-level ``key`` from :func:`json_fields`, with the
     scalar-only rule: an object or array gives NULL. Only values that look
     like one (text starting with '{' or '[') are re-checked against the
-    document's real JSON type, so the extra parse is paid by those rows only.
-
-    With column *names* the whole expression is handed to Spark as one SQL
-    expression (one call to build it instead of one per sub-expression)."""
-    if isinstance(fields, str) and isinstance(text, str):
-        v = f"`{fields}`.`{key}`"
-        node = f"try_variant_get(try_parse_json(`{text}`), '$.{key}', 'variant')"
-        exact = (f"CASE WHEN NOT (startswith(schema_of_variant({node}), 'OBJECT') OR "
-                 f"startswith(schema_of_variant({node}), 'ARRAY')) THEN "
-                 f"try_variant_get(try_parse_json(`{text}`), '$.{key}', 'string') END")
-        out = (f"CASE WHEN startswith({v}, '{{') OR startswith({v}, '[') "
-               f"THEN {exact} ELSE {v} END")
-        if output_type != "string":
-            out = _strict_cast_sql(f"({out})", output_type)
-        return F.expr(out)
-    fields, text = _col(fields), _col(text)
-    v = fields.getField(key)
-    looks_nested = v.startswith("{") | v.startswith("[")
-    exact = json_scalar(json_document(text), f"$.{key}")
-    out = F.when(looks_nested, exact).otherwise(v)
+    value's real JSON type, so a second parse is paid by those rows only.
+    Other types than string are cast strictly: junk raises."""
+    v = _col(fields).getField(key)
+    nested = (v.startswith("{") | v.startswith("[")) & _is_nested(_json_node(text, key))
+    out = F.when(~F.coalesce(nested, F.lit(False)), v)
     return out if output_type == "string" else strict_cast(out, output_type)
 
 
-def json_scalar(doc: Column, path: str, output_type: str = "string") -> Column:
-    """Scalar JSON value at ``path`` cast to ``output_type``.
-
-    ``doc`` is a VARIANT from :func:`json_document`. JSON null, a missing key
-    or malformed JSON give NULL; an object or array gives NULL as well (only
-    scalars are values). The final cast is strict: junk raises under ANSI."""
-    node = F.try_variant_get(doc, path, "variant")
-    kind = F.schema_of_variant(node)
-    text = F.try_variant_get(doc, path, "string")
-    scalar = F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), text)
-    return scalar if output_type == "string" else strict_cast(scalar, output_type)
-
-
-def json_string_array(doc: Column, path: str) -> Column:
-    """Array of scalars at ``path`` as array<string>; NULL when missing,
-    not an array, or when an element is an object/array."""
-    node = F.try_variant_get(doc, path, "variant")
-    kind = F.schema_of_variant(node)
-    arr = F.try_variant_get(doc, path, "array<string>")
-    nested = F.try_variant_get(doc, path, "array<variant>")
-    has_nested = F.exists(
-        nested,
-        lambda x: F.schema_of_variant(x).startswith("OBJECT")
-        | F.schema_of_variant(x).startswith("ARRAY"),
-    )
-    return F.when(kind.startswith("ARRAY") & ~has_nested, arr)
+def json_string_array(fields: Column | str, text: Column | str, key: str) -> Column:
+    """Array of scalars at top-level ``key`` as array<string>; NULL when
+    missing, not an array, or when an element is an object or array."""
+    v = _col(fields).getField(key)
+    node = _json_node(text, key)
+    has_nested = F.exists(F.try_variant_get(node, "$", "array<variant>"), _is_nested)
+    is_array = v.startswith("[") & F.schema_of_variant(node).startswith("ARRAY")
+    return F.when(is_array & ~F.coalesce(has_nested, F.lit(False)), F.from_json(v, "array<string>", _JSON_OPTIONS))
 
 
 def json_object_strip_nulls(*pairs: tuple[str, Column]) -> Column:
     """JSON object text from (key, value) pairs with NULL members dropped;
     all-NULL gives '{}'. Booleans stay JSON booleans."""
-    return F.to_json(F.struct(*[v.alias(k) for k, v in pairs]))
+    return F.to_json(F.struct(*[v.alias(k) for k, v in pairs]), {"ignoreNullFields": "true"})
 
 
 def epoch_seconds_to_ts(c: Column | str) -> Column:

@@ -56,19 +56,21 @@ select submission_id, form_name, {O.sk("'netlify'", 'submission_id')} as key_sou
 from netlify_form_submissions""", ["netlify_form_submissions"]))
 
 
+def _json_columns(spark, sf_dir, source: str, *outputs: tuple[str, str, str]) -> DataFrame:
+    """file_path and (key, type, name) scalars of a content source's documents,
+    by the reader that the models use."""
+    keys = list(dict.fromkeys(key for key, _, _ in outputs))
+    docs = _src(spark, sf_dir, source).withColumn("_j", C.json_fields("frontmatter", keys))
+    return docs.select("file_path", *[
+        C.json_field("_j", "frontmatter", key, kind).alias(name) for key, kind, name in outputs])
+
+
 def op_json_scalar(spark, sf_dir):
-    doc = F.col("_doc")
-    s = _src(spark, sf_dir, "content_jobs").select(
-        "file_path", C.json_document("frontmatter").alias("_doc"))
-    return s.select(
-        "file_path",
-        C.json_scalar(doc, "$.title").alias("title"),
-        C.json_scalar(doc, "$.salary").alias("salary"),
-        C.json_scalar(doc, "$.description").alias("description"),   # JSON null
-        C.json_scalar(doc, "$.location").alias("location"),         # missing key
-        C.json_scalar(doc, "$.tags").alias("tags_as_scalar"),        # array -> NULL
-        C.json_scalar(doc, "$.active").alias("active_text"),
-    )
+    """A JSON null, a missing key and an array all give NULL."""
+    return _json_columns(
+        spark, sf_dir, "content_jobs", ("title", "string", "title"), ("salary", "string", "salary"),
+        ("description", "string", "description"), ("location", "string", "location"),
+        ("tags", "string", "tags_as_scalar"), ("active", "string", "active_text"))
 
 
 register("op_json_scalar", op_json_scalar, O.with_query(f"""
@@ -81,26 +83,12 @@ from content_jobs""", ["content_jobs"]))
 
 
 def op_json_typed(spark, sf_dir):
-    doc = F.col("_doc")
-    s = _src(spark, sf_dir, "content_organizations").select(
-        "file_path", C.json_document("frontmatter").alias("_doc"))
-    j = _src(spark, sf_dir, "content_jobs").select(
-        "file_path", C.json_document("frontmatter").alias("_doc"))
-    orgs = s.select(
-        "file_path",
-        C.json_scalar(doc, "$.active", "boolean").alias("is_active"),
-        C.json_scalar(doc, "$.featured", "boolean").alias("is_featured"),
-        F.lit(None).cast("date").alias("date_added"),
-        F.lit(None).cast("date").alias("date_removed"),
-    )
-    jobs = j.select(
-        "file_path",
-        C.json_scalar(doc, "$.active", "boolean").alias("is_active"),
-        C.json_scalar(doc, "$.featured", "boolean").alias("is_featured"),
-        C.json_scalar(doc, "$.date", "date").alias("date_added"),
-        C.json_scalar(doc, "$.closed_at", "date").alias("date_removed"),
-    )
-    return orgs.unionByName(jobs)
+    flags = ("active", "boolean", "is_active"), ("featured", "boolean", "is_featured")
+    none = F.lit(None).cast("date")
+    orgs = _json_columns(spark, sf_dir, "content_organizations", *flags)
+    jobs = _json_columns(spark, sf_dir, "content_jobs", *flags, ("date", "date", "date_added"),
+                         ("closed_at", "date", "date_removed"))
+    return orgs.select("*", none.alias("date_added"), none.alias("date_removed")).unionByName(jobs)
 
 
 register("op_json_typed", op_json_typed, O.with_query(f"""
@@ -117,13 +105,8 @@ from content_jobs""", ["content_organizations", "content_jobs"]))
 
 def op_json_bool(spark, sf_dir):
     """JSON scalar cast to boolean (strict: junk raises under ANSI)."""
-    j = _src(spark, sf_dir, "content_organizations")
-    j = j.withColumn("_j", C.json_fields("frontmatter", ["active", "featured"]))
-    return j.select(
-        "file_path",
-        C.json_field(F.col("_j"), F.col("frontmatter"), "active", "boolean").alias("is_active"),
-        C.json_field(F.col("_j"), F.col("frontmatter"), "featured", "boolean").alias("is_featured"),
-    )
+    return _json_columns(spark, sf_dir, "content_organizations",
+                         ("active", "boolean", "is_active"), ("featured", "boolean", "is_featured"))
 
 
 register("op_json_bool", op_json_bool, O.with_query(f"""
@@ -134,13 +117,8 @@ from content_organizations""", ["content_organizations"]))
 
 def op_json_date(spark, sf_dir):
     """JSON scalar cast to date; a missing key gives NULL."""
-    j = _src(spark, sf_dir, "content_jobs")
-    j = j.withColumn("_j", C.json_fields("frontmatter", ["date", "closed_at"]))
-    return j.select(
-        "file_path",
-        C.json_field(F.col("_j"), F.col("frontmatter"), "date", "date").alias("date_added"),
-        C.json_field(F.col("_j"), F.col("frontmatter"), "closed_at", "date").alias("date_removed"),
-    )
+    return _json_columns(spark, sf_dir, "content_jobs",
+                         ("date", "date", "date_added"), ("closed_at", "date", "date_removed"))
 
 
 register("op_json_date", op_json_date, O.with_query(f"""
@@ -150,14 +128,13 @@ from content_jobs""", ["content_jobs"]))
 
 
 def op_json_array(spark, sf_dir):
-    doc = F.col("_doc")
-    s = _src(spark, sf_dir, "content_jobs").select(
-        "file_path", C.json_document("frontmatter").alias("_doc"))
-    return s.select(
+    docs = _src(spark, sf_dir, "content_jobs").withColumn("_j", C.json_fields("frontmatter", ["tags", "title"]))
+    tags = C.json_string_array("_j", "frontmatter", "tags")
+    return docs.select(
         "file_path",
-        F.array_join(C.json_string_array(doc, "$.tags"), ",").alias("tags"),
-        F.size(C.json_string_array(doc, "$.tags")).alias("n_tags"),
-        F.array_join(C.json_string_array(doc, "$.title"), ",").alias("title_as_array"),
+        F.array_join(tags, ",").alias("tags"),
+        F.size(tags).alias("n_tags"),
+        F.array_join(C.json_string_array("_j", "frontmatter", "title"), ",").alias("title_as_array"),
     )
 
 

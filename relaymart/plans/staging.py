@@ -15,7 +15,7 @@ from relaymart.functions import columns as C
 from relaymart.operators.unnest import explode_not_null
 
 
-JOB_KEYS = ("active", "featured", "date", "closed_at", "title", "url", "description",
+JOB_KEYS = ("tags", "active", "featured", "date", "closed_at", "title", "url", "description",
             "location", "salary")
 ORGANIZATION_KEYS = ("active", "featured", "title", "about", "about_short", "website",
                      "headcount", "headcount_inferred", "location", "location_inferred")
@@ -44,7 +44,7 @@ def stg_jobs(jobs: DataFrame) -> DataFrame:
         v("description").alias("description"),
         v("location").alias("location"),
         v("salary").alias("salary"),
-        C.json_string_array(C.json_document("frontmatter"), "$.tags").alias("tags"),
+        C.json_string_array("_j", "frontmatter", "tags").alias("tags"),
     )
 
 
