@@ -248,58 +248,53 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
               checks: list[Check] = DECLARED) -> DataFrame:
     """One row per check: (model, column_name, check_name, failures).
 
-    All checks become ONE stream of (check, value) pairs: every row of a
-    model emits one pair per check it fails or feeds (NULL for not_null,
-    badly normalized address, unaccepted value, every non-NULL value for
-    unique), so each model is scanned once for all of its checks; each
-    relationship adds its orphan keys weighted by their row counts (child
-    rows counted per key map-side, then an anti join of those distinct keys
-    against the parent's distinct keys, so a hot child key cannot stall a
-    task). One weighted count per (check, value) - with a map-side partial
-    aggregate, so a million NULLs leave each task as one row - and one
-    per-check sum give every failure count: failing rows for not_null /
-    normalized e-mail / relationships, duplicated values for unique,
-    distinct unaccepted values otherwise."""
+    Rows that pass cost a comparison and nothing more. NULLs and badly
+    normalized addresses are counted by one aggregate a model (partial counts
+    on every task, one row a task to merge). Only what must be compared with
+    other rows becomes (check, value) pairs: every non-NULL value of a unique
+    column, unaccepted values, and each relationship's orphan keys weighted by
+    their row counts (child rows are counted per key map-side, then distinct
+    keys meet in an anti join, so a hot child key cannot stall a task). One
+    weighted count per (check, value), with a map-side partial aggregate, and
+    one per-check sum give duplicated values for unique, distinct unaccepted
+    values, and orphan rows."""
     get = models.__getitem__ if isinstance(models, Mapping) else models
     by_model: dict[str, list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks):
         by_model.setdefault(ch.model, []).append((i, ch))
     streams: list[DataFrame] = []
+    counted: list[DataFrame] = []
     for model, chs in by_model.items():
         df = get(model)
-        items = []
-        for i, c in chs:
-            col = F.col(c.column)
-            if c.kind in ("not_null", "normalized_email"):
-                items.append(_pair(i, _row_predicate(c, df), None))
-            elif c.kind == "unique":
-                items.append(_pair(i, col.isNotNull(), col))
-            elif c.kind == "accepted_values":
-                items.append(_pair(i, _row_predicate(c, df), col))
-        if items:
-            streams.append(df.select(F.explode(F.array(*items)).alias("e"))
-                           .filter(F.col("e").isNotNull())
-                           .select(F.col("e.k").alias("k"), F.col("e.v").alias("v"),
-                                   F.lit(1).cast("bigint").alias("w")))
+        by_row = [(i, _row_predicate(c, df)) for i, c in chs if c.kind in ("not_null", "normalized_email")]
+        if by_row:
+            one = df.agg(*[F.count_if(p).alias(f"c{i}") for i, p in by_row])
+            counted.append(one.select(F.inline(F.array(*[
+                F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("failures")) for i, _ in by_row]))))
+        pairs = [_pair(i, F.col(c.column).isNotNull(), F.col(c.column)) for i, c in chs if c.kind == "unique"]
+        pairs += [_pair(i, _row_predicate(c, df), F.col(c.column)) for i, c in chs if c.kind == "accepted_values"]
+        if pairs:
+            streams.append(df.select(F.explode(F.array_compact(F.array(*pairs))).alias("e")).select(
+                F.col("e.k").alias("k"), F.col("e.v").alias("v"), F.lit(1).cast("bigint").alias("w")))
         for i, c in chs:
             if c.kind == "relationships":
-                # orphan rows, counted per key on BOTH sides first: a child key
-                # holding a third of the rows leaves each task as one row, so
-                # the anti join only sees distinct keys
                 pm, pc = c.parent
                 child = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column)
                          .agg(F.count(F.lit(1)).alias("w")))
                 parent = get(pm).select(F.col(pc).alias(c.column)).dropDuplicates()
                 streams.append(child.join(parent, c.column, "left_anti").select(
                     F.lit(i).alias("k"), F.lit(None).cast("string").alias("v"), "w"))
-    counts = union_all(streams).groupBy("k", "v").agg(F.sum("w").alias("n"))
-    # contribution of one (check, value) group to its check's failures
-    kind = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("k") + 1)
-    n = F.col("n")
-    contrib = (F.when(kind == "unique", F.when(n > 1, 1).otherwise(0))
-               .when(kind == "accepted_values", F.lit(1))
-               .otherwise(n))
-    per_check = counts.groupBy("k").agg(F.sum(contrib).cast("bigint").alias("failures"))
+    parts = list(counted)
+    if streams:
+        counts = union_all(streams).groupBy("k", "v").agg(F.sum("w").alias("n"))
+        # contribution of one (check, value) group to its check's failures
+        kind = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("k") + 1)
+        n = F.col("n")
+        contrib = (F.when(kind == "unique", F.when(n > 1, 1).otherwise(0))
+                   .when(kind == "accepted_values", F.lit(1))
+                   .otherwise(n))
+        parts.append(counts.groupBy("k").agg(F.sum(contrib).cast("bigint").alias("failures")))
+    per_check = union_all(parts)
     # label the (at most one per check) result rows; checks without rows pass
     labels = F.array(*[_result(c, F.lit(i)) for i, c in enumerate(checks)])
     catalog = per_check.sparkSession.range(1).select(F.inline(labels)).withColumnRenamed(
