@@ -173,13 +173,20 @@ def fct_form_submissions(
     organizations: DataFrame,
 ) -> DataFrame:
     """Form submissions of both providers linked to subscriber, job and
-    organization; the job's organization wins over a direct match."""
-    fs = union_all([netlify.select(*FORM_COLUMNS), webflow.select(*FORM_COLUMNS)])
-    fs = lookup_join(fs, subscribers, ["email_address"], ["subscriber_id"])
+    organization; the job's organization wins over a direct match.
+
+    Only submissions that name an organization can match a job or one, so only
+    these enter the two slug joins; all others (every Webflow row) go straight
+    to the address lookup, and no NULL key is shuffled by slug."""
+    forms = union_all([netlify.select(*FORM_COLUMNS), webflow.select(*FORM_COLUMNS)])
+    named = F.col("organization_slug").isNotNull()
     j = jobs.select("organization_slug", "job_slug", "job_id",
                     F.col("organization_id").alias("job_organization_id"))
-    fs = fs.join(j, ["organization_slug", "job_slug"], "left")
-    fs = lookup_join(fs, organizations, ["organization_slug"], ["organization_id"])
+    linked = forms.filter(named).join(j, ["organization_slug", "job_slug"], "left")
+    linked = lookup_join(linked, organizations, ["organization_slug"], ["organization_id"])
+    none = {c: F.lit(None).cast("string") for c in ("job_id", "job_organization_id", "organization_id")}
+    linked = union_all([linked, forms.filter(~named).withColumns(none)])
+    fs = lookup_join(linked, subscribers, ["email_address"], ["subscriber_id"])
     return fs.select(
         "form_submission_id", "source_form_submission_id", "source", "form_name",
         "subscriber_id", "job_id",

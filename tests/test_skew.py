@@ -71,3 +71,40 @@ def test_aqe_splits_a_hot_address_in_the_event_lookup(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_slugs_enter_no_slug_join(spark):
+    """Two thirds of the submissions name no organization: they are in no
+    shuffle by slug, and keep their rows; one of them may still name a job."""
+    from relaymart.plans.marts import FORM_COLUMNS, fct_form_submissions
+
+    schema = ", ".join(f"{c} {'timestamp_ntz' if c == 'submitted_ts' else 'string'}" for c in FORM_COLUMNS)
+    t = dt.datetime(2024, 1, 1)
+
+    def form(i, org, job):
+        return (f"f{i}", f"s{i}", "netlify", "apply", f"u{i % 7}@x.com", job, org, None, None, "{}", t)
+
+    netlify = spark.createDataFrame([form(i, *(("o1", "j1"), ("o2", "none"), ("o9", None))[i % 3]) for i in range(300)]
+                                    + [form(900, None, "j1")], schema)
+    webflow = spark.createDataFrame([form(1000 + i, None, None) for i in range(600)], schema)
+    subs = spark.createDataFrame([("k1", "u1@x.com")], "subscriber_id string, email_address string")
+    jobs = spark.createDataFrame([("o1", "j1", "job-1", "org-1")],
+                                 "organization_slug string, job_slug string, job_id string, organization_id string")
+    orgs = spark.createDataFrame([("o1", "org-1"), ("o2", "org-2")], "organization_slug string, organization_id string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = fct_form_submissions(netlify, webflow, subs, jobs, orgs)
+        rows = {r.form_submission_id: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) == 901
+    assert (rows["f0"].job_id, rows["f0"].organization_id) == ("job-1", "org-1")
+    assert (rows["f1"].job_id, rows["f1"].organization_id, rows["f1"].subscriber_id) == (None, "org-2", "k1")
+    assert (rows["f2"].job_id, rows["f2"].organization_id) == (None, None)
+    assert (rows["f900"].job_id, rows["f900"].organization_id) == (None, None)
+    assert rows["f1000"].organization_id is None
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 3
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnotnull(organization_slug") >= 1 and plan.count("isnull(organization_slug") >= 1
