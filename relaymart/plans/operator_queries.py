@@ -32,6 +32,7 @@ PROPERTY_IDS = (333655999, 466027950)
 PROPERTY_START_DATE = "20220101"
 FRESHNESS_AS_OF_TS = "2024-01-31 00:00:00"
 INCREMENTAL_AS_OF = "2024-01-30"
+INCREMENTAL_VANISHED = "2024-01-27"  # a day of the window without restated rows
 
 
 def _src(spark, sf_dir, name) -> DataFrame:
@@ -625,23 +626,27 @@ def _event_days(spark, sf_dir, factor: float) -> DataFrame:
 
 def incremental_window(spark, sf_dir):
     """Initial full build, then a 7-day trailing rebuild from restated rows
-    (values doubled): only the last 7 days (as of the run date) change."""
+    (values doubled, one day of the window gone): only the last 7 days (as of
+    the run date) change, and the day without rows is removed."""
     apply_defaults(spark)
     path = work_path(spark, "incremental")
     rebuild_trailing_window(spark, _event_days(spark, sf_dir, 1.0), path, "event_date", INCREMENTAL_AS_OF)
-    rebuild_trailing_window(spark, _event_days(spark, sf_dir, 2.0), path, "event_date", INCREMENTAL_AS_OF)
+    restated = _event_days(spark, sf_dir, 2.0).filter(F.col("event_date") != F.lit(INCREMENTAL_VANISHED).cast("date"))
+    rebuild_trailing_window(spark, restated, path, "event_date", INCREMENTAL_AS_OF)
     return spark.read.parquet(path).select("event_id", "user_id", "event_type", "value", "event_date")
 
 
 def _incremental_sql(full: bool, label: str | None = None) -> str:
-    restated = "true" if full else f"cast(ts as date) >= date '{INCREMENTAL_AS_OF}' - {STATIC_INCREMENTAL_DAYS}"
+    restated = "true" if full else (
+        f"cast(ts as date) between date '{INCREMENTAL_AS_OF}' - {STATIC_INCREMENTAL_DAYS} and date '{INCREMENTAL_AS_OF}'")
     lab = f"'{label}' as table_kind, " if label else ""
     return (f"select {lab}event_id, user_id, event_type, "
             f"case when {restated} then value * 2.0 else value * 1.0 end as value, "
             f"cast(ts as date) as event_date from events")
 
 
-register("incremental_window", incremental_window, _incremental_sql(False))
+register("incremental_window", incremental_window,
+         _incremental_sql(False) + f" where cast(ts as date) <> date '{INCREMENTAL_VANISHED}'")
 
 
 def incremental_full_refresh(spark, sf_dir):

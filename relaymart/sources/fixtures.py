@@ -125,7 +125,7 @@ def _derivations(idiv: str, epoch_seconds: str, add_days: str) -> dict[str, tupl
             "'sg-' || cast(event_id as string) as sg_event_id",
             "'sgm-' || cast(event_id % 40 as string) as sg_message_id",
             "case when event_id % 97 = 0 then cast(null as string) "
-            "else '  User' || cast(user_id as string) || '@Example.COM ' end as email",
+            "else chr(10) || ' User' || cast(user_id as string) || '@Example.COM ' || chr(9) end as email",
             f"{_SG_EVENT} as event",
             f"{epoch_seconds} as timestamp",
             "case when event_type = 'click' then 'https://ex.com/' || "
@@ -135,7 +135,7 @@ def _derivations(idiv: str, epoch_seconds: str, add_days: str) -> dict[str, tupl
             "'Barracuda Scanner' when 2 then '' when 3 then cast(null as string) "
             "else 'Mozilla/5.0' end as useragent",
         ]),
-        "resend_wh_emails": ("events", "event_id % 2 = 1", [
+        "resend_wh_emails": ("events", "event_id % 2 <> 0 or event_id is null", [
             "'re-' || cast(event_id as string) as id",
             f"{_RE_EVENT} as event_type",
             "ts as event_created_at",
@@ -188,7 +188,7 @@ def _derivations(idiv: str, epoch_seconds: str, add_days: str) -> dict[str, tupl
             f"{_ORG_FRONTMATTER} as frontmatter",
             "'1706572' || lpad(cast(s_suppkey % 1000 as string), 3, '0') || '.5' as _dlt_load_id",
         ]),
-        "netlify_form_submissions": ("orders", "o_orderstatus <> 'P'", [
+        "netlify_form_submissions": ("orders", "o_orderstatus <> 'P' or o_orderstatus is null", [
             "case when o_orderkey % 50 = 0 then cast(null as string) "
             "else 'nf-' || cast(o_orderkey as string) end as submission_id",
             f"{_FORM_NAME} as form_name",
@@ -199,7 +199,7 @@ def _derivations(idiv: str, epoch_seconds: str, add_days: str) -> dict[str, tupl
         "webflow_form_submits": ("orders", "o_orderstatus = 'P'", [
             "case when o_orderkey % 50 = 0 then cast(null as string) "
             "else 'wf-' || cast(o_orderkey as string) end as event_id",
-            "' User' || cast(o_custkey as string) || '@Example.com' as data",
+            "chr(9) || ' User' || cast(o_custkey as string) || '@Example.com' || chr(10) as data",
             "o_orderdate as event_timestamp",
         ]),
     }
@@ -246,19 +246,10 @@ def duckdb_source_sql() -> dict[str, str]:
     return out
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table. Its files are listed on every call; the Parquet
-    schema is inferred once per path and process (footer reads skipped on
-    later reads of the same path)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """Read a driver table; its files are listed and its schema is read anew on
+    every call, so a rewritten table is never read by an old schema."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def derive_source(driver_df: DataFrame, name: str) -> DataFrame:
