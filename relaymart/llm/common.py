@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaymart.session import work_path
+from relaymart.sinks import files
 
 #: Bytes of a word (after A-Z are lowered): digits, a-z, every non-ASCII byte.
 #: On UTF-8 bytes this equals the code point class [^\x00-\x2F\x3A-\x60\x7B-\x7F].
@@ -61,7 +62,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.relaymart_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more."""
+    for df in tables:
+        files.remove(df.sparkSession, df.relaymart_path)
 
 
 def remainder(doc_id: Column, mod: int) -> Column:

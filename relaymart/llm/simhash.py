@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_text, written
+from relaymart.llm.common import forget, map_text, written
 
 SHINGLE = 4
 SEED = 42
@@ -290,12 +290,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), "large-star")
         # small star: smaller neighbours, and the node, point to the smallest one
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").select(
+        least_large = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(least_large, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
             .alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
         small = written(small, "small-star")
         changed = small.exceptAll(edges).limit(1).count() or edges.exceptAll(small).limit(1).count()
+        forget(edges, least, large, least_large)
         edges = small
         if not changed:
             break
