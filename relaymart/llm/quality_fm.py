@@ -18,7 +18,8 @@ whole text.
 Defined results: a null text is an empty one, which has a score as any other; a
 null n_chars is a class of its own; with nothing to learn from every score is
 0.5; a null doc_id is neither held out nor learned from; label rows that are
-null are left out, repeated ones count again; each document row has its row.
+null are left out, repeated ones and repeated documents are learned from once;
+each document row has its row.
 """
 
 from __future__ import annotations
@@ -160,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = S
     doc_id) holds."""
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id"), F.col("quality").cast("int").alias("label")).filter(
-        learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+        learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
     total = known.count()
     if not total:
         return Machine(0.0, np.zeros(PLACES), np.zeros((PLACES, FACTORS)))
@@ -168,7 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = S
     share = int(min(1.0, sample / total) * 2**31)
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < F.lit(share))
     # at most about `sample` ids: bounded by the parameter
-    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id").distinct()
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
