@@ -78,14 +78,13 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(mod)
 
 
-def map_text(df: DataFrame, column: str, fn: Callable[[], Callable[[str | None], tuple | None]],
-             added: str = "") -> DataFrame:
-    """Stream record batches through ``fn()(text)`` and keep all other columns.
+def map_texts(df: DataFrame, column: str, fn: Callable[[], Callable[[list], list]], added: str = "") -> DataFrame:
+    """Stream record batches through ``fn()(texts)`` and keep all other columns.
 
-    ``fn`` is called once per task and gives a function of one text. That
-    returns None to drop the row, or (new text, values of the ``added``
-    columns...). The schema is the input's, then the ``added`` DDL columns.
-    Batches are bounded in bytes by Spark; no state outlives a row.
+    ``fn`` is called once per task and gives a function of a batch's texts. For
+    each text that returns None to drop the row, or (new text, values of the
+    ``added`` columns...). The schema is the input's, then the ``added`` DDL
+    columns. Batches are bounded in bytes by Spark; no state outlives one.
     """
     from pyspark.sql.types import StructType
 
@@ -97,9 +96,9 @@ def map_text(df: DataFrame, column: str, fn: Callable[[], Callable[[str | None],
     arrow_extra = _arrow_types(extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = fn()
+        of_texts = fn()
         for batch in batches:
-            results = [one(t.as_py()) for t in batch.column(position)]
+            results = of_texts(batch.column(position).to_pylist())
             keep = pa.array([r is not None for r in results], pa.bool_())
             results = [r for r in results if r is not None]
             kept = batch.filter(keep)
@@ -112,6 +111,17 @@ def map_text(df: DataFrame, column: str, fn: Callable[[], Callable[[str | None],
     return df.mapInArrow(run, schema)
 
 
+def map_text(df: DataFrame, column: str, fn: Callable[[], Callable[[str | None], tuple | None]],
+             added: str = "") -> DataFrame:
+    """:func:`map_texts` with a function of one text."""
+
+    def of_batch():
+        one = fn()
+        return lambda texts: [one(t) for t in texts]
+
+    return map_texts(df, column, of_batch, added)
+
+
 def _arrow_types(schema) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
 

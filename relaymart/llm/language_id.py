@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_text, remainder
+from relaymart.llm.common import map_texts, remainder
 
 DIM = 1024
 GRAM = 3
@@ -186,13 +186,12 @@ def in_known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast((names, prototypes))
 
     def make():
-        def one(text: str | None):
-            grams = _gram_keys(text)
-            if grams is None:
-                return None
-            _, scores = identify([text], *shared.value)
-            return (text,) if scores[0] >= min_score or len(grams) < ENOUGH or not names else None
+        def of_texts(texts: list[str | None]) -> list[tuple | None]:
+            _, scores = identify(texts, *shared.value)
+            n_grams = [0 if (g := _gram_keys(t)) is None else len(g) for t in texts]
+            return [(t,) if n and (s >= min_score or n < ENOUGH or not names) else None
+                    for t, n, s in zip(texts, n_grams, scores)]
 
-        return one
+        return of_texts
 
-    return map_text(docs, "text", make)
+    return map_texts(docs, "text", make)
