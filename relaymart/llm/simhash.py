@@ -340,7 +340,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     of_root = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
         F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     stay = written(of_root.select(F.col("first.row").alias(row)), "stay")
-    return marked.join(stay, row, "left_semi").select(*docs.columns)
+    # the same plan at every size: a few rows are not broadcast
+    return marked.hint("merge").join(stay, row, "left_semi").select(*docs.columns)
 
 
 def _free_name(docs: DataFrame, name: str) -> str:
