@@ -178,9 +178,10 @@ def _places(line: Column, pattern: Column) -> Column:
     """Word intervals [start, end) of a pattern's matches in a line of words.
 
     Matches start at a blank, as words do, so blanks before a match are words
-    before it. \\G lets a search start only where the last match ended.
+    before it. \\G lets a search start only where the last match ended;
+    (?s) lets it cross U+0085, U+2028 and U+2029, which stand inside words.
     """
-    whole = F.concat(F.lit(r"\G(.*?)( (?:"), pattern, F.lit("))(?= )"))
+    whole = F.concat(F.lit(r"(?s)\G(.*?)( (?:"), pattern, F.lit("))(?= )"))
     found = F.arrays_zip(F.regexp_extract_all(line, whole, F.lit(1)).alias("skipped"),
                          F.regexp_extract_all(line, whole, F.lit(2)).alias("matched"))
     none = F.array().cast("array<struct<start:int,end:int>>")

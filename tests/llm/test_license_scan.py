@@ -67,3 +67,11 @@ def test_no_python_in_the_plan(corpus):
 def test_null_ids_and_empty_tables(corpus):
     assert ls.report(corpus(MESSY)).count() == len(MESSY)
     assert ls.report(corpus([])).count() == 0
+
+
+def test_line_ends_inside_words(corpus):
+    text = " intro one{0}two under the MIT license{0} then, licensed under the{0} Apache License 2.0 {0} all rights reserved cc by{0} nc cc-by-nc"
+    rows = [doc(i, text.format(c)) for i, c in enumerate("\u0085\u2028\u2029x")]
+    for r in ls.report(corpus(rows)).collect():
+        assert tuple(r)[1:] == brute(rows[r.doc_id][1])
+        assert "all-rights-reserved" in r.labels and "cc-by-nc" in r.base_labels
