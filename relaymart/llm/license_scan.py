@@ -1,8 +1,9 @@
 """License scans by ordered signature rules, in DataFrame expressions only.
 
-A document is looked at closely if it has one of the ``STEMS``; then its
+A document is looked at closely if it has one of the ``STEMS``, which every
+match of a rule or base phrase has; then its
 lower-cased words, one blank apart, are matched against the rules whose
-keywords are among them. A detection is a rule's word interval. Of detections
+keywords are among them (every match of a rule has one). A detection is a rule's word interval. Of detections
 in one interval the first by priority, then order, stays; one contained in
 another is suppressed by it; of two that overlap in part the one of better
 priority stays. Three base phrases are counted in any case, and their labels
@@ -43,17 +44,17 @@ NAMES: tuple[tuple[str, str, str], ...] = (
     ("bsd-4", "bsd 4 clause|(?:4|four) clause bsd|original bsd", "bsd"),
     ("bsd", "bsd(?: style)?", "bsd"),
     ("apache-1.1", "apache(?: software)?(?: license)?(?: version)? 1 1", "apache"),
-    ("apache-2", "apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?(?:v2|2)(?: 0)?|asl 2 0", "apache asl"),
+    ("apache-2", "apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?(?:v2|2)(?: 0)?|asl 2 0", "apache apache2 apachev2 asl"),
     ("apache", "apache(?: software)?", "apache"),
-    ("gpl-1", "(?:gnu )?gpl ?(?:v1|1)(?: 0)?|gnu general public license(?: version| v)? ?1(?: 0)?", "gpl gnu gplv1"),
-    ("gpl-2", "(?:gnu )?gpl ?(?:v2|2)(?: 0)?(?: only| or later)?|gplv2|gnu general public license(?: version| v)? ?2(?: 0)?", "gpl gnu gplv2"),
-    ("gpl-3", "(?:gnu )?gpl ?(?:v3|3)(?: 0)?(?: only| or later)?|gplv3|gnu general public license(?: version| v)? ?3(?: 0)?", "gpl gnu gplv3"),
+    ("gpl-1", "(?:gnu )?gpl ?(?:v1|1)(?: 0)?|gnu general public license(?: version| v)? ?1(?: 0)?", "gpl gnu gpl1 gplv1"),
+    ("gpl-2", "(?:gnu )?gpl ?(?:v2|2)(?: 0)?(?: only| or later)?|gplv2|gnu general public license(?: version| v)? ?2(?: 0)?", "gpl gnu gpl2 gplv2"),
+    ("gpl-3", "(?:gnu )?gpl ?(?:v3|3)(?: 0)?(?: only| or later)?|gplv3|gnu general public license(?: version| v)? ?3(?: 0)?", "gpl gnu gpl3 gplv3"),
     ("gpl", "(?:gnu )?gpl|gnu general public", "gpl gnu"),
-    ("lgpl-2", "lgpl ?(?:v2|2)(?: 0)?(?: only| or later)?|gnu library general public license(?: version)? 2(?: 0)?", "lgpl gnu"),
-    ("lgpl-2.1", "lgpl ?(?:v2|2) 1(?: only| or later)?|lgplv2 1|gnu lesser general public license(?: version)? 2 1", "lgpl lgplv2 gnu"),
-    ("lgpl-3", "lgpl ?(?:v3|3)(?: 0)?(?: only| or later)?|lgplv3|gnu lesser general public license(?: version)? 3(?: 0)?", "lgpl lgplv3 gnu"),
+    ("lgpl-2", "lgpl ?(?:v2|2)(?: 0)?(?: only| or later)?|gnu library general public license(?: version)? 2(?: 0)?", "lgpl lgpl2 lgplv2 gnu"),
+    ("lgpl-2.1", "lgpl ?(?:v2|2) 1(?: only| or later)?|lgplv2 1|gnu lesser general public license(?: version)? 2 1", "lgpl lgpl2 lgplv2 gnu"),
+    ("lgpl-3", "lgpl ?(?:v3|3)(?: 0)?(?: only| or later)?|lgplv3|gnu lesser general public license(?: version)? 3(?: 0)?", "lgpl lgpl3 lgplv3 gnu"),
     ("lgpl", "(?:gnu )?lgpl|gnu lesser general public", "lgpl gnu"),
-    ("agpl-3", "agpl ?(?:v3|3)(?: 0)?(?: only| or later)?|agplv3|gnu affero general public license(?: version)? 3(?: 0)?", "agpl agplv3 affero"),
+    ("agpl-3", "agpl ?(?:v3|3)(?: 0)?(?: only| or later)?|agplv3|gnu affero general public license(?: version)? 3(?: 0)?", "agpl agpl3 agplv3 affero"),
     ("agpl", "(?:gnu )?agpl|gnu affero general public|affero general public", "agpl affero"),
     ("gfdl", "gfdl(?: 1 [123])?|gnu free documentation", "gfdl documentation"),
     ("mpl-1.1", "mpl 1 1|mozilla public license(?: version| v)? 1 1", "mpl mozilla"),
@@ -147,12 +148,13 @@ TEXTS: tuple[tuple[str, int, float, str, str], ...] = (
 
 #: A text without any of these has no detection.
 STEMS = ("licen", "spdx", "rights", "hereby", "permission", "redistribut", "domain", "compliance", "unencumbered",
-         "implied", "released under", "distributed under", "published under", "provided under", "available under",
-         "covered under")
+         "implied")
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
+#: Stems of two words, apart by any separators as in the text.
+_CC_BY = rf"cc{_SEPARATORS}by"
+_UNDER = rf"(?:released|distributed|published|provided|available|covered){_SEPARATORS}under"
 
 
 def rules() -> list[dict]:
@@ -225,7 +227,7 @@ def scan(docs: DataFrame) -> DataFrame:
     gate = low.contains(STEMS[0])
     for stem in STEMS[1:]:
         gate = gate | low.contains(stem)
-    gate = gate | (low.contains("cc") & low.rlike(_CC_BY))
+    gate = gate | (low.contains("cc") & low.rlike(_CC_BY)) | (low.contains("under") & low.rlike(_UNDER))
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     line = F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, _SEPARATORS, " ")), F.lit(" "))
     docs = docs.withColumn("license_words", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long"))

@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+import re._parser
 import string
 
 from relaymart.llm import license_scan as ls
@@ -75,3 +77,61 @@ def test_line_ends_inside_words(corpus):
     for r in ls.report(corpus(rows)).collect():
         assert tuple(r)[1:] == brute(rows[r.doc_id][1])
         assert "all-rights-reserved" in r.labels and "cc-by-nc" in r.base_labels
+
+
+def forms(pattern):
+    """All texts that a pattern without + or * matches."""
+    out = [""]
+    for op, of in pattern if not isinstance(pattern, str) else re._parser.parse(pattern):
+        kind = str(op)
+        if kind == "LITERAL":
+            some = [chr(of)]
+        elif kind == "IN":
+            some = [chr(c) for k, v in of for c in ([v] if str(k) == "LITERAL" else range(v[0], v[1] + 1))]
+        elif kind == "MAX_REPEAT":
+            some = ["".join(x) for k in range(of[0], of[1] + 1) for x in itertools.product(forms(of[2]), repeat=k)]
+        else:
+            some = forms(of[3]) if kind == "SUBPATTERN" else [x for branch in of[1] for x in forms(branch)]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_every_form_has_a_keyword():
+    for _, name, keywords in ls.NAMES:
+        assert not [f for f in forms(name) if not set(f.split()) & set(keywords.split())]
+    for *_, pattern, keywords in ls.TEXTS:
+        assert not [f for f in forms(pattern) if not set(f.split()) & set(keywords.split())]
+
+
+def brute_ungated(text, rules=tuple((rule, re.compile(f" (?:{rule['pattern']})(?= )")) for rule in ls.rules())):
+    """Detections of all rules, run on every text."""
+    line, found = f" {' '.join(WORD.findall((text or '').translate(LOWER)))} ", set()
+    for rule, pattern in rules:
+        for m in pattern.finditer(line):
+            start = line[:m.start()].count(" ")
+            found.add((start, -start - m.group().count(" "), rule["priority"], rule["id"]))
+    kept, reach = [], 0
+    for d in sorted(found):
+        if -d[1] <= reach or kept and d[0] < -kept[-1][1] and d[2] >= kept[-1][2]:
+            continue
+        if kept and d[0] < -kept[-1][1]:
+            kept.pop()
+        kept.append(d)
+        reach = max(reach, -d[1])
+    return kept
+
+
+def test_scan_equals_all_rules_without_a_gate(corpus):
+    rng = random.Random(2)
+    names = [rng.choice(forms(name)) for _, name, _ in ls.NAMES for _ in range(2)]
+    names += ["apache2", "apachev2", "gpl1", "gpl2", "gpl3", "lgplv2", "lgpl2", "lgpl2 1", "lgpl3", "agpl3"]
+    verbs = ["released", "Distributed", "published", "provided", "AVAILABLE", "covered", "redistributed"]
+    texts = [rng.choice(pattern).format(name, v=rng.choice(verbs), s=rng.choice([" ", "\n", "  ", ",\t", " - "]))
+             for name in names for pattern in (["{v}{s}under{s}the {0}", "{v}{s}under {0}"],
+                                               ["licensed{s}under {0}", "the {0}{s}licence", "SPDX-License-Identifier:{s}{0}"])]
+    texts += [rng.choice([" ", "\n"]).join(f.split()) for *_, pattern, _ in ls.TEXTS for f in forms(pattern)[:8]]
+    found = ls.scan(corpus([doc(i, t) for i, t in enumerate(texts)])).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert [tuple(x)[:4] for x in r.license_detections] == brute_ungated(r.text), r.text
+    assert all(r.license_detections for r in found if "under" in r.text)
