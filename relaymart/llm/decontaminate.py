@@ -9,7 +9,7 @@ window is hit where it occurs whole.
 Cost: one dictionary step per document word (amortised), no candidate pairs.
 Size: the automaton holds at most ``max_words`` item words (checked). A larger
 benchmark is split into several automata of that bound, each applied in its own
-pass over the documents, whose results merge per row.
+pass over the documents, whose results merge per row before anything is cut.
 
 Defined results: a null or empty text has no words and no hits; a null item
 text gives no window; items with equal texts all count; items with the same id
@@ -19,14 +19,15 @@ their row; with no items nothing is hit.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_text, word_spans, words, written
+from relaymart.llm.common import forget, map_text, word_spans, words, written
 
 WINDOW = 10
 #: Item words in one automaton (about 1 kB of memory each).
@@ -220,17 +221,23 @@ def _matcher(automaton: SuffixAutomaton):
     return one
 
 
-def _merge_pass(out: DataFrame, shared) -> DataFrame:
-    """A further automaton's hits, merged into the columns of the ones before."""
-    more = map_text(out, "text", lambda: _matcher(shared.value),
-                    MATCH_COLUMNS.replace("bench_", "more_"))
+def _merge(a: str, b: str) -> Column:
+    """The spans of two columns as one list."""
 
     @F.pandas_udf("array<array<int>>")
     def merge(a: pd.Series, b: pd.Series) -> pd.Series:
         plain = lambda x: [[int(s), int(e)] for s, e in x]
         return pd.Series([_merged(plain(x), plain(y)) for x, y in zip(a, b)])
 
-    return (more.withColumn("bench_spans", merge("bench_spans", "more_spans"))
+    return merge(a, b)
+
+
+def _merge_pass(out: DataFrame, shared) -> DataFrame:
+    """A further automaton's hits, merged into the columns of the ones before."""
+    more = map_text(out, "text", lambda: _matcher(shared.value),
+                    MATCH_COLUMNS.replace("bench_", "more_"))
+
+    return (more.withColumn("bench_spans", _merge("bench_spans", "more_spans"))
             .withColumn("bench_items", F.array_sort(F.array_union("bench_items", "more_items")))
             .drop("more_words", "more_spans", "more_items"))
 
@@ -249,6 +256,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _cut_out(text: str, spans: list) -> str:
+    """The text without the words of the spans and what stands between them."""
+    raw, at = word_spans(text)
+    kept, last = [], 0
+    for s, e in spans:
+        kept.append(raw[last:at[s][0]])
+        last = at[e - 1][1]
+    return b"".join([*kept, raw[last:]]).decode("utf-8", "surrogatepass")
+
+
 def cleaned(text: str | None, automaton: SuffixAutomaton, max_share: float) -> str | None:
     """The text without its hit spans; None if their share of its words is
     above ``max_share``. Cut edges may join into a window, so the rest is
@@ -262,17 +279,64 @@ def cleaned(text: str | None, automaton: SuffixAutomaton, max_share: float) -> s
     while spans:
         if cut > max_share * n:
             return None
-        raw, at = word_spans(text)
-        kept, last = [], 0
-        for s, e in spans:
-            kept.append(raw[last:at[s][0]])
-            last = at[e - 1][1]
-        text = b"".join([*kept, raw[last:]]).decode("utf-8", "surrogatepass")
+        text = _cut_out(text, spans)
         spans, _ = automaton.scan(words(text))
         cut += sum(e - s for s, e in spans)
     return text
 
 
+def _without(text: str, spans: str) -> Column:
+    """The text column without the words of the spans column."""
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([_cut_out(t, [(int(s), int(e)) for s, e in x]) for t, x in zip(text, spans)], dtype=object)
+
+    return cut(text, spans)
+
+
+def _cleaned_by_several(docs: DataFrame, shared: list, max_share: float) -> DataFrame:
+    """:func:`cleaned` with the items dealt to several automata: in each round
+    all of them read the same text, their spans are merged, the share is judged
+    by the original words, and the cut texts go to the next round."""
+    state = {"words": "long", "spans": "array<array<int>>", "total": "long", "cut": "long"}
+    name = {k: "_".join(["bench", k, *["x"] * sum(map(len, docs.columns))]) for k in state}  # longer than any column's
+    first, more = ", ".join(f"{name[k]} {state[k]}" for k in ("words", "spans")), "more_spans_" + name["spans"]
+    hit = F.aggregate(name["spans"], F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+
+    def scanner(automaton):
+        def make():
+            def one(text: str | None):
+                ws = words(text)
+                return text, len(ws), automaton.value.scan(ws)[0]
+
+            return one
+
+        return make
+
+    done, rest, old = [], docs.withColumn(name["total"], F.lit(None).cast("long")).withColumn(
+        name["cut"], F.lit(0).cast("long")), None
+    while True:
+        found = rest
+        for k, automaton in enumerate(shared):
+            if k == 0:
+                found = map_text(found, "text", scanner(automaton), first)
+            else:
+                found = map_text(found, "text", scanner(automaton), f"more_{name['words']} long, {more} {state['spans']}")
+                found = found.withColumn(name["spans"], _merge(name["spans"], more)).drop(f"more_{name['words']}", more)
+            found = written(found, "decontaminated")
+            if k:
+                forget(old)
+            old = found
+        found = (found.withColumn(name["cut"], F.col(name["cut"]) + hit)
+                 .withColumn(name["total"], F.coalesce(name["total"], name["words"])))
+        done.append(found.filter(F.size(name["spans"]) == 0).select(docs.columns))
+        rest = found.filter((F.size(name["spans"]) > 0) & (F.col(name["cut"]) <= F.lit(max_share) * F.col(name["total"])))
+        if rest.isEmpty():
+            return functools.reduce(DataFrame.unionAll, done)
+        rest = rest.withColumn("text", _without("text", name["spans"])).drop(name["words"], name["spans"])
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5,
                  window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """Documents without the benchmark passages in them, all columns kept.
@@ -281,18 +345,19 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5,
     whole) are cut out of the text; a document of whose words more than
     ``max_share`` lie in such spans goes. n_chars follows the text.
     """
-    spark, out = docs.sparkSession, docs
-    for k, automaton in enumerate(load_items(benchmark, window, max_words).automata(window)):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        def make(shared=shared):
+    spark = docs.sparkSession
+    shared = [spark.sparkContext.broadcast(a) for a in load_items(benchmark, window, max_words).automata(window)]
+    if len(shared) == 1:
+        def make():
             def one(text: str | None):
-                new = cleaned(text, shared.value, max_share)
+                new = cleaned(text, shared[0].value, max_share)
                 return None if new is None and text is not None else (new,)
 
             return one
 
-        out = map_text(out if k == 0 else written(out, "decontaminated"), "text", make)
+        out = map_text(docs, "text", make)
+    else:
+        out = _cleaned_by_several(docs, shared, max_share)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.coalesce(
             F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))

@@ -79,6 +79,31 @@ def test_removal_cuts_passages_and_keeps_clean_documents(corpus, spark):
     assert not brute(out[6].text, [(1, passage)])[0]
 
 
+def test_removal_by_several_automata_gives_the_same(corpus, spark):
+    rng = random.Random(5)
+    said = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    items = [(i, said(f"p{i}_", 12)) for i in range(12)]
+    shared = said("s", 9)  # windows of two items that overlap in a text
+    items += [(20, f"{said('l', 6)} {shared}"), (21, f"{shared} {said('r', 6)}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    # 30 % from one item and 30 % from another; overlapping windows; windows joined by cuts of others
+    docs = [doc(i, f"{items[i % 12][1]} {said('f', 12)} {items[(i * 5 + 1) % 12][1]}") for i in range(12)]
+    docs += [doc(50, f"{said('f', 30)} {said('l', 6)} {shared} {said('r', 6)} {said('g', 30)}")]
+    for i in range(12):
+        outer, inner = items[i][1].split(), items[(i * 7 + 3) % 12][1].split()
+        nested = [*outer[:5], *inner[:6], *items[(i + 4) % 12][1].split(), *inner[6:], *outer[5:]]
+        docs.append(doc(100 + i, " ".join([said("f", 40), *nested, said("g", 40)])))
+    docs += [doc(200 + i, " ".join(rng.choices(said("q", 9).split(), k=20))) for i in range(5)]
+    docs += [doc(300, None), doc(301, ""), doc(302, "no hit")]
+    df = corpus(docs).selectExpr("*", "1 as bench_spans", "2 as bench_cut")
+    assert d.load_items(bench, 10, max_words=100).shards > 1
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    one = d.remove_spans(df, bench).collect()
+    several = d.remove_spans(df, bench, max_words=100)
+    assert several.columns == df.columns and key(several.collect()) == key(one)
+    assert {r.doc_id for r in one} == {50, *range(100, 112), *range(200, 205), 300, 301, 302}
+
+
 def test_empty_tables(corpus, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert d.contamination(corpus([]), none).count() == 0
