@@ -4,10 +4,11 @@ Three patterns give the base spans. Their values are labelled credentials: a
 bounded sample of them (``SAMPLE`` per kind, dealt to slots by hash, the
 smallest hash of a slot stays) becomes one prefix tree per kind. States whose
 continuations agree within a Hoeffding bound are merged, which leaves a
-probabilistic automaton of the kind's format. Every token of a text that could
-be a credential and lies in no base span is scored by its likelihood a symbol
-under each automaton; those as likely as nearly all labelled ones are spans of
-kind ``format``.
+probabilistic automaton of the kind's format. Every run of credential
+characters of a text, or the parts of it beside base spans, is scored from its
+start and behind each separator in it, to its end and each separator, by the
+likelihood a symbol under each automaton; values as likely as nearly all
+labelled ones and no shorter than the shortest are spans of kind ``format``.
 
 Both passes over the documents stream rows; the driver sees at most SAMPLE
 values a kind and the automata, whatever the corpus.
@@ -19,13 +20,14 @@ count. Extra columns pass through.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relaymart.llm.common import map_text
@@ -33,6 +35,8 @@ from relaymart.llm.common import map_text
 KINDS = ("assign", "access", "hex", "format")
 #: Labelled values a kind's automaton is learned from.
 SAMPLE = 1024
+#: Their symbols a kind, all in all; values of more than an eighth are not learned from, but scored as any.
+SAMPLE_SYMBOLS = 1 << 19
 #: Confidence of the merge test.
 ALPHA = 0.05
 #: Share of labelled values that a kind's threshold lets pass.
@@ -46,8 +50,11 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _ASSIGN_MIN, _ACCESS_MIN, _HEX_MIN = 8, 16, 32
-#: Both other patterns' matches, and what the automata score, lie in such runs.
+#: Both other patterns' matches lie in such runs; what the automata score in ones of any length.
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+_SEPARATORS = "+/_.=-"
+_SEPARATED, _PADDING = re.compile(r"[+/_.=-]+"), re.compile("=+")
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
 Span = tuple[str, int, int, int]  # kind, start, end, start of the value
 
@@ -101,7 +108,11 @@ class FormatAutomaton:
             self.count[q][self.END] += 1
         self._merge_all()
         self._drop_unreached()
-        self.lengths = (min(map(len, values)), max(map(len, values)))
+        self.least = min(map(len, values))
+        #: log probability of a symbol, and of the end (None: none ends there), by state
+        totals = [c.total() for c in self.count]
+        self.cost = [{c: math.log(self.count[q][c] / totals[q]) for c in out} for q, out in enumerate(self.next)]
+        self.end = [math.log(c[self.END] / n) if c[self.END] else None for c, n in zip(self.count, totals)]
         scores = sorted(self.likelihood(s) for s in strings)
         self.threshold = scores[int(len(scores) * (1 - ACCEPT))] - 1e-9
 
@@ -171,8 +182,52 @@ class FormatAutomaton:
         return (total + math.log(end)) / (len(symbols) + 1) if end else -math.inf
 
     def accepts(self, value: str) -> bool:
-        return (self.lengths[0] <= len(value) <= self.lengths[1]
-                and self.likelihood("".join(map(_symbol, value))) >= self.threshold)
+        return len(value) >= self.least and self.likelihood("".join(map(_symbol, value))) >= self.threshold
+
+    def longest(self, symbols: str, starts: set[int], ends: set[int]) -> dict[int, int]:
+        """For each end at which a value ends that is accepted from one of the
+        starts: the first such start. One pass: starts that have come to the
+        same state stay together, as what follows adds the same to each, and a
+        start is forgotten once an earlier one in its state is at least as likely.
+        """
+        groups: dict[int, tuple[float, list[int], list[float]]] = {}  # state: what to add, starts, their sums
+        found: dict[int, int] = {}
+        for i in range(len(symbols) + 1):
+            if i in ends:
+                for q, (add, at, sums) in groups.items():
+                    if self.end[q] is not None:
+                        k = bisect.bisect_left(sums, self.threshold - self.end[q] - add)
+                        if k < len(at) and i - at[k] >= self.least:
+                            found[i] = min(found.get(i, i), at[k])
+            if i == len(symbols):
+                return found
+            if i in starts:
+                groups[0] = _joined(groups.get(0), (0.0, [i], [0.0]))
+            moved: dict[int, tuple[float, list[int], list[float]]] = {}
+            for q, (add, at, sums) in groups.items():
+                if (t := self.next[q].get(symbols[i])) is not None:
+                    moved[t] = _joined(moved.get(t), (add + self.cost[q][symbols[i]] - self.threshold, at, sums))
+            groups = moved
+        return found
+
+
+def _joined(a, b):
+    """Two groups of starts as one, first starts first, later ones only if likelier."""
+    if a is None or b is None:
+        return a or b
+    if len(a[1]) < len(b[1]):
+        a, b = b, a
+    add, at, sums = a
+    for start, value in zip(b[1], b[2]):
+        value += b[0] - add
+        k = bisect.bisect_left(at, start)
+        if k and sums[k - 1] >= value:
+            continue
+        gone = k
+        while gone < len(at) and sums[gone] <= value:
+            gone += 1
+        at[k:gone], sums[k:gone] = [start], [value]
+    return a
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, FormatAutomaton]:
@@ -188,26 +243,57 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, FormatAutomaton]:
 
     values = docs.select("text").mapInPandas(labelled, "kind string, value string")
     order = F.xxhash64("value")
-    slots = values.groupBy("kind", F.pmod(order, F.lit(sample)).alias("slot")).agg(
-        F.min(F.struct(order.alias("h"), "value")).alias("one"))
+    slots = values.filter(F.length("value") <= SAMPLE_SYMBOLS // 8).groupBy(
+        "kind", F.pmod(order, F.lit(sample)).alias("slot")).agg(F.min(F.struct(order.alias("h"), "value")).alias("one"))
+    read = F.sum(F.length("one.value")).over(Window.partitionBy("kind").orderBy("one.h", "one.value"))
+    chosen = slots.select("kind", "one.value", read.alias("read")).filter(F.col("read") <= SAMPLE_SYMBOLS)
     by_kind: dict[str, list[str]] = {}
-    for r in slots.select("kind", "one.value").collect():  # at most `sample` a kind
-        by_kind.setdefault(r.kind, []).append(r.value[:512])
+    for r in chosen.collect():  # at most `sample` values and SAMPLE_SYMBOLS symbols a kind
+        by_kind.setdefault(r.kind, []).append(r.value)
     return {kind: FormatAutomaton(sorted(by_kind[kind])) for kind in KINDS if kind in by_kind}
 
 
+def _formats(part: str, automata: dict[str, FormatAutomaton]) -> Iterator[tuple[int, int]]:
+    """The values in a part of a run, from its last to its first: they begin at
+    the part's start or behind separators and end before separators, behind "="
+    or at the part's end; the longest to an end counts."""
+    if not _DIGIT.search(part) or not _LETTER.search(part):
+        return
+    n = len(part)
+    starts = {0} | {m.end() for m in _SEPARATED.finditer(part) if m.end() < n}
+    ends = {m.start() for m in _SEPARATED.finditer(part)} | {m.end() for m in _PADDING.finditer(part)}
+    if part[-1] not in _SEPARATORS:
+        ends.add(n)
+    symbols, first = "".join(map(_symbol, part)), {}
+    for a in automata.values():
+        for end, start in a.longest(symbols, starts, ends).items():
+            first[end] = min(first.get(end, start), start)
+    before = n
+    for end in sorted(first, reverse=True):
+        value = part[first[end]:end]
+        if end <= before and _DIGIT.search(value) and _LETTER.search(value):
+            yield first[end], end
+            before = first[end]
+
+
 def all_spans(text: str | None, automata: dict[str, FormatAutomaton]) -> list[Span]:
     """Base spans and format spans, by start then kind."""
-    found, runs = base_spans(text)
-    base = list(found)
-    for run in runs:
-        start, end = run.span()
-        value = run.group().rstrip("+/_.=-")
-        if any(s < end and start < e for _, s, e, _ in base):
-            continue
-        if re.search("[0-9]", value) and re.search("[A-Za-z]", value) \
-                and any(a.accepts(value) for a in automata.values()):
-            found.append(("format", start, start + len(value), start))
+    found, _ = base_spans(text)
+    if not text or not automata:
+        return found
+    base, k, reach = sorted((s, e) for _, s, e, _ in found), 0, 0
+    least = min(a.least for a in automata.values())
+    for run in re.finditer(rf"[A-Za-z0-9+/_.=-]{{{least},}}", text):
+        at, end = run.span()
+        at = max(at, reach)  # a base span can begin in an earlier run
+        while k < len(base) and base[k][0] < end:  # the parts beside base spans
+            if base[k][0] - at >= least:
+                found += [("format", at + s, at + e, at + s) for s, e in _formats(text[at:base[k][0]], automata)]
+            reach = max(reach, base[k][1])
+            at = max(at, reach)
+            k += 1
+        if end - at >= least:
+            found += [("format", at + s, at + e, at + s) for s, e in _formats(text[at:end], automata)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
