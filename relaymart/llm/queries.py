@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.llm import decontaminate, html_wrappers, language_id, license_scan, nearest, packing, quality_fm, secret_scan, simhash, warc
+from relaymart.llm import (decontaminate, html_wrappers, language_id, license_scan, nearest, packing, pii, quality_fm, secret_scan,
+                           simhash, token_alignment, warc, whitening)
 from relaymart.llm.common import table
 
 
@@ -66,7 +67,20 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op6_warc, op7_secret_scan, op8_html_text, op9_simhash, op10_nearest)
+    f.__name__: f for f in (op1_quality, op2_decontaminate, op3_language_id, op4_pack, op5_license_scan, op6_warc, op7_secret_scan, op8_html_text, op9_simhash, op10_nearest,
+                              op11_pii, op12_token_alignment, op13_whitening)
 }
 ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}

@@ -18,6 +18,11 @@ CONTRACT = {
     "op8_html_text": "page_id bigint, url string, text string, n_chars bigint",
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op10_nearest": "query_id bigint, rank int, vec_id bigint, score double",
+    "op11_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op12_token_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
+                            "count_sum bigint, groups_sha256 string",
+    "op13_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, "
+                      "identity_error double",
 }
 
 
@@ -33,7 +38,9 @@ def test_contract(spark, sf_small, name):
     con = duckdb.connect()
     source = "pages" if "page_id" in df.columns else "embeddings" if "vec_id" in df.columns else "documents"
     n = con.sql(f"select count(*) from '{sf_small}/{source}.parquet'").fetchall()[0][0]
-    if source == "embeddings":
+    if name == "op13_whitening":
+        assert len(rows) == 16 * n
+    elif source == "embeddings":
         assert len(rows) == 20 * len({r.query_id for r in rows}) == 20 * n // 20
     elif name == "op4_pack":
         assert len({r.doc_id for r in rows}) == n
