@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -75,6 +76,15 @@ def test_identity_map():
     assert all((b >= 0) == (v.bytes_a[a] in known) for a, b in enumerate(v.identity))
 
 
+def test_quick_encoder_gives_the_tokenizers_ids():
+    v, rng = t.vocabularies(*t._paths(None, None)), random.Random(3)
+    assert v.quick is not None
+    texts = ["".join(map(chr, rng.choices(range(0x250), k=rng.randint(1, 40)))) for _ in range(5000)]
+    texts += ["".join(rng.choices("ab é's'll19 \n\t!?.,Ñ\xa0\x85", k=rng.randint(1, 60))) for _ in range(5000)]
+    texts += [" " * 100_000, "a" * 100_000, "日本 mixed", "<|endoftext|>"]
+    assert v._encode_a(texts) == [v.a.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_empty_table(corpus):
     assert t.report(corpus([])).collect() == []
     assert [tuple(r)[1:] for r in t.report(corpus([doc(1, None)])).collect()] == [(0, 0, 0, 0, 0, 0, "")]
