@@ -30,18 +30,14 @@ def remove(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not remove {path}")
 
 
-def switch(spark: SparkSession, new: str, live: str, old: str) -> None:
-    """Put the folder ``new`` in the place of ``live``, which becomes ``old``;
-    if that fails, ``live`` is put back."""
-    fs, pnew = _path(spark, new)
-    _, plive = _path(spark, live)
-    _, pold = _path(spark, old)
-    fs.mkdirs(plive.getParent())
-    fs.mkdirs(pold.getParent())
-    had = fs.exists(plive)
-    if had and not fs.rename(plive, pold):
-        raise OSError(f"could not move {live} aside")
-    if not fs.rename(pnew, plive):
-        if had:
-            fs.rename(pold, plive)
-        raise OSError(f"could not put {new} in place")
+def listing(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder and when each was last changed (seconds); none if it does not exist."""
+    fs, p = _path(spark, path)
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    fs, p = _path(spark, path)
+    fs.mkdirs(p.getParent())
+    return fs.createNewFile(p)

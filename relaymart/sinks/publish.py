@@ -3,9 +3,14 @@
 Executors write in parallel; nothing passes through the driver. Exports of
 one publish run are written side by side under ``<base>/runs/<run_id>/`` and
 then made current together by a new version of the one-row-per-export pointer
-table, ``<base>/_pointers/<version>``. Readers take the newest version that was
-written to its end, so there is always one, and they never mix two runs. The
-last ``KEEP`` versions and their runs stay, older ones are removed.
+table, ``<base>/_pointers/<version>`` (:mod:`relaymart.sinks.versions`). Readers
+take the newest version that was written to its end, so there is always one, and
+they never mix two runs. A pointer row holds its export's row count and content
+hash, observed while it was written, and readers check them.
+
+The last ``KEEP`` versions and their runs stay. Older ones go, and so does what
+runs left that died on the way, at the first publish that finds it dead; until
+then it stands in nobody's way.
 """
 
 from __future__ import annotations
@@ -15,10 +20,11 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from relaymart.sinks import files
+from relaymart.sinks import versions
+from relaymart.sinks.digests import digest, digest_columns
 
 #: Pointer versions (and their runs) that stay: the current one, and some for
 #: readers that have begun on an older one.
@@ -75,53 +81,56 @@ def export_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+_POINTER = "name string, relation string, run_id string, path string, n_rows long, content string"
+
+
+class DamagedExport(ValueError):
+    """An export does not hold what was published."""
+
+
 def publish_exports(
     spark: SparkSession,
     relations: Mapping[str, DataFrame],
     base: str,
     manifest: list[ExportSpec] | None = None,
     run_id: str | None = None,
+    dead_after: float = versions.DEAD_AFTER,
 ) -> DataFrame:
-    """Export every manifest relation, then make this run the current one. Returns the pointer rows (name, relation, run_id, path)."""
+    """Export every manifest relation, then make this run the current one.
+    Returns the pointer rows (name, relation, run_id, path, n_rows, content).
+
+    A run that dies at any point leaves the previous version current; what it
+    wrote is removed by the first publish at least ``dead_after`` seconds later."""
     manifest = manifest if manifest is not None else load_manifest()
-    run_id = run_id or uuid.uuid4().hex[:12]
+    run_id, base = run_id or uuid.uuid4().hex[:12], base.rstrip("/")
+    version = versions.claim(spark, f"{base}/_pointers")
     rows = []
     for spec in manifest:
-        path = f"{base.rstrip('/')}/runs/{run_id}/{spec.name}"
-        export_parquet(relations[spec.relation], path)
-        rows.append((spec.name, spec.relation, run_id, path))
-    pointer = spark.createDataFrame(rows, "name string, relation string, run_id string, path string")
-    base = base.rstrip("/")
-    versions = _versions(spark, base)
-    version = f"{int(versions[-1]) + 1 if versions else 1:012d}"
-    pointer.coalesce(1).write.mode("errorifexists").json(f"{base}/_pointers/{version}")
-    for old in [*versions, version][:-KEEP]:
-        runs = {r.run_id for r in _pointer(spark, base, old).select("run_id").collect()} - {run_id}
-        files.remove(spark, f"{base}/_pointers/{old}")
-        for r in runs:
-            files.remove(spark, f"{base}/runs/{r}")
+        path, seen = f"{base}/runs/{run_id}/{spec.name}", Observation(f"export_{spec.name}")
+        df = relations[spec.relation]
+        export_parquet(df.observe(seen, *digest_columns(df.columns)), path)
+        rows.append((spec.name, spec.relation, run_id, path, seen.get["n"], str(int(seen.get["content"]))))
+    pointer = spark.createDataFrame(rows, _POINTER)
+    versions.write(pointer, f"{base}/_pointers", version)
+    kept = versions.clean(spark, f"{base}/_pointers", KEEP, dead_after)
+    named = {r.run_id for v in kept for r in versions.read(spark, f"{base}/_pointers", v).select("run_id").collect()}
+    versions.clean_runs(spark, f"{base}/runs", named, dead_after)
     return pointer
 
 
-def _versions(spark: SparkSession, base: str) -> list[str]:
-    """Pointer versions that were written to their end, oldest first."""
-    return sorted(v for v in files.names(spark, f"{base}/_pointers")
-                  if files.exists(spark, f"{base}/_pointers/{v}/_SUCCESS"))
-
-
-def _pointer(spark: SparkSession, base: str, version: str) -> DataFrame:
-    return spark.read.schema("name string, relation string, run_id string, path string").json(
-        f"{base}/_pointers/{version}")
-
-
-def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read the current version of an export."""
-    base = base.rstrip("/")
-    versions = _versions(spark, base)
-    if not versions:
+def read_published(spark: SparkSession, base: str, name: str, check: bool = True) -> DataFrame:
+    """Read the current version of an export; ``check`` compares its rows with
+    the pointer's count and content hash first (one pass over the export)."""
+    pointer = versions.read(spark, f"{base.rstrip('/')}/_pointers")
+    if pointer is None:
         raise FileNotFoundError(f"nothing is published under {base}")
-    paths = [r.path for r in _pointer(spark, base, versions[-1]).filter(F.col("name") == name)
-             .select("path").collect()]  # one small pointer row
-    if not paths:
+    found = pointer.filter(F.col("name") == name).collect()  # a row an export
+    if not found:
         raise FileNotFoundError(f"no published export {name!r} under {base}")
-    return spark.read.parquet(paths[0])
+    df = spark.read.parquet(found[0].path)
+    if check:
+        n, content = digest(df)
+        if (n, str(content)) != (found[0].n_rows, found[0].content):
+            raise DamagedExport(f"{name} holds {n} rows with content {content}, not the published "
+                                f"{found[0].n_rows} rows with {found[0].content}")
+    return df

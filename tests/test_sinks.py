@@ -121,8 +121,77 @@ def test_an_unfinished_pointer_is_not_read(spark):
     from relaymart.sinks import files
     base = work_path(spark, "publish-half")
     for n in range(1, 6):
-        publish_exports(spark, {"dim_jobs": spark.range(n), "dim_organizations": spark.range(1)}, base)
+        publish_exports(spark, {"dim_jobs": spark.range(n), "dim_organizations": spark.range(1)}, base, dead_after=0)
     half = files._path(spark, f"{base}/_pointers/{9:012d}")
     half[0].mkdirs(half[1])
     assert read_published(spark, base, "jobs").count() == 5
     assert len(files.names(spark, f"{base}/runs")) == 3
+
+
+def _exports(spark, n):
+    return {"dim_jobs": spark.range(n), "dim_organizations": spark.range(1)}
+
+
+@pytest.mark.parametrize("step", ["first export", "second export", "pointer", "claim", "clean", "runs"])
+def test_publishing_goes_on_after_a_run_that_died(spark, monkeypatch, step):
+    from relaymart.sinks import files, publish, versions
+    base = work_path(spark, "publish-died")
+    publish_exports(spark, _exports(spark, 1), base)
+    with monkeypatch.context() as m:
+        if step in ("first export", "second export"):
+            calls, real = [], publish.export_parquet
+
+            def export(df, path):
+                calls.append(path)
+                if len(calls) == (1 if step == "first export" else 2):
+                    df.limit(1).write.parquet(f"{path}/_temporary/0")  # half written
+                    raise OSError("killed")
+                return real(df, path)
+
+            m.setattr(publish, "export_parquet", export)
+        elif step == "pointer":
+            def half(rows, base, version):
+                fs, p = files._path(spark, f"{base}/{version}/_temporary")
+                fs.mkdirs(p)
+                raise OSError("killed")
+
+            m.setattr(versions, "write", half)
+        elif step == "claim":  # the pointer is whole, its claim still there
+            m.setattr(files, "remove", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        else:
+            def die(*_, **__):
+                raise OSError("killed")
+
+            m.setattr(versions, "clean" if step == "clean" else "clean_runs", die)
+        with pytest.raises(OSError, match="killed"):
+            publish_exports(spark, _exports(spark, 2), base)
+    assert read_published(spark, base, "jobs").count() == (2 if step in ("claim", "clean", "runs") else 1)
+    publish_exports(spark, _exports(spark, 3), base)  # the dead run may still be alive: its files stay
+    assert read_published(spark, base, "jobs").count() == 3
+    for n in range(4, 8):
+        publish_exports(spark, _exports(spark, n), base, dead_after=0)
+    assert read_published(spark, base, "jobs").count() == 7
+    assert len(files.names(spark, f"{base}/runs")) == 3 == len(files.names(spark, f"{base}/_pointers"))
+
+
+def test_two_runs_never_write_one_version(spark):
+    from relaymart.sinks import versions
+    base = work_path(spark, "claims")
+    a, b = versions.claim(spark, base), versions.claim(spark, base)
+    assert a != b
+    versions.write(spark.range(2), base, b)
+    versions.write(spark.range(1), base, a)  # the slower, older run does not win
+    assert versions.read(spark, base).count() == 2
+    assert versions.claim(spark, base) > b
+
+
+def test_a_damaged_export_is_noticed(spark):
+    from relaymart.sinks.publish import DamagedExport
+    base = work_path(spark, "publish-damaged")
+    df = spark.range(9).selectExpr("id", "array(cast(id as string)) as tags", "cast(null as string) as s").repartition(3)
+    publish_exports(spark, {"dim_jobs": df, "dim_organizations": spark.range(0)}, base, run_id="r1")
+    assert read_published(spark, base, "jobs").count() == 9 and read_published(spark, base, "organizations").count() == 0
+    df.filter("id < 8").unionByName(df.filter("id = 0")).write.mode("overwrite").parquet(f"{base}/runs/r1/jobs")
+    with pytest.raises(DamagedExport, match="jobs"):
+        read_published(spark, base, "jobs")
+    assert read_published(spark, base, "jobs", check=False).count() == 9
