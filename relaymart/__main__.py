@@ -44,6 +44,9 @@ def main(argv: list[str] | None = None) -> int:
                             help="rewrite unprotected incremental tables whole")
             sp.add_argument("--web-export", action="append", default=[], metavar="ID=PATH",
                             help="event export (Parquet) of a web-analytics property")
+    sp = sub.add_parser("roll-back", help="make the set of marts before the current one current again")
+    sp.add_argument("--marts-dir", required=True)
+    sp.add_argument("--master", default=None, help="local master, e.g. local[8]")
     sp = sub.add_parser("publish")
     sp.add_argument("--marts-dir", required=True)
     sp.add_argument("--publish-base", required=True)
@@ -67,6 +70,10 @@ def main(argv: list[str] | None = None) -> int:
         from relaymart.sinks.publish import load_manifest
         with open(args.manifest, encoding="utf-8") as f:
             manifest = load_manifest(f.read())
+    if args.command == "roll-back":
+        from relaymart.sinks import generations
+        print(f"generation {generations.roll_back(spark, args.marts_dir)} is current")
+        return 0
     if args.command == "publish":
         return publish(spark, args.marts_dir, args.publish_base, manifest)
     as_of = args.as_of or default_as_of()
@@ -112,15 +119,19 @@ def _web_exports(spark, items: list[str]):
 
 def publish(spark, marts_dir: str, base: str, manifest=None) -> int:
     """Export marts whose last build was checked without a failure."""
-    from relaymart.sinks import files
+    from relaymart.sinks import files, generations
     from relaymart.sinks.publish import load_manifest, publish_exports
 
     marts_dir, manifest = marts_dir.rstrip("/"), manifest or load_manifest()
-    report = f"{marts_dir}/_check_report"
-    if not files.exists(spark, report) or spark.read.parquet(report).filter("failures > 0").limit(1).count():
+    paths, report = generations.current(spark, marts_dir), generations.check_report(spark, marts_dir)
+    if not paths:  # one plain folder a mart
+        paths = {spec.relation: f"{marts_dir}/{spec.relation}" for spec in manifest}
+        if files.exists(spark, f"{marts_dir}/_check_report"):
+            report = spark.read.parquet(f"{marts_dir}/_check_report")
+    if report is None or report.filter("failures > 0").limit(1).count():
         print("the marts were not checked, or a check failed: nothing published", file=sys.stderr)
         return 1
-    marts = {spec.relation: spark.read.parquet(f"{marts_dir}/{spec.relation}") for spec in manifest}
+    marts = {spec.relation: spark.read.parquet(paths[spec.relation]) for spec in manifest}
     publish_exports(spark, marts, base, manifest).show(truncate=False)
     return 0
 

@@ -4,15 +4,15 @@
 checkpoint folder) so their several consumers read files instead of
 recomputing the plan, enforces each mart's contract before writing it, and
 counts NULLs in its NOT NULL columns while writing it (observed metrics).
-Marts are written in a run folder and put in the place of the old ones only
-when all of them are written and, in a strict build, none was refused. Then
-the declared checks run, and the exports are published only when all of that
-passed. The run folder and the intermediates are removed at the end.
+Marts are written as a new generation (:mod:`relaymart.sinks.generations`) and
+become current together, by one pointer, only when all of them are written and, in
+a strict build, none was refused. Then the declared checks run, and the exports are
+published only when all of that passed. The intermediates, and a generation that
+did not become current, are removed at the end.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -25,7 +25,7 @@ from relaymart.quality.checks import run_suite
 from relaymart.quality.contracts import ContractError, enforce_schema, not_null_columns
 from relaymart.session import apply_defaults, work_path
 from relaymart.operators.sets import combine_properties
-from relaymart.sinks import files
+from relaymart.sinks import files, generations
 from relaymart.sinks.publish import publish_exports, write_table
 from relaymart.sources.fixtures import load_sources
 from relaymart.sources.tables import UtcSources
@@ -71,19 +71,25 @@ MART_DEPENDENCIES = {
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> None:
     """Register ``database.name`` as an external Parquet table at ``path``. A
-    table that is there already at this path with these columns only has its
-    file listing renewed, so its readers see no gap."""
+    table that is there already with these columns is pointed at the path in one
+    step, so its readers see no gap."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     full, columns = f"`{database}`.`{name}`", spark.read.parquet(path).dtypes
     if spark.catalog.tableExists(f"{database}.{name}"):
-        spark.sql(f"REFRESH TABLE {full}")
-        location = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect() if r.col_name == "Location"]
-        if location[:1] == [_qualified(spark, path)] and spark.table(full).dtypes == columns:
+        if _table_columns(spark, full) == columns:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{_qualified(spark, path)}'")
+            spark.sql(f"REFRESH TABLE {full}")
             return
         spark.sql(f"DROP TABLE {full}")
     spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
 
 
+def _table_columns(spark: SparkSession, full: str) -> list[tuple[str, str]]:
+    """Columns as the catalog has them: the files may be gone."""
+    rows = spark.sql(f"DESCRIBE TABLE {full}").collect()  # a row a column
+    return [(r.col_name, r.data_type) for r in rows if r.col_name and not r.col_name.startswith("#")]
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     fs, p = files._path(spark, path)
     return fs.makeQualified(p).toString()
@@ -130,32 +136,35 @@ def build(
     not rewrite it). The marts themselves are rebuilt whole in every build.
 
     ``database``: also register each mart as the catalog table
-    ``<database>.<mart>`` (replaced on every build), the per-target schema
-    of a deployment (e.g. ``prd``, ``ci_<n>``, ``dev_<user>``); its data stays
-    at ``<marts_dir>/<mart>``."""
+    ``<database>.<mart>`` (pointed at the new set on every build), the per-target
+    schema of a deployment (e.g. ``prd``, ``ci_<n>``, ``dev_<user>``). Readers that
+    need all marts of one build use :func:`generations.read_mart`."""
     apply_defaults(spark)
     if publish_base and not run_checks:
         raise ValueError("only checked data is published")
     inter_dir = work_path(spark, "intermediate")
     marts_dir = (marts_dir or work_path(spark, "marts")).rstrip("/")
-    run_dir = f"{marts_dir}/_run-{uuid.uuid4().hex[:12]}"
+    generation = generations.begin()
+    run_dir = generations.folder(marts_dir, generation)
     try:
-        return _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_checks, publish_base, threads,
+        return _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_checks, publish_base, threads,
                       database, manifest, web_exports, full_refresh)
     finally:
-        files.remove(spark, run_dir)
+        if run_dir not in {path.rsplit("/", 1)[0] for path in generations.current(spark, marts_dir).values()}:
+            files.remove(spark, run_dir)
         files.remove(spark, inter_dir)
 
 
-def _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_checks, publish_base, threads,
+def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_checks, publish_base, threads,
            database, manifest, web_exports, full_refresh) -> BuildResult:
     sources = UtcSources(sources)
+    run_dir = generations.folder(marts_dir, generation)
     g = ModelGraph(sources, as_of=as_of, materialize=_materializer(spark, inter_dir))
     marts: dict[str, DataFrame] = {}
     problems: list[str] = []
     observations: dict[str, Observation] = {}
     bad: list[tuple[str, str, int]] = []
-    schemas: dict = {}
+    written: list[str] = []
     for wave in mart_waves():
         # plans are built on this thread; independent marts are then written
         # as concurrent Spark jobs (the scheduler shares the executors). The
@@ -167,20 +176,19 @@ def _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_che
             plans[name] = enforce_schema(g[name], name).observe(
                 obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_columns(name)])
         with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
-            list(pool.map(lambda n: write_table(plans[n], f"{run_dir}/new/{n}"), wave))
+            list(pool.map(lambda n: write_table(plans[n], f"{run_dir}/{n}"), wave))
         bad += [(m, c, int(n)) for m in wave for c, n in observations[m].get.items() if n]
         if bad and strict:
             raise ContractError("; ".join(_problem(*b) for b in bad))
         for name in wave:  # later marts read the written table
-            g._cache[name] = spark.read.schema(plans[name].schema).parquet(f"{run_dir}/new/{name}")
-        schemas |= {name: plans[name].schema for name in wave}
-    files.remove(spark, f"{marts_dir}/_check_report")  # of the marts that go
-    for name in schemas:
-        files.switch(spark, f"{run_dir}/new/{name}", f"{marts_dir}/{name}", f"{run_dir}/old/{name}")
-    for name, schema in schemas.items():
-        marts[name] = g._cache[name] = spark.read.schema(schema).parquet(f"{marts_dir}/{name}")
+            g._cache[name] = spark.read.schema(plans[name].schema).parquet(f"{run_dir}/{name}")
+        written += wave
+    generations.switch(spark, marts_dir, generation, written)
+    for name in written:
+        marts[name] = g._cache[name]
         if database:
-            register_table(spark, database, name, f"{marts_dir}/{name}")
+            register_table(spark, database, name, f"{run_dir}/{name}")
+    generations.clean(spark, marts_dir)
     violations = spark.createDataFrame(bad, "mart string, column_name string, n_nulls bigint")
     problems += [_problem(*b) for b in bad]
     if web_exports:
@@ -193,8 +201,8 @@ def _build(spark, sources, as_of, marts_dir, run_dir, inter_dir, strict, run_che
         same = {n: marts[m].select(*g[n].columns) for n, m in SAME_COLUMNS.items()}
         lookup = {**{n: g[n] for n in g._cache}, **marts, **same}
         report = run_suite(lambda n: lookup[n] if n in lookup else g[n])
-        write_table(report, f"{marts_dir}/_check_report")
-        report = spark.read.parquet(f"{marts_dir}/_check_report")
+        write_table(report, f"{run_dir}/_check_report")
+        report = spark.read.parquet(f"{run_dir}/_check_report")
         failed = report.filter(F.col("failures") > 0).count()
         if failed:
             problems.append(f"{failed} data check(s) failed")

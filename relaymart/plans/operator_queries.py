@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relaymart.functions import columns as C
 from relaymart.operators.aggregates import count_if, max_if, min_if
 from relaymart.operators.joins import anti_join_existing, lookup_join
-from relaymart.operators.sets import combine_properties
+from relaymart.operators.sets import combine_properties, union_all
 from relaymart.operators.spine import per_key_spine
 from relaymart.plans.catalog import AS_OF, _render_arrays, graph, register
 from relaymart.plans.marts import provider_cutover
@@ -24,7 +24,7 @@ from relaymart.session import apply_defaults, work_path
 from relaymart.sinks.publish import export_parquet
 from relaymart.sources.fixtures import events_by_property, load_sources, read_driver_table
 from relaymart.sources.freshness import DECLARED as FRESHNESS, freshness_report
-from relaymart.streaming.incremental import STATIC_INCREMENTAL_DAYS, rebuild_trailing_window
+from relaymart.streaming.incremental import STATIC_INCREMENTAL_DAYS, rebuild_changed_days, rebuild_trailing_window
 from relaymart.testing import oracle as O
 
 # The two web-analytics properties and their start date.
@@ -668,3 +668,116 @@ def incremental_full_refresh(spark, sf_dir):
 
 register("incremental_full_refresh", incremental_full_refresh,
          _incremental_sql(True, "unprotected") + "\nunion all\n" + _incremental_sql(False, "protected"))
+
+
+# --- changed days, sets of marts, publishing -----------------------------------
+
+RESTATED_DAY, LATE_DAY, QUIET_FROM = "2024-01-25", "2024-01-10", "2024-01-23"
+
+
+def incremental_changed_days(spark, sf_dir):
+    """The stored rows of two tables, each with what the rebuild said of its day:
+    one with a restated, an emptied and a late day, one whose window went quiet.
+    Emptied days stand for themselves, without an event."""
+    apply_defaults(spark)
+    day, base = F.col("event_date"), _event_days(spark, sf_dir, 1.0)
+    changed = base.filter(day != F.lit(INCREMENTAL_VANISHED).cast("date")).withColumn(
+        "value", F.col("value") * F.when(day == F.lit(RESTATED_DAY).cast("date"), 2.0)
+        .when(day == F.lit(LATE_DAY).cast("date"), 3.0).otherwise(1.0))
+    out = []
+    for kind, rows in (("changed", changed), ("quiet", base.filter(day < F.lit(QUIET_FROM).cast("date")))):
+        path = work_path(spark, f"ledger-{kind}")
+        rebuild_changed_days(spark, base, path, "event_date", INCREMENTAL_AS_OF)
+        found = rebuild_changed_days(spark, rows, path, "event_date", INCREMENTAL_AS_OF)
+        said = [(d, what) for what in ("rewritten", "emptied", "unchanged", "late") for d in getattr(found, what)]
+        status = spark.createDataFrame(said, "event_date date, day_status string")  # a row a day
+        stored = spark.read.parquet(path).select("event_id", "user_id", "event_type", "value", "event_date")
+        out.append(stored.join(F.broadcast(status), "event_date", "full").select(
+            F.lit(kind).alias("table_kind"), "event_id", "user_id", "event_type", "value", "event_date",
+            F.coalesce("day_status", F.lit("before")).alias("day_status")))
+    return out[0].unionByName(out[1])
+
+
+def _changed_days_sql() -> str:
+    first = f"date '{INCREMENTAL_AS_OF}' - {STATIC_INCREMENTAL_DAYS}"
+    return f"""
+with e as (select event_id, user_id, event_type, value, cast(ts as date) as d,
+  cast(ts as date) between {first} and date '{INCREMENTAL_AS_OF}' as due from events)
+select 'changed' as table_kind, event_id, user_id, event_type,
+  case when d = date '{RESTATED_DAY}' then value * 2.0 else value * 1.0 end as value, d as event_date,
+  case when d = date '{RESTATED_DAY}' then 'rewritten' when d = date '{LATE_DAY}' then 'late'
+       when due then 'unchanged' else 'before' end as day_status
+from e where d <> date '{INCREMENTAL_VANISHED}'
+union all
+select distinct 'changed', null, null, null, null, d, 'emptied' from e where d = date '{INCREMENTAL_VANISHED}'
+union all
+select 'quiet', event_id, user_id, event_type, value * 1.0, d, 'before' from e where not due
+union all
+select distinct 'quiet', null, null, null, null, d, 'emptied' from e where due"""
+
+
+register("incremental_changed_days", incremental_changed_days, _changed_days_sql())
+
+
+def mart_generation(spark, sf_dir):
+    """Two sets of the dimensions are switched to, the second without inactive
+    rows, then the first again by a roll-back, then the second anew: what readers
+    see after each step."""
+    from relaymart.sinks import generations
+    from relaymart.sinks.publish import write_table
+    g, marts_dir = graph(spark, sf_dir), work_path(spark, "sets")
+    whole = {m: g[m] for m in ("dim_organizations", "dim_email_subscribers")}
+    some = {"dim_organizations": whole["dim_organizations"].filter("is_active"),
+            "dim_email_subscribers": whole["dim_email_subscribers"].filter("is_subscribed")}
+    keys = {"dim_organizations": "organization_id", "dim_email_subscribers": "subscriber_id"}
+    out = []
+
+    def look(step):
+        for mart, key in keys.items():
+            out.append(generations.read_mart(spark, marts_dir, mart, whole[mart].schema).select(
+                F.lit(step).alias("step"), F.lit(mart).alias("mart"), F.col(key).alias("row_id")))
+
+    for step, marts in (("first", whole), ("second", some), ("rolled back", None)):
+        if marts is None:
+            generations.roll_back(spark, marts_dir)
+        else:
+            generation = generations.begin()
+            for mart, df in marts.items():
+                write_table(df, f"{generations.folder(marts_dir, generation)}/{mart}")
+            generations.switch(spark, marts_dir, generation, marts)
+            generations.clean(spark, marts_dir)
+        look(step)
+    return union_all(out)
+
+
+register("mart_generation", mart_generation, O.with_query("""
+select s.step, m.mart, m.row_id
+from (select unnest(['first', 'second', 'rolled back']) as step) as s
+join (select 'dim_organizations' as mart, organization_id as row_id, is_active as kept from dim_organizations
+      union all
+      select 'dim_email_subscribers', subscriber_id, is_subscribed from dim_email_subscribers) as m
+  on s.step <> 'second' or m.kept""", ["dim_organizations", "dim_email_subscribers"]))
+
+
+def publish_round_trip(spark, sf_dir):
+    """A publish, one that died before its pointer, and another: both exports as
+    readers get them, with the counts that the pointer holds."""
+    from relaymart.sinks import versions
+    from relaymart.sinks.publish import publish_exports, read_published
+    g, base = graph(spark, sf_dir), work_path(spark, "published")
+    orgs = g["dim_organizations"]
+    publish_exports(spark, {"dim_jobs": orgs, "dim_organizations": orgs.filter("is_active")}, base)
+    export_parquet(orgs.filter("is_active"), f"{base}/runs/dead/jobs")
+    versions.claim(spark, f"{base}/_pointers")
+    pointer = publish_exports(spark, {"dim_jobs": g["dim_jobs"], "dim_organizations": orgs}, base, dead_after=0)
+    n = {r.name: r.n_rows for r in pointer.collect()}  # a row an export
+    return union_all([
+        read_published(spark, base, name).select(F.lit(name).alias("name"), F.col(key).alias("row_id"),
+                                                 F.lit(n[name]).cast("long").alias("n_rows"))
+        for name, key in (("jobs", "job_id"), ("organizations", "organization_id"))])
+
+
+register("publish_round_trip", publish_round_trip, O.with_query("""
+select 'jobs' as name, job_id as row_id, count(*) over () as n_rows from dim_jobs
+union all
+select 'organizations', organization_id, count(*) over () from dim_organizations""", ["dim_jobs", "dim_organizations"]))

@@ -57,23 +57,109 @@ def test_clean_build_publishes(spark, sf_small):
     assert read_published(spark, base, "jobs").count() == res.marts["dim_jobs"].count() > 0
     assert read_published(spark, base, "organizations").count() == \
         res.marts["dim_organizations"].count()
-    # run folder and intermediates are gone
-    assert sorted(files.names(spark, res.marts_dir)) == sorted([*res.marts, "_check_report"])
+    # nothing but the set and its pointer is left
+    assert sorted(files.names(spark, res.marts_dir)) == ["_generations", "generations"]
+    (one,) = files.names(spark, f"{res.marts_dir}/generations")
+    assert sorted(files.names(spark, f"{res.marts_dir}/generations/{one}")) == sorted([*res.marts, "_check_report"])
 
 
 def test_refused_build_leaves_marts_and_tables_as_they_were(spark, sf_small):
-    from relaymart.sinks import files
+    from relaymart.sinks import files, generations
     marts_dir, db = work_path(spark, "marts"), "relaymart_refused"
     build(spark, clean_sources(spark, sf_small), "2024-02-15", marts_dir=marts_dir, run_checks=False, database=db)
-    def listing(name):
-        return sorted(files.names(spark, f"{marts_dir}/{name}"))
-    before = {n: listing(n) for n in files.names(spark, marts_dir)}
+    def listing():
+        return {path: sorted(files.names(spark, path)) for path in generations.current(spark, marts_dir).values()}
+    before = listing()
     rows = sorted(map(str, spark.table(f"{db}.dim_jobs").collect()))
     with pytest.raises(ContractError, match="dim_jobs.organization_id"):
         build(spark, load_sources(spark, sf_small), "2024-02-15", marts_dir=marts_dir, database=db)
-    assert {n: listing(n) for n in files.names(spark, marts_dir)} == before
+    assert listing() == before and len(files.names(spark, f"{marts_dir}/generations")) == 1
     assert sorted(map(str, spark.table(f"{db}.dim_jobs").collect())) == rows
-    assert sorted(map(str, spark.read.parquet(f"{marts_dir}/dim_jobs").collect())) == rows
+    assert sorted(map(str, generations.read_mart(spark, marts_dir, "dim_jobs").collect())) == rows
+
+
+def two_sets(spark):
+    """Stand-ins for the marts of two builds: every row says which."""
+    return [{m: spark.range(3).selectExpr("id", f"{n} as build") for m in ("dim_a", "dim_b", "fct_c")} for n in (1, 2)]
+
+
+def write_set(spark, marts_dir, marts, dead_after=None):
+    from relaymart.sinks import generations, versions
+    from relaymart.sinks.publish import write_table
+    generation = generations.begin()
+    for name, df in marts.items():
+        write_table(df, f"{generations.folder(marts_dir, generation)}/{name}")
+    generations.switch(spark, marts_dir, generation, marts)
+    generations.clean(spark, marts_dir, versions.DEAD_AFTER if dead_after is None else dead_after)
+    return generation
+
+
+def seen(spark, marts_dir):
+    from relaymart.sinks import generations
+    return {r.build for m in ("dim_a", "dim_b", "fct_c") for r in generations.read_mart(spark, marts_dir, m).collect()}
+
+
+@pytest.mark.parametrize("step", range(8))
+def test_readers_see_one_set_whatever_fails(spark, monkeypatch, step):
+    """The n-th call to the file system or a writer fails: whole old or whole new set."""
+    from pyspark.sql import DataFrameWriter
+
+    from relaymart.sinks import files
+    marts_dir = work_path(spark, "sets")
+    one, two = two_sets(spark)
+    write_set(spark, marts_dir, one)
+    calls = []
+
+    def failing(real):
+        def call(*a, **k):
+            calls.append(real)
+            if len(calls) == step + 1:
+                raise OSError("killed")
+            return real(*a, **k)
+        return call
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", failing(DataFrameWriter.parquet))
+        for name in ("names", "create", "remove", "listing"):
+            m.setattr(files, name, failing(getattr(files, name)))
+        try:
+            write_set(spark, marts_dir, two)
+        except OSError as e:
+            assert str(e) == "killed"
+    assert seen(spark, marts_dir) in ({1}, {2})
+    write_set(spark, marts_dir, two, dead_after=0)
+    assert seen(spark, marts_dir) == {2}
+    assert len(files.names(spark, f"{marts_dir}/generations")) <= 3
+
+
+def test_roll_back(spark):
+    from relaymart.sinks import generations
+    marts_dir = work_path(spark, "sets")
+    one, two = two_sets(spark)
+    with pytest.raises(FileNotFoundError):
+        generations.read_mart(spark, marts_dir, "dim_a")
+    first = write_set(spark, marts_dir, one)
+    with pytest.raises(FileNotFoundError):
+        generations.roll_back(spark, marts_dir)
+    write_set(spark, marts_dir, two)
+    assert generations.roll_back(spark, marts_dir) == first and seen(spark, marts_dir) == {1}
+    with pytest.raises(FileNotFoundError):
+        generations.roll_back(spark, marts_dir)
+    write_set(spark, marts_dir, two)
+    assert seen(spark, marts_dir) == {2}
+
+
+def test_tables_follow_the_set(spark, sf_small):
+    from relaymart.sinks import generations
+    marts_dir, db = work_path(spark, "marts"), "relaymart_follow"
+    src = clean_sources(spark, sf_small)
+    build(spark, src, "2024-02-15", marts_dir=marts_dir, run_checks=False, database=db)
+    first = generations.current(spark, marts_dir)
+    build(spark, src, "2024-02-15", marts_dir=marts_dir, run_checks=False, database=db)
+    second = generations.current(spark, marts_dir)
+    assert not set(first.values()) & set(second.values())
+    for name, path in second.items():
+        assert spark.table(f"{db}.{name}").inputFiles()[0].removeprefix("file:").lstrip("/").startswith(path.lstrip("/"))
 
 
 def test_zoned_timestamps_give_the_same_marts(spark, sf_small):
