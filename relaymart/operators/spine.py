@@ -60,6 +60,7 @@ def daily_state_from_changes(
     day_col: str,
     metrics: Mapping[str, str],
     as_of: str,
+    start: str | None = None,
 ) -> DataFrame:
     """Expand per-(key, day) change rows into one row per key and day, from
     the key's first day to ``as_of``, carrying running aggregates.
@@ -74,6 +75,9 @@ def daily_state_from_changes(
     A key whose first day is after ``as_of`` yields one row with a NULL day
     and NULL metrics (what a left range join that matched nothing gives).
 
+    ``start``: only days from it on are generated; earlier change rows (such as
+    one of :func:`state_through` a key) only carry their aggregates on.
+
     Plan: one window over the change rows (partitioned by ``key``, ordered
     by day) computes, per change row, the aggregates before it, through it,
     and the next change day; each row then generates its own days up to the
@@ -97,8 +101,10 @@ def daily_state_from_changes(
     last = F.least(F.coalesce(F.date_sub("_next", 1), end), end)
     null_day = F.array(F.lit(None).cast("date"))
     none = F.array().cast("array<date>")
+    first = day if start is None else F.greatest(day, F.lit(start).cast("date"))
     days = (
-        F.when(day <= end, F.sequence(day, last, F.expr("interval 1 day")))
+        F.when((day <= end) & (first > last), none)
+        .when(day <= end, F.sequence(first, last, F.expr("interval 1 day")))
         # a NULL day never matches a day; it stands alone only for a key
         # with no dated row at all (NULLs sort first, so _next is then NULL)
         .when(day.isNull(), F.when(F.col("_next").isNull(), null_day).otherwise(none))
@@ -117,3 +123,12 @@ def daily_state_from_changes(
             .when(on_change_day, F.col(f"_{m}_before"))
             .otherwise(F.col(f"_{m}_through")).alias(f"{m}_before"))
     return out.select(key, d.alias(day_col), *cols)
+
+
+def state_through(day_rows: DataFrame, key: str, day_col: str, metrics: Mapping[str, str], last_day: str) -> DataFrame:
+    """One change row a key for all its days up to ``last_day``: that day, with
+    the aggregates through it. Keys with no dated row by then have none."""
+    aggs = {"max": F.max, "min": F.min}
+    return (day_rows.filter(F.col(day_col) <= F.lit(last_day).cast("date")).groupBy(key)
+            .agg(*[aggs[fn](m).alias(m) for m, fn in metrics.items()])
+            .select(key, F.lit(last_day).cast("date").alias(day_col), *metrics))

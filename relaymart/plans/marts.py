@@ -115,22 +115,10 @@ def provider_cutover(stg_contacts: DataFrame):
     ).scalar()
 
 
-def fct_email_subscribers_daily(
-    subscription_events: DataFrame,
-    stg_contacts: DataFrame,
-    as_of: str,
-) -> DataFrame:
-    """Per (UTC day, subscriber) from the subscriber's first event to
-    ``as_of``: was the address subscribed at any time that day.
-
-    SendGrid state counts before the cutover day, Resend state from it on.
-    Subscribed that day if a subscribe event of the provider in force falls
-    on the day, or if, among that provider's earlier events, the last
-    subscribe is later than the last unsubscribe (or there is a subscribe
-    and no unsubscribe). A subscriber whose first event is after ``as_of``
-    gets one row with a NULL day (as a left range join gives it).
-    See :mod:`relaymart.operators.spine` for the plan.
-    """
+def subscription_days(subscription_events: DataFrame) -> DataFrame:
+    """One row per subscriber and day with any event: the last of each kind
+    (partial aggregation before the shuffle, so a hot subscriber is cut down to
+    its days)."""
     ev = subscription_events.select(
         "subscriber_id", "source", "subscriber_event_type", "event_ts",
         C.utc_date("event_ts").alias("date_day"))
@@ -139,12 +127,17 @@ def fct_email_subscribers_daily(
                F.col("event_ts")).alias(name)
         for (src, kind), name in _PAIRS.items()
     ]
-    # one row per subscriber and day with any event (partial aggregation
-    # before the shuffle, so a hot subscriber is cut down to its days), then
+    return ev.groupBy("subscriber_id", "date_day").agg(*metric_cols)
+
+
+DAILY_METRICS = {m: "max" for m in _PAIRS.values()}
+
+
+def daily_subscription_rows(day_rows: DataFrame, stg_contacts: DataFrame, as_of: str, start: str | None = None) -> DataFrame:
+    """The daily fact's rows, of days from ``start`` on, from the change rows of
+    :func:`subscription_days` (or of a state through the day before ``start``)."""
     # expanded to every day of its lifetime with running "before" maxima
-    day_rows = ev.groupBy("subscriber_id", "date_day").agg(*metric_cols)
-    state = daily_state_from_changes(
-        day_rows, "subscriber_id", "date_day", {m: "max" for m in _PAIRS.values()}, as_of)
+    state = daily_state_from_changes(day_rows, "subscriber_id", "date_day", DAILY_METRICS, as_of, start)
     cutover = provider_cutover(stg_contacts)
     # NULL cutover or NULL day -> Resend; projected once, so the scalar
     # subquery appears (and runs) once in the plan
@@ -165,6 +158,25 @@ def fct_email_subscribers_daily(
     )
 
 
+def fct_email_subscribers_daily(
+    subscription_events: DataFrame,
+    stg_contacts: DataFrame,
+    as_of: str,
+) -> DataFrame:
+    """Per (UTC day, subscriber) from the subscriber's first event to
+    ``as_of``: was the address subscribed at any time that day.
+
+    SendGrid state counts before the cutover day, Resend state from it on.
+    Subscribed that day if a subscribe event of the provider in force falls
+    on the day, or if, among that provider's earlier events, the last
+    subscribe is later than the last unsubscribe (or there is a subscribe
+    and no unsubscribe). A subscriber whose first event is after ``as_of``
+    gets one row with a NULL day (as a left range join gives it).
+    See :mod:`relaymart.operators.spine` for the plan.
+    """
+    return daily_subscription_rows(subscription_days(subscription_events), stg_contacts, as_of)
+
+
 def fct_form_submissions(
     netlify: DataFrame,
     webflow: DataFrame,
