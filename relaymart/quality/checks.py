@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from relaymart.functions.columns import normalize_email
 from relaymart.operators.sets import union_all
+from relaymart.session import work_path
 
 
 @dataclass(frozen=True)
@@ -244,26 +245,76 @@ def _pair(i: int, emit: Column, value: Column | None) -> Column:
     return F.when(emit, F.struct(F.lit(i).alias("k"), v.alias("v")))
 
 
+#: Hashes of values that may repeat: up to so many (16 bytes each) are broadcast.
+SUSPECTS = 1 << 20
+
+
+def value_hash(value: Column) -> Column:
+    return F.xxhash64(value.cast("string"))
+
+
+def repeated_values(columns: list[tuple[int, DataFrame, str]], hashed: Callable[[Column], Column] = value_hash) -> DataFrame | None:
+    """(k, failures): how many distinct non-NULL values of each column (k, table,
+    name) occur more than once; None if no value does.
+
+    Two phases. First (k, hash) is counted, map-side first: two numbers a value
+    are shuffled, never the value. A hash that occurs once is of a value that
+    occurs once. Then only values of the other hashes, repeated or colliding ones,
+    are compared themselves. Their hashes are written and counted: up to
+    ``SUSPECTS`` they are broadcast to a second scan, beyond that the join is a
+    shuffle by hash, which spreads over as many tasks as it needs."""
+    by_table: dict[int, list[tuple[int, DataFrame, str]]] = {}
+    for one in columns:
+        by_table.setdefault(id(one[1]), []).append(one)
+    streams = []
+    for of_one in by_table.values():
+        df = of_one[0][1]
+        streams.append(df.select(F.inline(F.array(*[
+            F.struct(F.lit(k).alias("k"), F.when(F.col(c).isNotNull(), hashed(F.col(c))).alias("h")) for k, _, c in of_one
+        ]))).filter(F.col("h").isNotNull()))
+    spark = columns[0][1].sparkSession
+    path = work_path(spark, "suspects")
+    (union_all(streams).groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("k", "h")
+     .write.option("compression", "zstd").parquet(path))
+    suspects = spark.read.schema("k int, h long").parquet(path)
+    by_check = {r.k: r["count"] for r in suspects.groupBy("k").count().collect()}  # a row a check
+    if not by_check:
+        return None
+    small = sum(by_check.values()) <= SUSPECTS
+    values = []
+    for k, df, c in columns:
+        if k in by_check:
+            mine = suspects.filter(F.col("k") == k).select(F.col("h").alias("_h"))
+            value = df.filter(F.col(c).isNotNull()).select(F.lit(k).alias("k"), F.col(c).cast("string").alias("v"))
+            value = value.withColumn("_h", hashed(F.col("v")))
+            values.append(value.join(F.broadcast(mine) if small else mine, "_h", "left_semi").select("k", "v"))
+    counts = union_all(values).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return counts.groupBy("k").agg(F.count(F.lit(1)).alias("failures"))
+
+
 def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
               checks: list[Check] = DECLARED) -> DataFrame:
     """One row per check: (model, column_name, check_name, failures).
 
     Rows that pass cost a comparison and nothing more. NULLs and badly
     normalized addresses are counted by one aggregate a model (partial counts
-    on every task, one row a task to merge). Only what must be compared with
-    other rows becomes (check, value) pairs: every non-NULL value of a unique
-    column, unaccepted values, and each relationship's orphan keys weighted by
-    their row counts (child rows are counted per key map-side, then distinct
-    keys meet in an anti join, so a hot child key cannot stall a task). One
-    weighted count per (check, value), with a map-side partial aggregate, and
-    one per-check sum give duplicated values for unique, distinct unaccepted
-    values, and orphan rows."""
+    on every task, one row a task to merge). Values of unique columns are
+    compared by hash first (:func:`repeated_values`). What else must be compared
+    with other rows becomes (check, value) pairs: unaccepted values, and each
+    relationship's orphan keys weighted by their row counts (child rows are
+    counted per key map-side, then distinct keys meet in an anti join, so a hot
+    child key cannot stall a task). One weighted count per (check, value), with a
+    map-side partial aggregate, and one per-check sum give distinct unaccepted
+    values and orphan rows.
+
+    The hashes are counted when this is called, the rest when its result is read."""
     get = models.__getitem__ if isinstance(models, Mapping) else models
     by_model: dict[str, list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks):
         by_model.setdefault(ch.model, []).append((i, ch))
     streams: list[DataFrame] = []
     counted: list[DataFrame] = []
+    unique: list[tuple[int, DataFrame, str]] = []
     for model, chs in by_model.items():
         df = get(model)
         by_row = [(i, _row_predicate(c, df)) for i, c in chs if c.kind in ("not_null", "normalized_email")]
@@ -271,8 +322,8 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
             one = df.agg(*[F.count_if(p).alias(f"c{i}") for i, p in by_row])
             counted.append(one.select(F.inline(F.array(*[
                 F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("failures")) for i, _ in by_row]))))
-        pairs = [_pair(i, F.col(c.column).isNotNull(), F.col(c.column)) for i, c in chs if c.kind == "unique"]
-        pairs += [_pair(i, _row_predicate(c, df), F.col(c.column)) for i, c in chs if c.kind == "accepted_values"]
+        unique += [(i, df, c.column) for i, c in chs if c.kind == "unique"]
+        pairs = [_pair(i, _row_predicate(c, df), F.col(c.column)) for i, c in chs if c.kind == "accepted_values"]
         if pairs:
             streams.append(df.select(F.explode(F.array_compact(F.array(*pairs))).alias("e")).select(
                 F.col("e.k").alias("k"), F.col("e.v").alias("v"), F.lit(1).cast("bigint").alias("w")))
@@ -290,10 +341,13 @@ def run_suite(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
         # contribution of one (check, value) group to its check's failures
         kind = F.element_at(F.array(*[F.lit(c.kind) for c in checks]), F.col("k") + 1)
         n = F.col("n")
-        contrib = (F.when(kind == "unique", F.when(n > 1, 1).otherwise(0))
-                   .when(kind == "accepted_values", F.lit(1))
-                   .otherwise(n))
+        contrib = F.when(kind == "accepted_values", F.lit(1)).otherwise(n)
         parts.append(counts.groupBy("k").agg(F.sum(contrib).cast("bigint").alias("failures")))
+    repeated = repeated_values(unique) if unique else None
+    if repeated is not None:
+        parts.append(repeated)
+    if not parts:  # only unique columns, all of them so
+        parts.append(get(checks[0].model).sparkSession.createDataFrame([], "k int, failures long"))
     per_check = union_all(parts)
     # label the (at most one per check) result rows; checks without rows pass
     labels = F.array(*[_result(c, F.lit(i)) for i, c in enumerate(checks)])

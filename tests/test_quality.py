@@ -62,3 +62,20 @@ def test_not_null_violations(spark):
         "email_subscriber_daily_id string, date_day date, subscriber_id string, is_subscribed boolean")
     got = {r.column_name: r.n_nulls for r in not_null_violations(df, "fct_email_subscribers_daily").collect()}
     assert got == {"email_subscriber_daily_id": 1, "date_day": 2}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("hashed", [Q.value_hash, lambda v: F.length(v).cast("long")], ids=["hash", "colliding"])
+def test_repeated_values_in_two_phases(spark, monkeypatch, hashed, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(Q, "SUSPECTS", 0)
+    a = spark.range(2000).selectExpr("cast(id as string) as u", "cast(id % 700 as string) as w", "cast(null as string) as z")
+    b = spark.createDataFrame([(1, True), (1, None), (2, None), (3, True), (None, None)], "n int, t boolean")
+    found = Q.repeated_values([(0, a, "u"), (1, a, "w"), (2, a, "z"), (3, b, "n"), (4, b, "t")], hashed)
+    assert {r.k: r.failures for r in found.collect()} == {1: 700, 3: 1, 4: 1}
+    assert hashed is not Q.value_hash or Q.repeated_values([(0, a, "u"), (2, a, "z")]) is None
+
+
+def test_unique_columns_alone(spark):
+    models = {"m": spark.range(9).selectExpr("cast(id as string) as u")}
+    assert [r.failures for r in Q.run_suite(models, [Q.Check("m", "u", "unique")]).collect()] == [0]
