@@ -3,7 +3,8 @@
 ``build(...)`` writes the shared intermediates once (to the cluster's shared
 checkpoint folder) so their several consumers read files instead of
 recomputing the plan, enforces each mart's contract before writing it, and
-counts NULLs in its NOT NULL columns while writing it (observed metrics).
+counts NULLs in its NOT NULL columns and values of its JSON columns that are no
+JSON while writing it (observed metrics).
 Marts are written as a new generation (:mod:`relaymart.sinks.generations`) and
 become current together, by one pointer, only when all of them are written and, in
 a strict build, none was refused. Then the declared checks run, and the exports are
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from relaymart.plans.graph import MARTS, ModelGraph
 from relaymart.quality.checks import run_suite
-from relaymart.quality.contracts import ContractError, enforce_schema, not_null_columns
+from relaymart.quality.contracts import ContractError, constraint_metrics, enforce_schema
 from relaymart.session import apply_defaults, work_path
 from relaymart.operators.sets import combine_properties
 from relaymart.sinks import files, generations
@@ -40,6 +41,7 @@ class BuildResult:
     check_report: DataFrame | None
     published: DataFrame | None = None
     problems: list[str] = field(default_factory=list)
+    json_violations: DataFrame | None = None
 
 
 def _materializer(spark: SparkSession, base: str):
@@ -123,8 +125,8 @@ def build(
 ) -> BuildResult:
     """Build every mart from ``sources``.
 
-    ``strict``: raise :class:`ContractError` on a schema mismatch or a NOT
-    NULL violation, before marts that read the refused one are built; what was
+    ``strict``: raise :class:`ContractError` on a schema mismatch, a NULL in a
+    NOT NULL column or a value of a JSON column that is none, before marts that read the refused one are built; what was
     there before the build, tables included, stays as it was. Otherwise
     violations are recorded in the result. Publishing happens only after the
     checks ran and when there were no problems. Up to ``threads`` independent
@@ -163,21 +165,20 @@ def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_
     marts: dict[str, DataFrame] = {}
     problems: list[str] = []
     observations: dict[str, Observation] = {}
-    bad: list[tuple[str, str, int]] = []
+    bad: list[tuple[str, str, str, int]] = []  # mart, constraint, column, rows
     written: list[str] = []
     for wave in mart_waves():
         # plans are built on this thread; independent marts are then written
-        # as concurrent Spark jobs (the scheduler shares the executors). The
-        # NOT NULL constraints are counted *while* each mart is written
+        # as concurrent Spark jobs (the scheduler shares the executors). What
+        # breaks a constraint is counted *while* each mart is written
         # (observed metrics of the write job): no second pass over the data.
         plans = {}
         for name in wave:
-            obs = observations[name] = Observation(f"not_null_{name}")
-            plans[name] = enforce_schema(g[name], name).observe(
-                obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_columns(name)])
+            obs = observations[name] = Observation(f"constraints_{name}")
+            plans[name] = enforce_schema(g[name], name).observe(obs, *constraint_metrics(name))
         with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
             list(pool.map(lambda n: write_table(plans[n], f"{run_dir}/{n}"), wave))
-        bad += [(m, c, int(n)) for m in wave for c, n in observations[m].get.items() if n]
+        bad += [(m, *c.split(":"), int(n)) for m in wave for c, n in observations[m].get.items() if n]
         if bad and strict:
             raise ContractError("; ".join(_problem(*b) for b in bad))
         for name in wave:  # later marts read the written table
@@ -189,7 +190,10 @@ def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_
         if database:
             register_table(spark, database, name, f"{run_dir}/{name}")
     generations.clean(spark, marts_dir)
-    violations = spark.createDataFrame(bad, "mart string, column_name string, n_nulls bigint")
+    violations = spark.createDataFrame([(m, c, n) for m, kind, c, n in bad if kind == "null"],
+                                       "mart string, column_name string, n_nulls bigint")
+    not_json = spark.createDataFrame([(m, c, n) for m, kind, c, n in bad if kind == "json"],
+                                     "mart string, column_name string, n_invalid bigint")
     problems += [_problem(*b) for b in bad]
     if web_exports:
         union = combine_properties(web_exports, WEB_START_DATE)
@@ -209,11 +213,11 @@ def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_
     published = None
     if publish_base and not problems:
         published = publish_exports(spark, marts, publish_base, manifest)
-    return BuildResult(marts, marts_dir, violations, report, published, problems)
+    return BuildResult(marts, marts_dir, violations, report, published, problems, not_json)
 
 
-def _problem(mart: str, column: str, n: int) -> str:
-    return f"{mart}.{column}: {n} NULL(s) in a NOT NULL column"
+def _problem(mart: str, kind: str, column: str, n: int) -> str:
+    return f"{mart}.{column}: {n} " + ("NULL(s) in a NOT NULL column" if kind == "null" else "value(s) that are no JSON")
 
 
 def build_all(spark: SparkSession, sf_dir: str, as_of: str, **kw) -> BuildResult:

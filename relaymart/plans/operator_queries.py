@@ -19,7 +19,7 @@ from relaymart.operators.spine import per_key_spine
 from relaymart.plans.catalog import AS_OF, _render_arrays, graph, register
 from relaymart.plans.marts import provider_cutover
 from relaymart.quality import checks as Q
-from relaymart.quality.contracts import CONTRACTS, not_null_violations, null_counts
+from relaymart.quality.contracts import CONTRACTS, json_columns, json_violations, not_null_violations, null_counts
 from relaymart.session import apply_defaults, work_path
 from relaymart.sinks.publish import export_parquet
 from relaymart.sources.fixtures import events_by_property, load_sources, read_driver_table
@@ -801,3 +801,47 @@ def daily_state_incremental(spark, sf_dir):
 
 register("daily_state_incremental", daily_state_incremental, O.model_sql(
     "fct_email_subscribers_daily", select="select *, 'incremental' as refresh_mode from fct_email_subscribers_daily"))
+
+
+_JSON_TEXT = (("content_jobs", "frontmatter"), ("content_organizations", "frontmatter"), ("webflow_form_submits", "data"))
+_JSON_MARTS = [(m, c) for m in CONTRACTS for c in json_columns(m)]
+
+
+def contract_json(spark, sf_dir):
+    """Rows and invalid documents of the marts' JSON columns, of the content
+    sources' documents, and of a text column that holds addresses."""
+    g, sources = graph(spark, sf_dir), load_sources(spark, sf_dir, [s for s, _ in _JSON_TEXT])
+    return union_all([json_violations(frames[name], name, [c]) for frames, columns in ((sources, _JSON_TEXT), (g, _JSON_MARTS))
+                      for name, c in columns])
+
+
+register("contract_json", contract_json, O.with_query("\nunion all\n".join(
+    f"select '{name}' as relation, '{c}' as column_name, count(*) as n_rows, "
+    f"count(*) filter (where {c} is not null and not json_valid({c})) as n_invalid from {name}"
+    for name, c in [*_JSON_TEXT, *_JSON_MARTS]), [name for name, _ in [*_JSON_TEXT, *_JSON_MARTS]]))
+
+
+def named_views(spark, sf_dir):
+    """SQL text over the named models: per sender and event type, events,
+    recipients and those of them that subscribed by form or address book."""
+    from relaymart.plans.views import create_views
+    create_views(spark, graph(spark, sf_dir), prefix="named_views_")
+    return spark.sql(_views_sql("named_views_"))
+
+
+def _views_sql(prefix: str) -> str:
+    return f"""
+select e.source, e.event_type, count(*) as n_events, count(distinct e.email_address) as n_recipients,
+       count(distinct s.subscriber_id) as n_subscribers,
+       count(distinct case when f.email_address is not null then e.email_address end) as n_by_form
+from {prefix}int_email_message_events as e
+left join {prefix}int_email_subscribers as s on s.email_address = e.email_address
+left join (select email_address from {prefix}stg_netlify__form_submissions
+           union
+           select email_address from {prefix}stg_webflow__form_submissions) as f on f.email_address = e.email_address
+where cast(e.event_ts as date) in (select date_day from {prefix}dates)
+group by e.source, e.event_type"""
+
+
+register("named_views", named_views, O.with_query(_views_sql(""), [
+    "int_email_message_events", "int_email_subscribers", "stg_netlify__form_submissions", "stg_webflow__form_submissions", "dates"]))

@@ -4,12 +4,13 @@ The contract is also the published Parquet schema. ``enforce_schema`` fails
 before anything is written; there is no silent casting. NOT NULL is checked
 on the data (Parquet does not enforce it, and a DataFrame's declared
 nullability says nothing about its rows): in one aggregate pass per mart
-here, or as observed metrics of the write job in the build.
+here, or as observed metrics of the write job in the build. So are ``json``
+columns, which are carried as text: every value must parse as one JSON document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +125,38 @@ def not_null_columns(mart: str) -> list[str]:
     return [n for n, _, required in CONTRACTS[mart] if required]
 
 
+def json_columns(mart: str) -> list[str]:
+    return [n for n, t, _ in CONTRACTS[mart] if t == "json"]
+
+
+def is_invalid_json(column: Column | str) -> Column:
+    """Text that is not one JSON document; an object with a repeated key is
+    none, as its value would depend on the reader. NULL is not looked at.
+
+    The parser stops at the end of the first value and does not mind what follows,
+    so the text is parsed as an element and as a member: only one whole document
+    can be both."""
+    c = F.col(column) if isinstance(column, str) else column
+    element = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
+    return c.isNotNull() & (element.isNull() | member.isNull())
+
+
+def constraint_metrics(mart: str) -> list[Column]:
+    """The aggregates that count what breaks a mart's constraints, to be observed
+    while it is written: ``null:<column>`` and ``json:<column>``."""
+    return [F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in not_null_columns(mart)] + [
+        F.count_if(is_invalid_json(c)).alias(f"json:{c}") for c in json_columns(mart)]
+
+
+def json_violations(df: DataFrame, relation: str, columns: list[str]) -> DataFrame:
+    """(relation, column_name, n_rows, n_invalid) of each named JSON column, in one pass."""
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(is_invalid_json(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(relation).alias("relation"), F.lit(c).alias("column_name"), F.col("n").alias("n_rows"),
+                 F.col(f"c{i}").alias("n_invalid")) for i, c in enumerate(columns)])))
+
+
 def _same_type(actual: T.DataType, expected: T.DataType) -> bool:
     if isinstance(expected, T.ArrayType):
         return isinstance(actual, T.ArrayType) and actual.elementType == expected.elementType

@@ -162,6 +162,28 @@ def test_tables_follow_the_set(spark, sf_small):
         assert spark.table(f"{db}.{name}").inputFiles()[0].removeprefix("file:").lstrip("/").startswith(path.lstrip("/"))
 
 
+def test_a_bad_document_breaks_the_contract(spark, sf_small):
+    src = clean_sources(spark, sf_small)
+    from relaymart.plans import marts as M
+    real = M.fct_form_submissions
+
+    def spoiled(*a):
+        from pyspark.sql import functions as F
+        return real(*a).withColumn("form_submission_details", F.when(
+            F.col("source") == "webflow", F.lit("{broken")).otherwise(F.col("form_submission_details")))
+
+    M.fct_form_submissions = spoiled
+    try:
+        with pytest.raises(ContractError, match="form_submission_details: .* no JSON"):
+            build(spark, src, "2024-02-15", run_checks=False)
+        res = build(spark, src, "2024-02-15", run_checks=False, strict=False)
+    finally:
+        M.fct_form_submissions = real
+    (bad,) = res.json_violations.collect()
+    assert bad.n_invalid == res.marts["fct_form_submissions"].filter("source = 'webflow'").count() > 0
+    assert len(res.problems) == 1 and res.constraint_violations.count() == 0
+
+
 def test_zoned_timestamps_give_the_same_marts(spark, sf_small):
     """Sources with TIMESTAMP columns, under two session zones."""
     from pyspark.sql import functions as F

@@ -79,3 +79,14 @@ def test_repeated_values_in_two_phases(spark, monkeypatch, hashed, broadcast):
 def test_unique_columns_alone(spark):
     models = {"m": spark.range(9).selectExpr("cast(id as string) as u")}
     assert [r.failures for r in Q.run_suite(models, [Q.Check("m", "u", "unique")]).collect()] == [0]
+
+
+def test_json_columns_hold_json(spark):
+    from relaymart.quality.contracts import json_violations
+    good = ['{}', '{"a": {"b": [1, 2.50, null, "x"]}}', '[1]', '"x"', 'null', '1', ' {"a": 1} ', '{"é": "\\u00e9"}']
+    bad = ['', '{', '{"a": }', "{'a': 1}", '{"a": 1} x', 'nothing', '{"a": 1, "a": 2}', '{a: 1}',
+           '1] [2', '1} {2', '1,2', '1,"w":2', '  ', 'NaN', '01', '{"a": 1}}']
+    df = spark.createDataFrame([(v,) for v in good + bad + [None]], "j string").withColumn("k", F.lit("{}"))
+    rows = {r.column_name: (r.n_rows, r.n_invalid) for r in json_violations(df, "t", ["j", "k"]).collect()}
+    assert rows == {"j": (25, len(bad)), "k": (25, 0)}
+    assert json_violations(df.filter("false"), "t", ["j"]).first().n_invalid == 0
