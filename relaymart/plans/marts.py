@@ -187,17 +187,18 @@ def fct_form_submissions(
     """Form submissions of both providers linked to subscriber, job and
     organization; the job's organization wins over a direct match.
 
-    Only submissions that name an organization can match a job or one, so only
-    these enter the two slug joins; all others (every Webflow row) go straight
-    to the address lookup, and no NULL key is shuffled by slug."""
+    Only submissions that name an organization can match a job or one. All others
+    (every Webflow row) would meet in one task under the NULL slug, so they join
+    by their own id beside a flag that no organization has: every source is read
+    and parsed once, and they spread over all tasks."""
     forms = union_all([netlify.select(*FORM_COLUMNS), webflow.select(*FORM_COLUMNS)])
     named = F.col("organization_slug").isNotNull()
-    j = jobs.select("organization_slug", "job_slug", "job_id",
-                    F.col("organization_id").alias("job_organization_id"))
-    linked = forms.filter(named).join(j, ["organization_slug", "job_slug"], "left")
-    linked = lookup_join(linked, organizations, ["organization_slug"], ["organization_id"])
-    none = {c: F.lit(None).cast("string") for c in ("job_id", "job_organization_id", "organization_id")}
-    linked = union_all([linked, forms.filter(~named).withColumns(none)])
+    forms = forms.withColumns({
+        "_named": named, "_slug": F.coalesce("organization_slug", "form_submission_id")})
+    mark = lambda df: df.withColumns({"_named": F.lit(True), "_slug": F.col("organization_slug")}).drop("organization_slug")
+    j = mark(jobs.select("organization_slug", "job_slug", "job_id", F.col("organization_id").alias("job_organization_id")))
+    o = mark(organizations.select("organization_slug", "organization_id"))
+    linked = forms.join(j, ["_named", "_slug", "job_slug"], "left").join(o, ["_named", "_slug"], "left")
     fs = lookup_join(linked, subscribers, ["email_address"], ["subscriber_id"])
     return fs.select(
         "form_submission_id", "source_form_submission_id", "source", "form_name",

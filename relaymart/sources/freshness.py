@@ -1,9 +1,11 @@
 """Source freshness: how old is the newest row of each source table.
 
-Each declaration names a loaded-at expression and warn/error ages. The
-report is one small aggregate per source table (a partial ``max`` on every
-task, one-row final merge); nothing but that single row per table reaches
-the result.
+Each declaration names a loaded-at expression and warn/error ages. Where it is a
+plain column, the newest row is looked for among those of the warn age first: that
+filter is pushed down to the files, whose row group statistics rule out all but
+recent ones, so a fresh source costs its last few row groups and the footers. Only
+if there is none, or the load time is an expression, is the whole column read (a
+partial ``max`` on every task, one-row final merge).
 """
 
 from __future__ import annotations
@@ -35,17 +37,33 @@ DECLARED = (
 )
 
 
+def _column(loaded_at: Column) -> bool:
+    """Whether the expression is a column as it is stored."""
+    return str(loaded_at).removeprefix("Column<'").removesuffix("'>").isidentifier()
+
+
+def recent(df: DataFrame, d: Freshness, now: Column) -> DataFrame:
+    """The rows no older than the warn age; the bound is a literal once planned."""
+    return df.filter(d.loaded_at() >= F.timestamp_add("HOUR", F.lit(-d.warn_hours), now))
+
+
 def freshness_report(sources: Mapping[str, DataFrame], as_of_ts: str,
                      declared=DECLARED) -> DataFrame:
     """(source, max_loaded_at, age_hours, status) per declared source.
 
     ``status`` is 'pass', 'warn' or 'error'; an empty table (no loaded-at
-    value) reports 'error'. Age is measured against ``as_of_ts`` (UTC)."""
+    value) reports 'error'. Age is measured against ``as_of_ts`` (UTC). One row
+    a plain column is read when this is called."""
     now = F.lit(as_of_ts).cast("timestamp_ntz")
     parts = []
     for d in declared:
-        newest = F.max(d.loaded_at())
-        agg = sources[d.source].agg(newest.alias("max_loaded_at"))
+        newest, df = F.max(d.loaded_at()).alias("max_loaded_at"), sources[d.source]
+        if _column(d.loaded_at()):
+            found = recent(df, d, now).agg(newest).first().max_loaded_at
+            if found is not None:  # nothing older can be newer
+                df = df.sparkSession.createDataFrame([(found,)], "t timestamp_ntz")
+                newest = F.max("t").alias("max_loaded_at")
+        agg = df.agg(newest)
         age_ms = F.timestamp_diff("MILLISECOND", F.col("max_loaded_at"), now)
         age_h = (age_ms / F.lit(3_600_000.0)).alias("age_hours")
         status = (

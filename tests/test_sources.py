@@ -43,3 +43,24 @@ def test_dates_model_empty_when_first_event_after_as_of(spark):
     ev = spark.createDataFrame([(dt.datetime(2024, 3, 1),)], "event_ts timestamp_ntz")
     assert dates(ev, "2024-02-15").count() == 0
     assert dates(ev, "2024-03-03").count() == 3
+
+
+def test_freshness_reads_recent_row_groups(spark):
+    """A plain load time is looked for by a filter that reaches the files."""
+    from relaymart.session import work_path
+    from relaymart.sources import freshness as fr
+    from relaymart.testing.plans import plan_text
+    path = work_path(spark, "fresh")
+    (spark.range(100_000).selectExpr("id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id * 20) as loaded_ts", "uuid() as other")
+     .repartitionByRange(8, "id").write.parquet(path))
+    df = spark.read.parquet(path)
+    plain = fr.Freshness("t", lambda: F.col("loaded_ts"), 12, 24)
+    shifted = fr.Freshness("t", lambda: F.timestamp_add("SECOND", F.lit(0), F.col("loaded_ts")), 12, 24)
+    assert fr._column(plain.loaded_at()) and not fr._column(shifted.loaded_at())
+    text = plan_text(fr.recent(df, plain, F.lit("2024-01-24 00:00:00").cast("timestamp_ntz")))
+    assert "GreaterThanOrEqual(loaded_ts,2024-01-23T12:00" in text
+    for now, status in (("2024-01-24 00:00:00", "pass"), ("2024-01-24 18:00:00", "warn"), ("2024-01-30 00:00:00", "error"),
+                        ("2024-01-01 00:00:00", "pass")):
+        a, b = (fr.freshness_report({"t": df}, now, [d]).first() for d in (plain, shifted))
+        assert a == b and a.status == status
+    assert fr.freshness_report({"t": df.filter("false")}, "2024-01-01 00:00:00", [plain]).first().status == "error"
