@@ -27,6 +27,7 @@ from relaymart.quality.contracts import ContractError, constraint_metrics, enfor
 from relaymart.session import apply_defaults, work_path
 from relaymart.operators.sets import combine_properties
 from relaymart.sinks import files, generations
+from relaymart.sinks.buckets import KEYS, register_buckets, write_buckets
 from relaymart.sinks.publish import publish_exports, write_table
 from relaymart.sources.fixtures import load_sources
 from relaymart.sources.tables import UtcSources
@@ -122,6 +123,7 @@ def build(
     manifest=None,
     web_exports: Mapping[int, DataFrame] | None = None,
     full_refresh: bool = False,
+    buckets: int | None = None,
 ) -> BuildResult:
     """Build every mart from ``sources``.
 
@@ -140,17 +142,22 @@ def build(
     ``database``: also register each mart as the catalog table
     ``<database>.<mart>`` (pointed at the new set on every build), the per-target
     schema of a deployment (e.g. ``prd``, ``ci_<n>``, ``dev_<user>``). Readers that
-    need all marts of one build use :func:`generations.read_mart`."""
+    need all marts of one build use :func:`generations.read_mart`.
+
+    ``buckets``: with a ``database``, dimensions are written and registered in so
+    many buckets of their key (:mod:`relaymart.sinks.buckets`)."""
     apply_defaults(spark)
     if publish_base and not run_checks:
         raise ValueError("only checked data is published")
+    if buckets and not database:
+        raise ValueError("buckets are known to a catalog table only: name a database")
     inter_dir = work_path(spark, "intermediate")
     marts_dir = (marts_dir or work_path(spark, "marts")).rstrip("/")
     generation = generations.begin()
     run_dir = generations.folder(marts_dir, generation)
     try:
         return _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_checks, publish_base, threads,
-                      database, manifest, web_exports, full_refresh)
+                      database, manifest, web_exports, full_refresh, buckets)
     finally:
         if run_dir not in {path.rsplit("/", 1)[0] for path in generations.current(spark, marts_dir).values()}:
             files.remove(spark, run_dir)
@@ -158,7 +165,7 @@ def build(
 
 
 def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_checks, publish_base, threads,
-           database, manifest, web_exports, full_refresh) -> BuildResult:
+           database, manifest, web_exports, full_refresh, buckets) -> BuildResult:
     sources = UtcSources(sources)
     run_dir = generations.folder(marts_dir, generation)
     g = ModelGraph(sources, as_of=as_of, materialize=_materializer(spark, inter_dir))
@@ -177,7 +184,8 @@ def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_
             obs = observations[name] = Observation(f"constraints_{name}")
             plans[name] = enforce_schema(g[name], name).observe(obs, *constraint_metrics(name))
         with ThreadPoolExecutor(max_workers=min(threads, len(wave))) as pool:
-            list(pool.map(lambda n: write_table(plans[n], f"{run_dir}/{n}"), wave))
+            list(pool.map(lambda n: write_buckets(plans[n], f"{run_dir}/{n}", KEYS[n], buckets) if buckets and n in KEYS
+                          else write_table(plans[n], f"{run_dir}/{n}"), wave))
         bad += [(m, *c.split(":"), int(n)) for m in wave for c, n in observations[m].get.items() if n]
         if bad and strict:
             raise ContractError("; ".join(_problem(*b) for b in bad))
@@ -187,7 +195,9 @@ def _build(spark, sources, as_of, marts_dir, generation, inter_dir, strict, run_
     generations.switch(spark, marts_dir, generation, written)
     for name in written:
         marts[name] = g._cache[name]
-        if database:
+        if buckets and name in KEYS:
+            register_buckets(spark, database, name, f"{run_dir}/{name}", KEYS[name], buckets)
+        elif database:
             register_table(spark, database, name, f"{run_dir}/{name}")
     generations.clean(spark, marts_dir)
     violations = spark.createDataFrame([(m, c, n) for m, kind, c, n in bad if kind == "null"],

@@ -845,3 +845,25 @@ group by e.source, e.event_type"""
 
 register("named_views", named_views, O.with_query(_views_sql(""), [
     "int_email_message_events", "int_email_subscribers", "stg_netlify__form_submissions", "stg_webflow__form_submissions", "dates"]))
+
+
+def bucketed_lookup(spark, sf_dir):
+    """Message events with what two bucketed dimensions say of them."""
+    from relaymart.sinks import buckets
+    g, database = graph(spark, sf_dir), "relaymart_buckets"
+    dims = ("dim_email_subscribers", "dim_email_messages")
+    for name in dims:
+        path, key = work_path(spark, f"buckets-{name}"), buckets.KEYS[name]
+        buckets.write_buckets(g[name], path, key, 16)
+        buckets.register_buckets(spark, database, name, path, key, 16)
+    subscribers, messages = (spark.table(f"{database}.{name}") for name in dims)
+    return (g["fct_email_events"].select("email_event_id", "subscriber_id", "email_id", "event_type")
+            .join(subscribers.select("subscriber_id", "email_address", "is_subscribed"), "subscriber_id", "left")
+            .join(messages.select("email_id", "source", "sent_ts"), "email_id", "left"))
+
+
+register("bucketed_lookup", bucketed_lookup, O.with_query("""
+select e.email_event_id, e.subscriber_id, e.email_id, e.event_type, s.email_address, s.is_subscribed, m.source, m.sent_ts
+from fct_email_events as e
+left join dim_email_subscribers as s on s.subscriber_id = e.subscriber_id
+left join dim_email_messages as m on m.email_id = e.email_id""", ["fct_email_events", "dim_email_subscribers", "dim_email_messages"]))
