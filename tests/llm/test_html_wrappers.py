@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from relaymart.llm import html_wrappers as hw
 
 PAGES = "page_id long, url string, html string"
@@ -110,3 +112,140 @@ def test_template_text_goes_only_at_its_place():
 
 def test_empty_table(spark, corpus):
     assert hw.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def words(rng, k):
+    return " ".join(rng.choice(["red", "green", "blue", "grey", "pink"]) + str(rng.randint(0, 999)) for _ in range(k))
+
+
+def read(html, path=()):
+    return hw.main_text(html, list(path), frozenset())
+
+
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div class=c>{}</div>"])
+@pytest.mark.parametrize("around", ["layout has-sidebar", "no-sidebar", "post category-newsletter", "post tag-notice", "entry social",
+                                    "main-content with-share"])
+def test_classes_around_the_article_do_not_drop_it(around, inner):
+    text = words(random.Random(1), 40)
+    html = (f'<body><nav>m</nav><div class="{around}">' + inner.format(f"<p>{text}</p>")
+            + "<div class=sidebar><p>side</p></div></div><div id=comments><p>one, two</p></div></body>")
+    assert read(html) == text == read(html, ["none such"])
+
+
+def test_comments_go_whatever_their_size():
+    rng = random.Random(2)
+    text = words(rng, 40)
+    assert read(f'<article class="post comments-open"><p>{text}</p><div class=comments>a b</div></article>') == text
+    assert read(f'<article><p>{text}</p></article><div class=comments><article class=comment>{words(rng, 90)}</article>'
+                f'<article class=comment>{words(rng, 9)}</article></div>') == text
+    assert read(f"<div class=content><p>{text}</p></div><div class=comments><div>{words(rng, 200)}</div></div>") == text
+    assert read(f"<div class=content><p>{text}</p></div><div class=widget><article>{words(rng, 5)}</article></div>") == text
+
+
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_the_article_is_preferred_to_what_varies_beside_it(n):
+    rng = random.Random(3)
+    pages = []
+    for _ in range(n):
+        text = words(rng, 60)
+        pages.append((f"<html><body><div class=menu2><a href=/>Home</a></div><div class=byline>By {words(rng, 2)}</div>"
+                      f"<article><p>{text}</p></article><div class=bottom>c {words(rng, 2)}</div></body></html>", text))
+    _, path, constants = hw.infer_places([h for h, _ in pages])
+    assert [hw.main_text(h, path, frozenset(constants)) for h, _ in pages] == [t for _, t in pages]
+
+
+def test_each_layout_of_a_host_has_its_region(spark, corpus):
+    rng, rows, want = random.Random(4), [], {}
+    for i in range(40):
+        text, other = words(rng, 30), words(rng, 4)
+        if i % 9:
+            html, want[i] = f"<body><div class=bar>Shop</div><div class='content p{i}'><p>{text}</p></div></body>", text
+        else:
+            html = f"<body><div class=bar>Shop</div><div class='content p{i}'><p>{other}</p></div><div class=story><p>{text}</p></div></body>"
+            want[i] = f"{other} {text}"
+        rows.append((i, f"http://h.example/{i}", html))
+    for pages in (rows, rows[:9] + rows[10:]):
+        out = {r.page_id: r.text for r in hw.extract(spark.createDataFrame(pages, PAGES).repartition(5)).collect()}
+        wrong = {i for i in out if out[i] != want[i]}
+        assert wrong <= {0, 9, 18, 27, 36}  # few pages of the second layout: what all have may still be the site's
+        assert all(out[i].endswith(want[i]) for i in out)
+
+
+def generated(rng, kind, i):
+    """A page of a kind of site with its article's text, clean pages of everyday themes."""
+    body = [words(rng, rng.randint(8, 40)) for _ in range(rng.randint(1, 6))]
+    title = words(rng, 5)
+    blocks = "".join(f"<p>{b}</p>" if rng.random() < 0.8 else f"<blockquote>{b}</blockquote>" for b in body)
+    menu = "<ul class=menu>" + "".join(f"<li><a href=/{k}>{words(rng, 1)}</a></li>" for k in range(rng.randint(3, 7))) + "</ul>"
+    side = f"<div class=sidebar><h3>More</h3><ul>{''.join(f'<li>{words(rng, 3)}</li>' for _ in range(4))}</ul></div>"
+    talk = f"<div id=comments>{''.join(f'<div class=comment>{words(rng, 12)}</div>' for _ in range(rng.randint(0, 5)))}</div>"
+    head = f"<html><head><title>{title}</title></head><body class='single postid-{i} has-sidebar'>"
+    foot = f"<footer>&copy; {words(rng, 2)}</footer></body></html>"
+    whole = " ".join([title, *body])
+    if kind == "article":
+        return f"{head}{menu}<div class='wrap no-sidebar'><article class='post-{i} category-newsletter'><h1>{title}</h1>{blocks}</article>{side}</div>{talk}{foot}", whole
+    if kind == "main":
+        return f"{head}<header>Site</header>{menu}<main><h1>{title}</h1>{blocks}</main>{side}{talk}{foot}", whole
+    return f"{head}{menu}<div class='content with-share'><h1>{title}</h1><div class=text>{blocks}</div>{talk}</div>{side}{foot}", whole
+
+
+def test_generated_sites(spark, corpus):
+    rng, rows, want = random.Random(5), [], {}
+    for h, kind in enumerate(["article", "main", "div"] * 4):
+        for i in range([1, 2, 5, 30][h // 3]):
+            html, text = generated(rng, kind, i)
+            want[len(rows)] = text
+            rows.append((len(rows), f"https://h{h}.example/{i}", html))
+    out = {r.page_id: r.text for r in hw.extract(spark.createDataFrame(rows, PAGES).repartition(6)).collect()}
+    assert sum(out[i] == want[i] for i in want) >= 0.99 * len(want)
+
+
+def test_long_and_deep_pages_are_read_like_small_ones():
+    rng = random.Random(6)
+
+    def page_of(n):
+        inner = "".join(f"<p>{words(rng, 3)}</p><h{rng.randint(2, 4)} class=x{rng.randint(0, 9)}>t</h2>" for _ in range(n))
+        return f"<body><div class=top>m{rng.random()}</div><div class=c><article>{inner}</article></div></body>"
+
+    small, large = [page_of(20) for _ in range(2)], [page_of(50_000) for _ in range(2)]
+    paths = [hw.infer_places(pages)[1] for pages in (small, large)]
+    assert paths[0] == paths[1] == ["body", "div.c", "article"]
+    assert len(read(large[0], paths[0])) > 1_000_000
+    for deep in ("<div>" * 100_000 + "deep", "<b>" * 100_000 + "deep", "<div class=sidebar>" * 50_000 + "deep", "</i>" * 50_000 + "deep"):
+        assert read(deep) == "deep" == read(deep, ["none such"])
+        one = hw.Wrapper.of(hw.page_tree(deep), deep)
+        one.merge(hw.Wrapper.of(hw.page_tree(deep + "er"), deep + "er"))
+        assert hw.Wrapper.unpack(one.pack()).places()[1] == []
+
+
+def test_wrappers_stay_bounded():
+    rng = random.Random(7)
+    whole = None
+    for i in range(150):
+        tags = rng.choices(["p", "h2", "ul", "table", "pre", "figure", "div"], k=30)
+        inner = "".join(f"<{t} class=k{rng.randint(0, 3)}>{words(rng, 2)}</{t}>" for t in tags)
+        html = f"<body><article>{inner}<p class=z>Thanks</p></article></body>"
+        one = hw.Wrapper.of(hw.page_tree(html), html)
+        if whole is None:
+            whole = one
+        else:
+            whole.merge(one)
+        assert whole.size() < 400
+    path, places = whole.places()
+    assert path == ["body", "article"] and [p.split("\n")[-1] for p in places] == ["Thanks"]
+    assert hw.Wrapper.unpack(whole.pack()).places() == (path, places) and whole.pages == 150 and len(whole.seen) == hw.AGREE
+
+
+@pytest.mark.parametrize("traced", [1 << 28, 40])
+def test_longest_common_subsequence(monkeypatch, traced):
+    monkeypatch.setattr(hw, "_TRACED", traced)
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = [rng.choices("abc", k=rng.randint(0, 25)) for _ in "ab"]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        got = hw._subsequence(a, b)
+        assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(x < u and y < v for (x, y), (u, v) in zip(got, got[1:]))
