@@ -61,6 +61,37 @@ def test_hundreds_of_rules():
         re.compile(rule["pattern"])
 
 
+def test_written_rules_find_their_wording(corpus):
+    """Each text rule finds its own wording, in capitals and with other signs between."""
+    rows, labels = [], []
+    for label, _, _, pattern, _ in ls.TEXTS:
+        text = re.sub(r"\.\{0,\d+\}", "as said ", pattern)
+        while (m := re.search(r"\((?:\?:)?([^()|]*)(?:\|[^()]*)?\)\??", text)):
+            text = text[:m.start()] + m[1] + text[m.end():]
+        text = re.sub(r"\[(.)[^\]]*\]", r"\1", text.split("|")[0]).replace(" ?", " ").replace("e?", "e").replace("s?", "s").replace("v ?", "v")
+        rows.append(doc(len(rows), "Here: " + text.upper().replace(" ", ",  ", 2) + "."))
+        labels.append(label)
+    assert len(rows) > 110
+    for r in ls.report(corpus(rows)).collect():
+        assert tuple(r)[1:] == brute(rows[r.doc_id][1])
+        assert r.labels, (labels[r.doc_id], rows[r.doc_id][1])
+
+
+def test_time_is_linear_in_matches(corpus):
+    import time
+
+    took = {}
+    for n in (16_000, 32_000, 64_000, 64_000):
+        docs = corpus([doc(1, "under the mit license x " * n)])
+        start = time.perf_counter()
+        (row,) = ls.report(docs).collect()
+        took[n] = time.perf_counter() - start
+        assert (row.n_base, row.first_word, row.last_word) == (n, 0, 5 * (n - 1)) and row.labels == "mit"
+    assert took[64_000] < 3 * took[32_000] + 1
+    (kept,) = ls.scan(docs).selectExpr("size(license_detections) as n", "license_detections[63999].start as last").collect()
+    assert (kept.n, kept.last) == (64_000, 5 * 63_999 + 1)
+
+
 def test_no_python_in_the_plan(corpus):
     plan = ls.report(corpus(MESSY))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
