@@ -35,11 +35,10 @@ SAMPLE = 2000
 UNKNOWN = "und"
 #: Texts bundled together, in letters.
 BLOCK = 200_000
-#: A text whose best cosine is below MIN_SCORE is in no learned language, if it
-#: has ENOUGH n-grams to tell (few ones have a low cosine with any prototype).
-MIN_SCORE, ENOUGH = 0.1, 200
-#: More learned languages than this mean that the column holds something else.
-MAX_LANGUAGES = 2000
+#: A text of any length whose best cosine is at least this is in a learned language.
+MIN_SCORE = 0.1
+#: Share of labelled texts that may lie below what their length's limit is taken from.
+LOWEST = 0.01
 _SCALE = 1 << 20
 
 
@@ -119,17 +118,18 @@ def bundles(texts: list[str | None]) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
+def _sampled(docs: DataFrame, learnable: Column, sample: int) -> DataFrame:
+    """lang and text of about ``sample`` rows a language, by hash."""
+    rows = docs.filter(learnable & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = (F.least(F.lit(1.0), F.lit(float(sample)) / F.col("_n")) * 2.0**31).cast("long")
+    chosen = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2**31)) < share
+    return rows.join(counts, "lang").filter(chosen).select("lang", "text")
+
+
 def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages by name and their prototypes (unit rows), from the rows of
     which ``learnable`` is true and lang is not null."""
-    rows = docs.filter(learnable & F.col("lang").isNotNull())
-    counted = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counted) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counted:
-        return [], np.zeros((0, DIM), np.float32)
-    share = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], int(min(1, sample / r["count"]) * 2**31))])
-    chosen = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2**31)) < F.element_at(share, F.col("lang"))
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -139,18 +139,46 @@ def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[lis
                 total[lang] = total.get(lang, 0) + whole
         yield pd.DataFrame([(lang, v.tolist()) for lang, v in total.items()], columns=["lang", "v"])
 
-    parts = rows.filter(chosen).select("lang", "text").mapInPandas(sums, "lang string, v array<long>")
-    summed = (parts.select("lang", F.posexplode("v").alias("i", "x"))
-              .groupBy("lang", "i").agg(F.sum("x").alias("x")).collect())  # languages x DIM numbers
-    names = sorted({r.lang for r in summed})
-    at = {name: k for k, name in enumerate(names)}
-    out = np.zeros((len(names), DIM))
-    for r in summed:
-        out[at[r.lang], r.i] = r.x
+    parts = _sampled(docs, learnable, sample).mapInPandas(sums, "lang string, v array<long>")
+    summed = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
+    by_language = summed.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    rows = by_language.select("lang", F.transform("v", lambda s: s["x"]).alias("v")).orderBy("lang").collect()  # a row a language
+    names = [r.lang for r in rows]
+    out = np.array([r.v for r in rows], np.float64).reshape(len(rows), DIM)
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return names, (out / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
+def _length(text: str | None) -> int:
+    """The power of two of a text's n-grams; -1 without a letter."""
+    keys = _gram_keys(text)
+    return -1 if keys is None else len(keys).bit_length() - 1
+
+
+def limits(docs: DataFrame, learnable: Column, names: list[str], prototypes: np.ndarray, sample: int = SAMPLE) -> np.ndarray:
+    """The least cosine of a text in a learned language, by :func:`_length`."""
+    shared = docs.sparkSession.sparkContext.broadcast((names, prototypes))
+
+    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            _, scores = identify(list(frame["text"]), *shared.value)
+            yield pd.DataFrame({"length": [_length(t) for t in frame["text"]], "score": scores})
+
+    measured = _sampled(docs, learnable, sample).select("text").mapInPandas(measure, "length int, score double")
+    low = measured.filter("length >= 0").groupBy("length").agg(F.percentile_approx("score", LOWEST, 1000).alias("low"))
+    found = {r.length: r.low for r in low.collect()}  # a row a power of two
+    out = np.zeros(64)
+    if found:
+        first, last = min(found), max(found)
+        for k in range(64):
+            if k < first:
+                known = found[first] * 2 ** ((k - first) / 2)
+            else:
+                known = found[max(j for j in found if j <= min(k, last))]
+            out[k] = min(MIN_SCORE, known / 2)
+    return out
+
+
 def identify(texts: list[str | None], names: list[str], prototypes: np.ndarray) -> tuple[list[str], list[float]]:
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if names:
@@ -178,19 +206,21 @@ def predict(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def in_known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents without those that have no letter or, if long enough to
-    tell, are like no learned language. All columns as they are."""
+def in_known_language(docs: DataFrame) -> DataFrame:
+    """The documents without those that have no letter or are like no learned
+    language for texts of their length. All columns as they are."""
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
-    names, prototypes = learn(docs, ~held_out & F.col("doc_id").isNotNull())
-    shared = docs.sparkSession.sparkContext.broadcast((names, prototypes))
+    learnable = ~held_out & F.col("doc_id").isNotNull()
+    names, prototypes = learn(docs, learnable)
+    least = limits(docs, learnable, names, prototypes)
+    shared = docs.sparkSession.sparkContext.broadcast((names, prototypes, least))
 
     def make():
         def of_texts(texts: list[str | None]) -> list[tuple | None]:
-            _, scores = identify(texts, *shared.value)
-            n_grams = [0 if (g := _gram_keys(t)) is None else len(g) for t in texts]
-            return [(t,) if n and (s >= min_score or n < ENOUGH or not names) else None
-                    for t, n, s in zip(texts, n_grams, scores)]
+            names, prototypes, least = shared.value
+            _, scores = identify(texts, names, prototypes)
+            lengths = map(_length, texts)
+            return [(t,) if n >= 0 and (not names or s >= least[n]) else None for t, n, s in zip(texts, lengths, scores)]
 
         return of_texts
 

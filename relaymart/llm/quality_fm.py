@@ -182,6 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = S
     for r in range(ROUNDS):
         train = _trainer(spark.sparkContext.broadcast(machine), r)
         parts = found.groupBy("shard").applyInPandas(train, "n long, p binary").collect()  # SHARDS rows
+        if not parts:  # no label meets a document of the sample
+            return Machine(0.0, np.zeros(PLACES), np.zeros((PLACES, FACTORS)))
         parts.sort(key=lambda p: bytes(p.p))
         flat = sum(np.frombuffer(p.p, np.float32).astype(np.float64) * p.n for p in parts) / sum(p.n for p in parts)
         machine = Machine(float(flat[0]), flat[1:1 + PLACES].copy(), flat[1 + PLACES:].reshape(PLACES, FACTORS).copy())

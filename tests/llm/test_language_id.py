@@ -65,6 +65,48 @@ def test_stage_keeps_clean_documents(corpus):
     assert {r[0] for r in rows()} <= ids and {903, None} <= ids and not {900, 901, 902} & ids
 
 
+def test_short_texts_in_no_learned_language_go_too(corpus):
+    """The limit follows the length, learned from labelled texts."""
+    rng = random.Random(11)
+    cut = lambda r, k: (r[0] + 5000, " ".join(r[1].split()[:k]), *r[2:])
+    short = [cut(r, 1 + i % 4) for i, r in enumerate(rows())]
+    learned = rows() + short
+    strange = [doc(20_000 + i, "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(30 + i))) for i in range(100)]
+    strange += [doc(21_000 + i, " ".join("".join(rng.choices("qxwzjyhfvbp", k=6)) for _ in range(20)), None) for i in range(100)]
+    out = {r.doc_id for r in li.in_known_language(corpus(learned + [(*r[:2], None, *r[3:]) for r in strange])).collect()}
+    assert {r[0] for r in rows()} <= out and len({r[0] for r in short} - out) <= 0.02 * len(short)
+    assert len({r[0] for r in strange} & out) <= 0.1 * len(strange)
+
+
+def test_any_number_of_languages(corpus):
+    rng = random.Random(12)
+    letters = [chr(c) for c in range(0x4E00, 0x9FFF)]
+    lexicons = [["".join(rng.choices(letters, k=4)) for _ in range(4)] for _ in range(2500)]
+    docs = [doc(i, " ".join(rng.choices(lexicons[i % 2500], k=20)), f"l{i % 2500:04d}") for i in range(10_000)]
+    out = li.predict(corpus(docs).repartition(8)).collect()
+    seen = {r.doc_id % 2500 for r in out if not r.held_out}
+    held = [r for r in out if r.held_out and r.doc_id % 2500 in seen]
+    assert len(held) > 2000 and sum(r.lang_pred == f"l{r.doc_id % 2500:04d}" for r in held) >= 0.97 * len(held)
+
+
+def test_prediction_by_definition(corpus):
+    """Prototypes and cosines worked out text by text."""
+    import zlib
+
+    docs = rows(120)
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    sums = {}
+    for i, text, lang, *_ in docs:
+        if not held(i):
+            sums[lang] = sums.get(lang, 0) + slow_bundle(text)
+    prototypes = {k: v / np.linalg.norm(v) for k, v in sums.items()}
+    texts = {r[0]: r[1] for r in docs}
+    for r in li.predict(corpus(docs)).collect():
+        cosines = {k: float(v @ slow_bundle(texts[r.doc_id])) for k, v in prototypes.items()}
+        assert r.lang_pred == max(cosines, key=cosines.get) and abs(r.score - max(cosines.values())) < 1e-4
+        assert r.held_out == held(r.doc_id)
+
+
 def test_nothing_to_learn_from(corpus):
     assert {r.lang_pred for r in li.predict(corpus([doc(1, "words", None)])).collect()} == {"und"}
     assert li.predict(corpus([])).count() == 0

@@ -52,6 +52,29 @@ def test_labels_and_source_are_no_inputs(corpus, spark):
     assert scores(docs) == scores(docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string")))
 
 
+def test_scores_by_definition(corpus, spark):
+    """Every pair of features summed up, and the logistic of it."""
+    import math
+
+    rows, labels = corpus_rows(80)
+    rows = rows + [doc(9000, None), doc(9001, ""), doc(9002, "ÄÖ 12 words, and more!")]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learnable = ~F.coalesce(q.remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    m = q.learn(corpus(rows), table, learnable)
+    by_id = {r[0]: r for r in rows}
+    for r in q.classify(corpus(rows), table).collect():
+        places, x = q.features(by_id[r.doc_id][1], by_id[r.doc_id][4])
+        margin = m.w0 + sum(m.w[i] * a for i, a in zip(places, x)) + sum(
+            m.v[places[i]] @ m.v[places[j]] * x[i] * x[j] for i in range(len(x)) for j in range(i + 1, len(x)))
+        assert abs(r.score - 1 / (1 + math.exp(-margin))) < 1e-6
+
+
+def test_labels_that_meet_no_document(corpus, spark):
+    table = spark.createDataFrame([(i, i % 2, 0) for i in range(700, 760)], "doc_id long, quality int, toxic int")
+    assert {r.score for r in q.classify(corpus([doc(1, "text")]), table).collect()} == {0.5}
+    assert q.classify(corpus([]), table).collect() == []
+
+
 def test_nothing_to_learn_from(corpus, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in q.classify(corpus(MESSY), none).collect()} == {0.5}
