@@ -7,9 +7,11 @@ a longer match marks all of its words, step by step); an item shorter than the
 window is hit where it occurs whole.
 
 Cost: one dictionary step per document word (amortised), no candidate pairs.
-Size: the automaton holds at most ``max_words`` item words (checked). A larger
-benchmark is split into several automata of that bound, each applied in its own
-pass over the documents, whose results merge per row before anything is cut.
+Size: words are numbered, and a state is a few integers in arrays; only states with
+several ways on have a table. The automaton holds at most ``max_words`` item words
+(checked). A larger benchmark is split into several automata of that bound, each
+applied in its own scan of the texts, which gives only the spans and items of those
+that are hit; they merge by text before anything is cut, so no scan writes texts.
 
 Defined results: a null or empty text has no words and no hits; a null item
 text gives no window; items with equal texts all count; items with the same id
@@ -20,6 +22,7 @@ their row; with no items nothing is hit.
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,11 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import forget, map_text, word_spans, words, written
+from relaymart.llm.common import map_text, word_spans, words, written
 
 WINDOW = 10
-#: Item words in one automaton (about 1 kB of memory each).
-MAX_WORDS = 500_000
+#: Item words in one automaton (40 to 100 bytes each).
+MAX_WORDS = 2_000_000
 
 
 class SuffixAutomaton:
@@ -40,93 +43,124 @@ class SuffixAutomaton:
     def __init__(self, items: list[tuple[str, list[bytes], bool]], window: int):
         """items: (id, words, whole); whole is False for a cut of a longer item."""
         self.window = window
-        self.next: list[dict[bytes, int]] = [{}]
-        self.link = [-1]
-        self.length = [0]
-        for _, ws, _ in items:
+        self.number: dict[bytes, int] = {}
+        # a state's one way on (word, state; -1 for none), or -2 and its table
+        self.word, self.to = array("i", [-2]), array("i", [0])
+        self.table: dict[int, dict[int, int]] = {0: {}}
+        self.link, self.length = array("i", [-1]), array("i", [0])
+        numbered = [(item, [self.number.setdefault(w, len(self.number)) for w in ws], whole) for item, ws, whole in items]
+        for _, ws, _ in numbered:
             last = 0
             for w in ws:
                 last = self._extend(last, w)
-        self._mark(items)
+        self._mark(numbered)
+
+    def _go(self, v: int, w: int) -> int | None:
+        one = self.word[v]
+        if one == w:
+            return self.to[v]
+        return self.table[v].get(w) if one == -2 else None
+
+    def _put(self, v: int, w: int, to: int) -> None:
+        one = self.word[v]
+        if one == -1 or one == w:
+            self.word[v], self.to[v] = w, to
+        elif one == -2:
+            self.table[v][w] = to
+        else:
+            self.table[v] = {one: self.to[v], w: to}
+            self.word[v] = -2
 
-    def _state(self, length: int, link: int, nxt: dict[bytes, int]) -> int:
-        self.next.append(nxt)
+    def _state(self, length: int, link: int, like: int | None = None) -> int:
+        new = len(self.link)
         self.link.append(link)
         self.length.append(length)
-        return len(self.link) - 1
+        self.word.append(-1 if like is None else self.word[like])
+        self.to.append(0 if like is None else self.to[like])
+        if like is not None and self.word[like] == -2:
+            self.table[new] = dict(self.table[like])
+        return new
 
-    def _split(self, p: int, q: int, w: bytes) -> int:
+    def _split(self, p: int, q: int, w: int) -> int:
         """The state of p's longest string plus w, apart from q's longer ones."""
         if self.length[q] == self.length[p] + 1:
             return q
-        clone = self._state(self.length[p] + 1, self.link[q], dict(self.next[q]))
+        clone = self._state(self.length[p] + 1, self.link[q], q)
         self.link[q] = clone
-        while p >= 0 and self.next[p].get(w) == q:
-            self.next[p][w] = clone
+        while p >= 0 and self._go(p, w) == q:
+            self._put(p, w, clone)
             p = self.link[p]
         return clone
 
-    def _extend(self, last: int, w: bytes) -> int:
-        if (q := self.next[last].get(w)) is not None:
+    def _extend(self, last: int, w: int) -> int:
+        if (q := self._go(last, w)) is not None:
             return self._split(last, q, w)
-        new = self._state(self.length[last] + 1, 0, {})
+        new = self._state(self.length[last] + 1, 0)
         p = last
-        while p >= 0 and w not in self.next[p]:
-            self.next[p][w] = new
+        while p >= 0 and (q := self._go(p, w)) is None:
+            self._put(p, w, new)
             p = self.link[p]
         if p >= 0:
-            self.link[new] = self._split(p, self.next[p][w], w)
+            self.link[new] = self._split(p, q, w)
         return new
 
-    def _mark(self, items: list[tuple[str, list[bytes], bool]]) -> None:
+    def _mark(self, items: list[tuple[str, list[int], bool]]) -> None:
         n, window, link, length = len(self.link), self.window, self.link, self.length
         order = sorted(range(n), key=length.__getitem__)
         #: for a match of at least a window's length: the state of its last window
-        self.at_window = [0] * n
+        self.at_window = array("i", bytes(4 * n))
         for v in order:
             if length[v] >= window:
                 self.at_window[v] = v if length[link[v]] < window else self.at_window[link[v]]
-        found: list[set[str]] = [set() for _ in range(n)]
-        short: list[dict[tuple[int, str], None]] = [{} for _ in range(n)]
+        found: dict[int, set[str]] = {}
+        short: dict[int, dict[tuple[int, str], None]] = {}
         for item, ws, whole in items:
             v = 0
             for i, w in enumerate(ws):
-                v = self.next[v][w]
+                v = self._go(v, w)
                 if i + 1 >= window:
                     # v holds the item's whole prefix, so its last window is a suffix of it
-                    found[self.at_window[v]].add(item)
+                    found.setdefault(self.at_window[v], set()).add(item)
             if whole and 0 < len(ws) < window:
-                short[v][len(ws), item] = None
-        for v in order[1:]:  # suffixes of a match are on its links
-            if short[link[v]]:
-                short[v] = {**short[link[v]], **short[v]}
-        self.items_at = [frozenset(s) for s in found]
-        self.short_at = [tuple(s) for s in short]
+                short.setdefault(v, {})[len(ws), item] = None
+        if short:
+            for v in order[1:]:  # suffixes of a match are on its links
+                if link[v] in short:
+                    short[v] = {**short[link[v]], **short.get(v, {})}
+        same: dict[frozenset[str], frozenset[str]] = {}
+        self.items_at = {v: same.setdefault(f := frozenset(s), f) for v, s in found.items()}
+        self.short_at = {v: tuple(s) for v, s in short.items()}
 
     def scan(self, ws: list[bytes]) -> tuple[list[list[int]], set[str]]:
         """The hit word ranges [start, end) in order, and the ids that occur."""
-        nxt, link, length = self.next, self.link, self.length
+        word, to, table, link, length = self.word, self.to, self.table, self.link, self.length
         at_window, items_at, short_at, window = self.at_window, self.items_at, self.short_at, self.window
-        root, spans, items = nxt[0], [], set()
+        root, spans, items = table[0], [], set()
         v = matched = 0
-        for i, w in enumerate(ws):
-            t = nxt[v].get(w)
-            if t is None:
-                if v == 0:
-                    continue
-                while t is None and v:
+        for i, w in enumerate(map(self.number.get, ws)):
+            if w is None:
+                v = matched = 0
+                continue
+            if v == 0:
+                t = root.get(w)
+            elif word[v] == w:
+                t = to[v]
+            else:
+                t = table[v].get(w) if word[v] == -2 else None
+                while t is None:
                     v = link[v]
-                    t = nxt[v].get(w) if v else root.get(w)
-                if t is None:
-                    matched = 0
-                    continue
-                matched = length[v]
+                    matched = length[v]
+                    t = to[v] if word[v] == w else table[v].get(w) if word[v] == -2 else None
+                    if v == 0:
+                        break
+            if t is None:
+                continue
             v = t
             matched += 1
             if matched >= window:
                 _cover(spans, i + 1 - window, i + 1)
                 items |= items_at[at_window[v]]
-            if short_at[v]:
+            if v in short_at:
                 for size, item in short_at[v]:
                     if size <= matched:
                         _cover(spans, i + 1 - size, i + 1)
@@ -199,17 +233,18 @@ def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words
     """Add bench_words long (words of the text), bench_spans (hit word ranges)
     and bench_items (ids that occur, sorted as strings) to each document."""
     items = load_items(benchmark, window, max_words)
-    spark, out = docs.sparkSession, docs
-    for k, automaton in enumerate(items.automata(window)):
-        shared = spark.sparkContext.broadcast(automaton)
-        if k == 0:
-            out = map_text(out, "text", lambda shared=shared: _matcher(shared.value), MATCH_COLUMNS)
-        else:
-            out = _merge_pass(written(out, "benchmark-matches"), shared)
-    return out
+    if items.shards > 1:
+        found = _hit_by_several(docs, items, window, "bench_spans", "bench_items")
+        n = F.coalesce(F.regexp_count("text", F.lit(_WORDS)), F.lit(0)).cast("long")
+        return found.select(*docs.columns, n.alias("bench_words"), "bench_spans", "bench_items")
+    (automaton,) = items.automata(window)
+    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+    return map_text(docs, "text", lambda: _matcher(shared.value),
+                    "bench_words long, bench_spans array<array<int>>, bench_items array<string>")
 
 
-MATCH_COLUMNS = "bench_words long, bench_spans array<array<int>>, bench_items array<string>"
+#: The words of a text that is not lowered yet, for the JVM.
+_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _matcher(automaton: SuffixAutomaton):
@@ -221,25 +256,46 @@ def _matcher(automaton: SuffixAutomaton):
     return one
 
 
-def _merge(a: str, b: str) -> Column:
-    """The spans of two columns as one list."""
-
-    @F.pandas_udf("array<array<int>>")
-    def merge(a: pd.Series, b: pd.Series) -> pd.Series:
-        plain = lambda x: [[int(s), int(e)] for s, e in x]
-        return pd.Series([_merged(plain(x), plain(y)) for x, y in zip(a, b)])
-
-    return merge(a, b)
+def _hit_by_several(docs: DataFrame, items: Items, window: int, spans: str, ids: str) -> DataFrame:
+    """Add the merged hits of all of a benchmark's automata, each of which scans
+    the texts by itself and gives (text hash, spans, items) of those it hits."""
+    spark, parts = docs.sparkSession, []
+    text = docs.select(F.sha2("text", 256).alias("key"), "text").filter("text is not null")
+    for automaton in items.automata(window):
+        shared = spark.sparkContext.broadcast(automaton)
 
+        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                rows = []
+                for key, text in zip(frame["key"], frame["text"]):
+                    spans, found = shared.value.scan(words(text))
+                    if spans:
+                        rows.append((key, spans, sorted(found)))
+                yield pd.DataFrame(rows, columns=["key", "spans", "items"])
+
+        hits = text.mapInPandas(run, "key string, spans array<array<int>>, items array<string>")
+        hits = hits.groupBy("key").agg(F.min(F.struct("spans", "items")).alias("hit"))  # a text once, however often it stands
+        parts.append(written(hits.select("key", "hit.*"), "benchmark-hits"))
+        shared.unpersist()
+    hits = functools.reduce(DataFrame.unionAll, parts).groupBy("key").agg(  # a row an automaton at most
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    key = "key_" + "_".join(docs.columns)  # longer than any column's name
+    merged = hits.select(F.col("key").alias(key), _joined("spans").alias(f"{key}_spans"),
+                         F.array_sort(F.array_distinct("items")).alias(f"{key}_items"))
+    none = {f"{key}_spans": F.array().cast("array<array<int>>"), f"{key}_items": F.array().cast("array<string>")}
+    found = docs.withColumn(key, F.sha2("text", 256)).join(merged, key, "left")
+    return found.select(*docs.columns, *[F.coalesce(c, empty).alias(name)
+                                         for (c, empty), name in zip(none.items(), (spans, ids))])
+
+
+def _joined(spans: str) -> Column:
+    """A list of spans with those that meet made one."""
 
-def _merge_pass(out: DataFrame, shared) -> DataFrame:
-    """A further automaton's hits, merged into the columns of the ones before."""
-    more = map_text(out, "text", lambda: _matcher(shared.value),
-                    MATCH_COLUMNS.replace("bench_", "more_"))
+    @F.pandas_udf("array<array<int>>")
+    def merge(spans: pd.Series) -> pd.Series:
+        return pd.Series([_merged([[int(a), int(b)] for a, b in x], []) for x in spans])
 
-    return (more.withColumn("bench_spans", _merge("bench_spans", "more_spans"))
-            .withColumn("bench_items", F.array_sort(F.array_union("bench_items", "more_items")))
-            .drop("more_words", "more_spans", "more_items"))
+    return merge(spans)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -295,46 +351,25 @@ def _without(text: str, spans: str) -> Column:
     return cut(text, spans)
 
 
-def _cleaned_by_several(docs: DataFrame, shared: list, max_share: float) -> DataFrame:
+def _cleaned_by_several(docs: DataFrame, items: Items, window: int, max_share: float) -> DataFrame:
     """:func:`cleaned` with the items dealt to several automata: in each round
     all of them read the same text, their spans are merged, the share is judged
-    by the original words, and the cut texts go to the next round."""
-    state = {"words": "long", "spans": "array<array<int>>", "total": "long", "cut": "long"}
-    name = {k: "_".join(["bench", k, *["x"] * sum(map(len, docs.columns))]) for k in state}  # longer than any column's
-    first, more = ", ".join(f"{name[k]} {state[k]}" for k in ("words", "spans")), "more_spans_" + name["spans"]
+    by the original words, and the cut texts go to the next round. Only texts that
+    were hit are written."""
+    name = {k: "_".join(["bench", k, *["x"] * sum(map(len, docs.columns))])  # longer than any column's
+            for k in ("spans", "items", "total", "cut")}
     hit = F.aggregate(name["spans"], F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-
-    def scanner(automaton):
-        def make():
-            def one(text: str | None):
-                ws = words(text)
-                return text, len(ws), automaton.value.scan(ws)[0]
-
-            return one
-
-        return make
-
-    done, rest, old = [], docs.withColumn(name["total"], F.lit(None).cast("long")).withColumn(
-        name["cut"], F.lit(0).cast("long")), None
+    n = F.coalesce(F.regexp_count("text", F.lit(_WORDS)), F.lit(0)).cast("long")
+    rest, done = docs.withColumn(name["total"], n).withColumn(name["cut"], F.lit(0).cast("long")), []
     while True:
-        found = rest
-        for k, automaton in enumerate(shared):
-            if k == 0:
-                found = map_text(found, "text", scanner(automaton), first)
-            else:
-                found = map_text(found, "text", scanner(automaton), f"more_{name['words']} long, {more} {state['spans']}")
-                found = found.withColumn(name["spans"], _merge(name["spans"], more)).drop(f"more_{name['words']}", more)
-            found = written(found, "decontaminated")
-            if k:
-                forget(old)
-            old = found
-        found = (found.withColumn(name["cut"], F.col(name["cut"]) + hit)
-                 .withColumn(name["total"], F.coalesce(name["total"], name["words"])))
+        found = _hit_by_several(rest, items, window, name["spans"], name["items"])
+        found = found.withColumn(name["cut"], F.col(name["cut"]) + hit)
         done.append(found.filter(F.size(name["spans"]) == 0).select(docs.columns))
         rest = found.filter((F.size(name["spans"]) > 0) & (F.col(name["cut"]) <= F.lit(max_share) * F.col(name["total"])))
+        rest = written(rest.withColumn("text", _without("text", name["spans"])).drop(name["spans"], name["items"]),
+                       "decontaminated")
         if rest.isEmpty():
             return functools.reduce(DataFrame.unionAll, done)
-        rest = rest.withColumn("text", _without("text", name["spans"])).drop(name["words"], name["spans"])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5,
@@ -345,19 +380,21 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5,
     whole) are cut out of the text; a document of whose words more than
     ``max_share`` lie in such spans goes. n_chars follows the text.
     """
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(a) for a in load_items(benchmark, window, max_words).automata(window)]
-    if len(shared) == 1:
+    items = load_items(benchmark, window, max_words)
+    if items.shards == 1:
+        (automaton,) = items.automata(window)
+        shared = docs.sparkSession.sparkContext.broadcast(automaton)
+
         def make():
             def one(text: str | None):
-                new = cleaned(text, shared[0].value, max_share)
+                new = cleaned(text, shared.value, max_share)
                 return None if new is None and text is not None else (new,)
 
             return one
 
         out = map_text(docs, "text", make)
     else:
-        out = _cleaned_by_several(docs, shared, max_share)
+        out = _cleaned_by_several(docs, items, window, max_share)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.coalesce(
             F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
