@@ -3,11 +3,14 @@ an adaptive number of dimensions.
 
 Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest norm, and
 queries a zero: Euclidean order then is that of inner products. A random
-rotation makes any first d dimensions a fair sample of the distance. Within the
-probed lists, distances are summed column block by column block; after each
-block a candidate is abandoned if its distance, projected to all dimensions, is
-beyond the current k-th by more than the test's margin (1 + EPSILON / sqrt(d))^2.
-What is left is scored on the original vectors in double precision.
+rotation makes any first d dimensions a fair sample of the distance. Within each
+probed list, the distances of all its queries are summed column block by column
+block; after each block a pair is abandoned if its distance, projected to all
+dimensions, is beyond the query's k-th so far by more than the test's margin
+(1 + EPSILON / sqrt(d))^2. A query's k-th starts from some vectors of the cell and
+falls with every list. While many pairs are left, a block is a matrix product, later
+only what is left is worked out. The k nearest are scored on the original vectors in
+double precision.
 
 Lists are fitted to at most about ``SAMPLE`` vectors; every vector is indexed.
 A query probes as many lists as gave ``TARGET`` recall for sampled queries among
@@ -41,9 +44,13 @@ K = 20
 SAMPLE = 8192
 MAX_LISTS = 4096
 TARGET = 0.97
-CELL = 4096
-CHUNK = 2048
+CELL = 8192
+CHUNK = 8192
 BLOCK = 16
+#: Vectors of a cell that give its queries a first limit.
+SEEDS = 256
+#: Pairs of a list and its queries worked on together, and share left above which a block is a matrix product.
+PAIRS, DENSE = 1 << 20, 0.2
 EPSILON = 2.1
 
 
@@ -100,37 +107,110 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
+class Nearest:
+    """The k nearest candidates so far of some queries, and the k-th's distance."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.limit = k, np.full(n, np.inf)
+        self.q, self.x, self.far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, q: np.ndarray, x: np.ndarray, far: np.ndarray) -> None:
+        self.waiting.append((q, x, far))
+        self.size += len(q)
+        if self.size > max(len(self.limit) * self.k // 4, PAIRS // 16):
+            self.settle()
+
+    def settle(self) -> None:
+        """Keep each query's k nearest, and all as near as the last of them."""
+        parts = [(self.q, self.x, self.far), *self.waiting]
+        q, x, far = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.lexsort((far, q))
+        q, x, far = q[order], x[order], far[order]
+        first = np.searchsorted(q, np.arange(len(self.limit)))
+        count = np.diff(np.append(first, len(q)))
+        full = count >= self.k
+        self.limit[full] = far[first[full] + self.k - 1]
+        stay = far <= self.limit[q] + 1e-9
+        self.q, self.x, self.far, self.waiting, self.size = q[stay], x[stay], far[stay], [], 0
+
+
+def _scan(best: Nearest, queries: np.ndarray, held: np.ndarray, qb: list[np.ndarray], xb: list[np.ndarray],
+          qn: list[np.ndarray], xn: list[np.ndarray], taken: np.ndarray, own: np.ndarray) -> int:
+    """One list's vectors (``held``) against the queries that probe it, block of
+    columns by block; returns how many column products were worked out."""
+    dim, d, products = sum(b.shape[1] for b in xb), 0, 0
+    far = np.zeros((len(queries), len(held)))
+    pairs = None
+    for k in range(len(xb)):
+        width = xb[k].shape[1]
+        d += width
+        margin = (1 + EPSILON / d**0.5) ** 2 * d / dim if d < dim else 1.0
+        if pairs is None:
+            far += qn[k][queries][:, None] + xn[k][held] - 2 * (qb[k][queries] @ xb[k][held].T)
+            products += far.size * width
+            stay = far <= (best.limit[queries] * margin + 1e-9)[:, None]
+            if k == 0:
+                stay &= ~taken[held] & (own[queries][:, None] != held)
+            else:
+                stay &= alive
+            alive = stay
+            if d == dim or stay.mean() <= DENSE:
+                i, j = np.nonzero(stay)
+                pairs, left = (i, j), far[i, j]
+        else:
+            i, j = pairs
+            left += ((qb[k][queries[i]] - xb[k][held[j]]) ** 2).sum(axis=1)
+            products += len(i) * width
+            stay = left <= best.limit[queries[i]] * margin + 1e-9
+            pairs, left = (i[stay], j[stay]), left[stay]
+    i, j = pairs
+    best.add(queries[i], held[j], left)
+    return products
+
+
 def scan_cell(ids: np.ndarray, x: np.ndarray, lists: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
-              probed: list[np.ndarray], largest: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, ids, scores) of each query's best k in the lists it probes here."""
-    order = np.argsort(lists, kind="stable")
-    ids, x, lists = ids[order], x[order], lists[order]
+              probed: list[np.ndarray], largest: float, k: int, work: list[int] | None = None,
+              ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, ids, scores) of each query's best k in the lists it probes here.
+    ``work``: gets the column products worked out, and those of all pairs."""
     xr, qr = _rotated(x, largest), _rotated(q, None)
-    dim = xr.shape[1]
-    blocks = [np.ascontiguousarray(xr[:, a:a + BLOCK]) for a in range(0, dim, BLOCK)]
-    norms = [(b * b).sum(axis=1) for b in blocks]
+    cuts = range(0, xr.shape[1], BLOCK)
+    xb, qb = ([np.ascontiguousarray(m[:, a:a + BLOCK]) for a in cuts] for m in (xr, qr))
+    xn, qn = ([(b * b).sum(axis=1) for b in blocks] for blocks in (xb, qb))
+    by_id = np.argsort(ids, kind="stable")
+    at = np.minimum(np.searchsorted(ids[by_id], query_ids), len(ids) - 1)
+    own = np.where(ids[by_id[at]] == query_ids, by_id[at], -1)
+    best, taken, products, pairs = Nearest(len(query_ids), k), np.zeros(len(ids), bool), 0, 0
+    everyone = np.arange(len(query_ids))
+    seeds = np.random.default_rng(len(ids)).permutation(len(ids))[:SEEDS]
+    for some in np.array_split(everyone, -(-len(everyone) * max(1, len(seeds)) // PAIRS)):
+        products += _scan(best, some, seeds, qb, xb, qn, xn, taken, own)
+    best.settle()
+    taken[seeds] = True
+    # a list's queries, those lists first that are nearest to most of them
+    place = np.concatenate([np.arange(len(p)) for p in probed])
+    asked = np.concatenate([np.asarray(p, np.int64) for p in probed])
+    who = np.repeat(everyone, [len(p) for p in probed])
+    found, group = np.unique(asked, return_inverse=True)
+    near = np.bincount(group, weights=place) / np.bincount(group)
+    for one in np.argsort(near, kind="stable"):
+        queries, held = who[group == one], np.flatnonzero(lists == found[one])
+        pairs += len(queries) * len(held)
+        if len(held):
+            for some in np.array_split(queries, -(-len(queries) * len(held) // PAIRS)):
+                products += _scan(best, some, held, qb, xb, qn, xn, taken, own)
+    best.settle()
+    if work is not None:
+        work += [products, pairs * xr.shape[1]]
+    first = np.searchsorted(best.q, np.arange(len(query_ids) + 1))
     for i, query in enumerate(query_ids.tolist()):
-        here = np.flatnonzero(np.isin(lists, probed[i]) & (ids != query))
-        if not len(here):
-            continue
-        parts = [qr[i, a:a + BLOCK] for a in range(0, dim, BLOCK)]
-        seed = here[:4 * k]
-        full = ((xr[seed] - qr[i]) ** 2).sum(axis=1)
-        limit = np.partition(full, k - 1)[k - 1] if len(seed) >= k else np.inf
-        far, d = np.zeros(len(here)), 0
-        for block, norm, part in zip(blocks, norms, parts):
-            far += norm[here] - 2 * (block[here] @ part) + part @ part
-            d += block.shape[1]
-            margin = (1 + EPSILON / d**0.5) ** 2 * d / dim if d < dim else 1.0
-            stay = far <= limit * margin + 1e-9
-            if d < dim and stay.sum() > 0.9 * len(here):
-                continue
-            here, far = here[stay], far[stay]
-        if len(far) > k:
-            here = here[far <= np.partition(far, k - 1)[k - 1] + 1e-9]
-        scores = (x[here] * q[i]).sum(axis=1)
-        best = np.lexsort((ids[here], -scores))[:k]
-        yield query, ids[here][best], scores[best]
+        here = best.x[first[i]:first[i + 1]]
+        if len(here):
+            scores = (x[here] * q[i]).sum(axis=1)
+            top = np.lexsort((ids[here], -scores))[:k]
+            yield query, ids[here][top], scores[top]
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:

@@ -67,3 +67,33 @@ def test_few_and_no_vectors(spark, corpus):
     assert n.search(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).count() == 0
     alone = n.search(spark.createDataFrame(few[:1], VECTORS), F.col("vec_id") % 20 == 0)
     assert alone.count() == 0
+
+
+def test_candidates_are_abandoned_early(spark, corpus):
+    """On clustered vectors most column products are saved; what is found is what
+    all of them give, and extra columns do not matter."""
+    rng = np.random.default_rng(7)
+    centers = rng.normal(size=(40, 96)) * 3
+    x = centers[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 96)) * 0.3
+    ids = rng.permutation(4000) * 7
+    largest = float(np.sqrt((x * x).sum(axis=1).max()))
+    lists = rng.integers(0, 8, 4000)
+    queries = np.flatnonzero(ids % 20 == 0)
+    probed = [rng.permutation(8) for _ in queries]
+    work = []
+    got = {q: found.tolist() for q, found, _ in n.scan_cell(ids, x, lists, ids[queries], x[queries], probed, largest, 20, work)}
+    assert work[0] < 0.5 * work[1]
+    hits = 0
+    for i in queries:
+        s = x @ x[i]
+        s[i] = -np.inf
+        hits += len(set(got[ids[i]]) & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
+    assert hits >= 0.98 * 20 * len(queries)
+
+
+def test_extra_columns(spark, corpus):
+    data = rows(300)
+    df = spark.createDataFrame(data, VECTORS)
+    plain = results(n.search(df, F.col("vec_id") % 20 == 0))
+    extra = df.selectExpr("*", "1 as h", "2 as cell", "3 as chunk", "'x' as query_id", "0.5 as score", "4 as dim", "5 as lists")
+    assert results(n.search(extra, F.col("vec_id") % 20 == 0)) == plain
