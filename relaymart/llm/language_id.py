@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_texts, remainder
+from relaymart.llm.common import map_texts, remainder, written
 
 DIM = 1024
 GRAM = 3
@@ -39,6 +39,8 @@ BLOCK = 200_000
 MIN_SCORE = 0.1
 #: Share of labelled texts that may lie below what their length's limit is taken from.
 LOWEST = 0.01
+#: Languages whose counts are broadcast; more are joined by shuffle.
+BROADCAST = 100_000
 _SCALE = 1 << 20
 
 
@@ -121,10 +123,11 @@ def bundles(texts: list[str | None]) -> np.ndarray:
 def _sampled(docs: DataFrame, learnable: Column, sample: int) -> DataFrame:
     """lang and text of about ``sample`` rows a language, by hash."""
     rows = docs.filter(learnable & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
+    few = counts.count() <= BROADCAST
     share = (F.least(F.lit(1.0), F.lit(float(sample)) / F.col("_n")) * 2.0**31).cast("long")
     chosen = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2**31)) < share
-    return rows.join(counts, "lang").filter(chosen).select("lang", "text")
+    return rows.join(F.broadcast(counts) if few else counts, "lang").filter(chosen).select("lang", "text")
 
 
 def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:

@@ -17,9 +17,9 @@ A query probes as many lists as gave ``TARGET`` recall for sampled queries among
 the sampled vectors (their neighbours lie farther, so more lists are needed than
 in the whole), and on until these hold k candidates.
 
-Lists are dealt to cells of at most about ``CELL`` vectors (small lists
-together, a large list over several cells by hash of the id), a cell's queries
-to chunks of about ``CHUNK``. A task thus sees a bounded group, however frequent
+Lists are dealt to cells of at most about ``CELL`` vectors, 16 cells at least as
+long as these hold a sixteenth of that (small lists together, a large list over
+several cells by hash of the id), a cell's queries to chunks of about ``CHUNK``. A task thus sees a bounded group, however frequent
 a vector or a region is, and emits k rows a query at most.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
@@ -119,7 +119,7 @@ class Nearest:
     def add(self, q: np.ndarray, x: np.ndarray, far: np.ndarray) -> None:
         self.waiting.append((q, x, far))
         self.size += len(q)
-        if self.size > max(len(self.limit) * self.k // 4, PAIRS // 16):
+        if self.size > max(len(self.limit) * self.k // 4, 1024):
             self.settle()
 
     def settle(self) -> None:
@@ -251,11 +251,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
     # at most MAX_LISTS rows; small lists share a cell, large ones have several
     in_list = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
+    full = min(CELL, max(CELL // 16, -(-n // 16)))
     first_cell, cells_of, cell, filled = {}, {}, 0, 0
     for one in sorted(in_list):
         size = in_list[one]
-        parts = -(-size // CELL)
-        if parts > 1 or filled + size > CELL:
+        parts = -(-size // full)
+        if parts > 1 or filled + size > full:
             cell, filled = cell + (filled > 0), 0
         first_cell[one], cells_of[one] = cell, parts
         if parts > 1:
