@@ -27,10 +27,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_text
+from relaymart.llm.common import map_text, written
 
 KINDS = ("assign", "access", "hex", "format")
 #: Labelled values a kind's automaton is learned from.
@@ -245,8 +245,17 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, FormatAutomaton]:
     order = F.xxhash64("value")
     slots = values.filter(F.length("value") <= SAMPLE_SYMBOLS // 8).groupBy(
         "kind", F.pmod(order, F.lit(sample)).alias("slot")).agg(F.min(F.struct(order.alias("h"), "value")).alias("one"))
-    read = F.sum(F.length("one.value")).over(Window.partitionBy("kind").orderBy("one.h", "one.value"))
-    chosen = slots.select("kind", "one.value", read.alias("read")).filter(F.col("read") <= SAMPLE_SYMBOLS)
+    slots = written(slots.select("kind", F.col("one.h").alias("h"), "one.value", F.length("one.value").alias("n")), "labelled")
+    last: dict[str, int] = {}  # the last hash a kind whose values SAMPLE_SYMBOLS hold
+    read: Counter[str] = Counter()
+    for r in slots.select("kind", "h", "n").orderBy("kind", "h", "n").collect():  # at most `sample` rows a kind
+        read[r.kind] += r.n
+        if read[r.kind] <= SAMPLE_SYMBOLS:
+            last[r.kind] = r.h
+    within = F.lit(False)
+    for kind, h in last.items():
+        within = within | (F.col("kind") == kind) & (F.col("h") <= h)
+    chosen = slots.filter(within).select("kind", "value")
     by_kind: dict[str, list[str]] = {}
     for r in chosen.collect():  # at most `sample` values and SAMPLE_SYMBOLS symbols a kind
         by_kind.setdefault(r.kind, []).append(r.value)

@@ -111,3 +111,39 @@ def test_redaction(corpus):
 
 def test_empty_table(corpus):
     assert s.report(corpus([])).count() == 0
+
+
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_formats_are_found_without_a_keyword(corpus):
+    """Credentials of four formats, learned where a keyword stands before them, are
+    found in other documents without one; tokens that only look alike are not."""
+    rng = random.Random(21)
+    of = lambda letters, k: "".join(rng.choices(letters, k=k))
+    words = lambda k: " ".join(rng.choices(["the", "onest", "thre", "orshin", "edhawh"], k=k))
+    formats = {"ghp": lambda: "ghp_" + of(ALNUM, 36), "live": lambda: "sk_live_" + of(ALNUM, 24),
+               "xoxb": lambda: f"xoxb-{of('0123456789', 12)}-{of('0123456789', 12)}-{of(ALNUM, 24)}",
+               "long": lambda: "AB" + of("0123456789ABCDEF", 46)}
+    alike = [lambda: f"{of('0123456789abcdef', 8)}-{of('0123456789abcdef', 4)}-4{of('0123456789abcdef', 3)}", lambda: of("0123456789", 16),
+             lambda: f"2024-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T10:{rng.randint(10, 59)}:00", lambda: f"order-{rng.randint(10**5, 10**6)}",
+             lambda: f"https://example.com/{words(1)}/{words(1)}-{rng.randint(1, 999)}", lambda: of("abcdefghij", 20) + "2",
+             lambda: f"/usr/lib/python3.{rng.randint(1, 13)}/site-packages/{words(1)}_{words(1)}.py"]
+    rows, planted = [], {}
+    for i in range(800):
+        key = rng.choice(["token=", "api_key: ", 'secret = "', "password: "])
+        rows.append(doc(i, f"{words(9)} {key}{rng.choice(list(formats.values()))()} {words(9)}"))
+    for i in range(400):
+        kind, value = list(formats)[i % 4], list(formats.values())[i % 4]()
+        head = words(40)
+        planted[1000 + i] = kind, f"format:{len(head) + 1}:{len(head) + 1 + len(value)}"
+        rows.append(doc(1000 + i, f"{head} {value} {words(40)}."))
+    rows += [doc(2000 + i, f"{words(30)} {alike[i % len(alike)]()} {words(9)}") for i in range(700)]
+    docs = corpus(rows)
+    automaton = s.learn(docs)["assign"]
+    assert len(automaton.next) > 10
+    spans = {r.doc_id: r.spans.split(",") for r in s.report(docs).collect()}
+    for kind in formats:
+        mine = [i for i, (k, _) in planted.items() if k == kind]
+        assert sum(planted[i][1] in spans[i] for i in mine) >= 0.9 * len(mine), kind
+    assert not any("format" in x for i in range(2000, 2700) for x in spans[i])
