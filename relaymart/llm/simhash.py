@@ -40,6 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relaymart.sinks.digests import digest
 from relaymart.llm.common import forget, map_text, written
 
 SHINGLE = 4
@@ -283,6 +284,7 @@ def components(edges: DataFrame) -> DataFrame:
     # each node points to smaller ones; both steps keep what is connected
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .filter("u <> v").distinct(), "edges")
+    was = digest(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
@@ -295,11 +297,11 @@ def components(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
             .alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
         small = written(small, "small-star")
-        changed = small.exceptAll(edges).limit(1).count() or edges.exceptAll(small).limit(1).count()
         forget(edges, least, large, least_large)
-        edges = small
-        if not changed:
+        edges, now = small, digest(small)  # distinct links: number and hash tell whether any changed
+        if now == was:
             break
+        was = now
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
