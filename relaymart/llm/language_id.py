@@ -36,7 +36,7 @@ UNKNOWN = "und"
 #: Texts bundled together, in letters.
 BLOCK = 200_000
 #: A text of any length whose best cosine is at least this is in a learned language.
-MIN_SCORE = 0.1
+MIN_SCORE = 0.08
 #: Share of labelled texts that may lie below what their length's limit is taken from.
 LOWEST = 0.01
 #: Languages whose counts are broadcast; more are joined by shuffle.
