@@ -168,18 +168,12 @@ def limits(docs: DataFrame, learnable: Column, names: list[str], prototypes: np.
             yield pd.DataFrame({"length": [_length(t) for t in frame["text"]], "score": scores})
 
     measured = _sampled(docs, learnable, sample).select("text").mapInPandas(measure, "length int, score double")
-    low = measured.filter("length >= 0").groupBy("length").agg(F.percentile_approx("score", LOWEST, 1000).alias("low"))
-    found = {r.length: r.low for r in low.collect()}  # a row a power of two
+    low = measured.filter("length >= 0").groupBy("length").agg(
+        F.percentile_approx("score", LOWEST, 1000).alias("low"), F.count(F.lit(1)).alias("n"))
     out = np.zeros(64)
-    if found:
-        first, last = min(found), max(found)
-        for k in range(64):
-            if k < first:
-                known = found[first] * 2 ** ((k - first) / 2)
-            else:
-                known = found[max(j for j in found if j <= min(k, last))]
-            out[k] = min(MIN_SCORE, known / 2)
-    return out
+    for r in low.collect():  # a row a power of two
+        out[r.length] = min(MIN_SCORE, r.low / 2 * min(1.0, r.n * LOWEST))
+    return np.maximum.accumulate(out)
 
 
 def identify(texts: list[str | None], names: list[str], prototypes: np.ndarray) -> tuple[list[str], list[float]]:
