@@ -78,6 +78,13 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(mod)
 
 
+def map_frames(df: DataFrame, key: str, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """``mapInPandas`` with the nullable long column ``key`` carried as text: pandas
+    makes floats of longs beside nulls, which are exact below 2^53 only."""
+    made = df.withColumn(key, F.col(key).cast("long").cast("string")).mapInPandas(fn, schema.replace(f"{key} long", f"{key} string"))
+    return made.withColumn(key, F.col(key).cast("long"))
+
+
 def map_texts(df: DataFrame, column: str, fn: Callable[[], Callable[[list], list]], added: str = "") -> DataFrame:
     """Stream record batches through ``fn()(texts)`` and keep all other columns.
 

@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import written
+from relaymart.llm.common import map_frames, written
 
 #: Differing pages that must agree on a text for it to be part of the template.
 AGREE = 5
@@ -237,8 +237,14 @@ class Element:
         return "".join(out)
 
 
+#: A numeric reference of many digits: eight without leading zeros are beyond all code points.
+_LONG_NUMBER = re.compile(r"&#(?=[0-9]{9})0*([0-9]{1,8})[0-9]*")
+
+
 def _clean(text: str) -> str:
-    return " ".join(entities.unescape(text).split())
+    if "&" in text:
+        text = entities.unescape(_LONG_NUMBER.sub(r"&#\1", text))
+    return " ".join(text.split())
 
 
 def _walk(root: Element) -> list[Element]:
@@ -823,18 +829,17 @@ def extract(pages: DataFrame) -> DataFrame:
                 else:
                     kept.append(frozenset())
                     layouts.append(None)
-            frame["page_id"] = frame["page_id"].astype("Int64")
             yield frame.assign(layout=pd.array(layouts, "Int64"), kept=[sorted(k) for k in kept])
 
-    described = plain.mapInPandas(
-        describe, "page_id long, url string, html string, host string, layout long, kept array<int>")
+    described = map_frames(
+        plain, "page_id", describe,
+        "page_id long, url string, html string, host string, layout long, kept array<int>")
     joined = described.join(wrappers, ["host", "layout"], "left").select("page_id", "url", "html", "kept", "path", "constants")
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = [main_text(h, [] if p is None else list(p), frozenset(() if c is None else c), frozenset(k))
                      for h, p, c, k in zip(frame["html"], frame["path"], frame["constants"], frame["kept"])]
-            frame["page_id"] = frame["page_id"].astype("Int64")
             yield frame[["page_id", "url"]].assign(text=texts, n_chars=list(map(len, texts)))
 
-    return joined.mapInPandas(read, "page_id long, url string, text string, n_chars long")
+    return map_frames(joined, "page_id", read, "page_id long, url string, text string, n_chars long")

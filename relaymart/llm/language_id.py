@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_texts, remainder, written
+from relaymart.llm.common import map_frames, map_texts, remainder, written
 
 DIM = 1024
 GRAM = 3
@@ -196,11 +196,10 @@ def predict(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             langs, scores = identify(list(frame.pop("text")), *shared.value)
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame.assign(lang_pred=langs, score=scores)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text").mapInPandas(
-        run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_frames(docs.select("doc_id", held_out.alias("held_out"), "text"), "doc_id", run,
+                      "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def in_known_language(docs: DataFrame) -> DataFrame:

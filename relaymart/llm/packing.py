@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import tokenizer_path, written
+from relaymart.llm.common import map_frames, tokenizer_path, written
 
 WINDOW = 4096
 END_ID = 2
@@ -117,12 +117,11 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
                     crc = zlib.crc32(ids[4 * start:4 * (start + length)])
                     rows.append((doc_id, start, length, crc, total, task, made[length]))
                     made[length] += 1
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long")
+    return map_frames(
+        docs.select("doc_id", "text"), "doc_id", cut,
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long")
 
 
 class OpenWindows:
@@ -226,8 +225,9 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Data
             frame["offset"] = columns["offset0"][run] + k % each * lengths
             yield frame[OUTPUT]
 
-    return ranked.select(*OUTPUT[:5], "rank").mapInPandas(
-        place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_frames(
+        ranked.select(*OUTPUT[:5], "rank"), "doc_id", place,
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 OUTPUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -98,7 +98,7 @@ def _emails(text: str) -> Iterator[Span]:
 
 
 def _address(parts: list[str]) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in parts))
 
 
 def base_spans(text: str | None) -> list[Span]:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import remainder, words, written
+from relaymart.llm.common import map_frames, remainder, words, written
 
 BUCKETS = 1 << 15
 BINS = 12
@@ -199,9 +199,7 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             scores = [shared.value.score(t, n) for t, n in zip(frame.pop("text"), frame.pop("n_chars"))]
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame.assign(score=scores, predicted=[int(s >= 0.5) for s in scores])
 
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text", F.col("n_chars").cast("double"),
-    ).mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text", F.col("n_chars").cast("double"))
+    return map_frames(rows, "doc_id", run, "doc_id long, held_out boolean, score double, predicted int")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relaymart.sinks.digests import digest
-from relaymart.llm.common import forget, map_text, written
+from relaymart.llm.common import forget, map_frames, map_text, written
 
 SHINGLE = 4
 SEED = 42
@@ -79,9 +79,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             fps = np.array([fingerprint(t, shingle) for t in frame.pop("text")], np.uint64)
-            yield frame.assign(doc_id=frame["doc_id"].astype("Int64"), fp=fps.view(np.int64))
+            yield frame.assign(fp=fps.view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
+    return map_frames(docs.select("doc_id", "text"), "doc_id", run, "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import tokenizer_path, written
+from relaymart.llm.common import map_frames, tokenizer_path, written
 
 #: Irregular pairs whose counts every task holds.
 HOT = 1 << 18
@@ -322,7 +322,7 @@ def report(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
 
     head = "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, "
     names = [c.split()[0] for c in head.strip(", ").split(", ")]
-    weighed = made.mapInPandas(weigh, head + "n_best long, count_sum long, rare array<long>, rare_times array<long>")
+    weighed = map_frames(made, "doc_id", weigh, head + "n_best long, count_sum long, rare array<long>, rare_times array<long>")
     if limit > 0:  # pairs beyond the hot ones
         weighed = written(weighed, "weighed")
         top = np.flatnonzero(best)

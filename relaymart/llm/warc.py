@@ -154,7 +154,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, segment: int = SEGMENT,
     again = written(again.select("sha1", "last"), "repeated-payloads")
     # a plain exchange on either side: Spark splits the partition of a hot payload
     rows = plain.join(again, "sha1", "left").select(
-        "page_id", "url", "payload", "last",
+        F.col("page_id").cast("string").alias("page_id"), "url", "payload", F.col("last").cast("string").alias("last"),
         (F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
          & (F.length("payload") >= min_bytes)).alias("revisit"))
 
@@ -176,7 +176,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, segment: int = SEGMENT,
         if parts:
             yield pd.DataFrame({"archive": [_END.join(parts)]})
 
-    archives = rows.withColumn("page_id", F.col("page_id").cast("string")).mapInPandas(build, "archive binary")
+    archives = rows.mapInPandas(build, "archive binary")
     (archives.select(F.col("archive").cast("string")).write.option("lineSep", _END.decode())
      .option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
     return path
@@ -184,6 +184,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, segment: int = SEGMENT,
 
 _PARSED = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
            "origin string, copy string, segment int, total long, block binary")
+_NUMBERS = frozenset(f.split()[0] for f in _PARSED.split(", ") if f.endswith((" long", " int")))
 RESULT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -215,8 +216,8 @@ def _parse(contents: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             int(fields["x-payload-length"]), fields["warc-payload-digest"], fields["warc-type"],
                             None) if first else (None,) * 5
                     rows.append((*head, origin, fields["x-copy"], segment, int(total) if total else None, block))
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to", "segment", "total")})
+            columns = dict(zip(names, zip(*rows) if rows else [()] * len(names)))
+            yield pd.DataFrame({c: pd.Series(list(x), dtype="Int64" if c in _NUMBERS else object) for c, x in columns.items()})
 
 
 def _reassemble(segments: pd.DataFrame) -> pd.DataFrame:
@@ -241,6 +242,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     names = [f.split()[0] for f in RESULT.split(", ")]
     whole = parsed.filter(F.col("segment").isNull()).select(*names)
     parts = parsed.filter(F.col("segment").isNotNull())
+    # ids as text: pandas makes floats of longs beside nulls
+    parts = parts.withColumn("page_id", F.col("page_id").cast("string"))
     return whole.unionByName(parts.groupBy("origin", "copy").applyInPandas(_reassemble, RESULT))
 
 

@@ -249,3 +249,9 @@ def test_longest_common_subsequence(monkeypatch, traced):
         got = hw._subsequence(a, b)
         assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
         assert all(x < u and y < v for (x, y), (u, v) in zip(got, got[1:]))
+
+
+def test_numeric_references_of_any_length():
+    zeros, nines = "0" * 6000, "9" * 6000
+    page = f"<body><p>a &#{zeros}65; b &#{nines}; c &#{zeros}; d &#x{zeros}42; e &#65 &#000000066;</p></body>"
+    assert hw.main_text(page, [], frozenset()) == "a A b \ufffd c \ufffd d B e A B"

@@ -40,6 +40,12 @@ def test_base_spans_against_brute_force():
         assert pii.base_spans(text) == brute(text)
 
 
+def test_addresses_of_many_zeros():
+    text = f"at {'0' * 6000}10.1.2.{'0' * 6000} and 1.2.3.{'0' * 6000}256"
+    assert [s[0] for s in pii.base_spans(text)] == ["ip"]
+    pii.Tokens.none().add(text)
+
+
 def test_long_runs_take_linear_time():
     for text in ["a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 150_000, "@" * 300_000, "a@" * 150_000, "+" + "1 " * 150_000,
                  "1 " * 20_000]:
