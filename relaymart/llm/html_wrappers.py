@@ -36,12 +36,13 @@ irregular lists (a bit an element and element); an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import html as entities
 import pickle
 import re
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -107,12 +108,12 @@ def _stream(html: str) -> Iterator[tuple[str, str, str]]:
         if m.start() > at:
             yield "text", html[at:m.start()], ""
         at = m.end()
-        name = m["name"] or m["name2"]
-        if name:
-            if m["end"] or m["end2"]:
-                yield "close", name.lower(), ""
+        _, end, name, rest, end2, name2, rest2 = m.groups()
+        if name or name2:
+            if end or end2:
+                yield "close", (name or name2).lower(), ""
             else:
-                yield "open", name.lower(), m["rest"] or m["rest2"] or ""
+                yield "open", (name or name2).lower(), rest or rest2 or ""
     if at < len(html):
         yield "text", html[at:], ""
 
@@ -132,6 +133,11 @@ def _described(name: str, attributes: str, in_article: bool) -> tuple[str, bool,
     whether its class or id says that it should be."""
     if not attributes or name in ("html", "body"):
         return name, name in _DROPPED or (name == "header" and not in_article), False
+    return (_by_attributes if len(attributes) <= 256 else _by_attributes.__wrapped__)(name, attributes, in_article)
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def _by_attributes(name: str, attributes: str, in_article: bool) -> tuple[str, bool, bool]:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     classes = found.get("class", "")
     marks = _marks(classes, found.get("id", ""))
@@ -150,7 +156,7 @@ class Reader:
         self.names: list[str] = []
         self.path: list[str] = []
         self.drops: list[bool] = []
-        self.opened: Counter[str] = Counter()
+        self.opened: defaultdict[str, int] = defaultdict(int)
         self.kept = kept
         self.number = 0
         self.own = (False, False)  # of the element opened last: left out, marked
@@ -167,8 +173,9 @@ class Reader:
         self.void(name)
         if name == "body":
             self.close("head")
-        closes = _CLOSES.get(name) or (_PARAGRAPH if name not in _INLINE else None)
-        if closes and any([self.opened[c] for c in closes]):
+        closes = _CLOSES.get(name)
+        if any([self.opened[c] for c in closes]) if closes else name not in _INLINE and self.opened["p"]:
+            closes = closes or _PARAGRAPH
             for k in range(len(self.names) - 1, -1, -1):
                 if self.names[k] in closes:
                     self._cut(k)
@@ -201,7 +208,7 @@ class Reader:
         return bool(self.drops) and self.drops[-1]
 
 
-@dataclass(eq=False)
+@dataclass(eq=False, slots=True)
 class Element:
     """An element of a wrapper; a text has the signature ""."""
 
