@@ -90,3 +90,16 @@ def test_json_columns_hold_json(spark):
     rows = {r.column_name: (r.n_rows, r.n_invalid) for r in json_violations(df, "t", ["j", "k"]).collect()}
     assert rows == {"j": (25, len(bad)), "k": (25, 0)}
     assert json_violations(df.filter("false"), "t", ["j"]).first().n_invalid == 0
+
+
+def test_relationships_count_child_rows_before_the_join(spark):
+    """Child rows are cut down to their keys first: no join shuffles or sorts them."""
+    models = {
+        "c": spark.range(1000).selectExpr("if(id % 10 = 9, null, id % 10) as k"),
+        "p": spark.range(20).selectExpr("id % 4 as k").union(spark.sql("select cast(null as long)")),
+    }
+    report = Q.run_suite(models, [Q.Check("c", "k", "relationships", parent=("p", "k"))])
+    assert [r.failures for r in report.collect()] == [500]  # keys 4 to 8
+    plan = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [b for a, b in zip(plan, plan[1:]) if "Join Left" in a]
+    assert len(joins) == 2 and any("Aggregate [k#" in b for b in joins), "\n".join(plan)
