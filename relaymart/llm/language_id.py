@@ -6,9 +6,8 @@ rolled furthest, bound by multiplication; a text is the bundle (sum) of its
 n-grams, a language the bundle of its texts at unit length. A text's language
 is the prototype of largest cosine, which is also the score (at least 0).
 
-Prototypes are learned from at most about ``SAMPLE`` texts a language, chosen
-by hash; their sums are of integers, so that they do not depend on the order
-of tasks. Every document is scored over its whole text; a text longer than a
+Prototypes and limits are learned from every labelled text; the prototypes'
+sums are of integers, so that they do not depend on the order of tasks. Every document is scored over its whole text; a text longer than a
 block is bundled block by block.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
@@ -27,11 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaymart.llm.common import map_frames, map_texts, remainder, written
+from relaymart.llm.common import map_frames, map_texts, remainder
 
 DIM = 1024
 GRAM = 3
-SAMPLE = 2000
 UNKNOWN = "und"
 #: Texts bundled together, in letters.
 BLOCK = 200_000
@@ -39,8 +37,6 @@ BLOCK = 200_000
 MIN_SCORE = 0.08
 #: Share of labelled texts that may lie below what their length's limit is taken from.
 LOWEST = 0.01
-#: Languages whose counts are broadcast; more are joined by shuffle.
-BROADCAST = 100_000
 _SCALE = 1 << 20
 
 
@@ -120,18 +116,13 @@ def bundles(texts: list[str | None]) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def _sampled(docs: DataFrame, learnable: Column, sample: int) -> DataFrame:
-    """lang and text of about ``sample`` rows a language, by hash."""
-    rows = docs.filter(learnable & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
-    few = counts.count() <= BROADCAST
-    share = (F.least(F.lit(1.0), F.lit(float(sample)) / F.col("_n")) * 2.0**31).cast("long")
-    chosen = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2**31)) < share
-    return rows.join(F.broadcast(counts) if few else counts, "lang").filter(chosen).select("lang", "text")
+def _labelled(docs: DataFrame, learnable: Column) -> DataFrame:
+    """lang and text of every row to learn from."""
+    return docs.filter(learnable & F.col("lang").isNotNull()).select("lang", "text")
 
 
-def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages by name and their prototypes (unit rows), from the rows of
+def learn(docs: DataFrame, learnable: Column) -> tuple[list[str], np.ndarray]:
+    """Languages by name and their prototypes (unit rows), from all rows of
     which ``learnable`` is true and lang is not null."""
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,7 +133,7 @@ def learn(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> tuple[lis
                 total[lang] = total.get(lang, 0) + whole
         yield pd.DataFrame([(lang, v.tolist()) for lang, v in total.items()], columns=["lang", "v"])
 
-    parts = _sampled(docs, learnable, sample).mapInPandas(sums, "lang string, v array<long>")
+    parts = _labelled(docs, learnable).mapInPandas(sums, "lang string, v array<long>")
     summed = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     by_language = summed.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
     rows = by_language.select("lang", F.transform("v", lambda s: s["x"]).alias("v")).orderBy("lang").collect()  # a row a language
@@ -158,8 +149,9 @@ def _length(text: str | None) -> int:
     return -1 if keys is None else len(keys).bit_length() - 1
 
 
-def limits(docs: DataFrame, learnable: Column, names: list[str], prototypes: np.ndarray, sample: int = SAMPLE) -> np.ndarray:
-    """The least cosine of a text in a learned language, by :func:`_length`."""
+def limits(docs: DataFrame, learnable: Column, names: list[str], prototypes: np.ndarray) -> np.ndarray:
+    """The least cosine of a text in a learned language, by :func:`_length`, from
+    the cosines of all labelled texts."""
     shared = docs.sparkSession.sparkContext.broadcast((names, prototypes))
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +159,7 @@ def limits(docs: DataFrame, learnable: Column, names: list[str], prototypes: np.
             _, scores = identify(list(frame["text"]), *shared.value)
             yield pd.DataFrame({"length": [_length(t) for t in frame["text"]], "score": scores})
 
-    measured = _sampled(docs, learnable, sample).select("text").mapInPandas(measure, "length int, score double")
+    measured = _labelled(docs, learnable).select("text").mapInPandas(measure, "length int, score double")
     low = measured.filter("length >= 0").groupBy("length").agg(
         F.percentile_approx("score", LOWEST, 1000).alias("low"), F.count(F.lit(1)).alias("n"))
     out = np.zeros(64)

@@ -111,3 +111,21 @@ def test_nothing_to_learn_from(corpus):
     assert {r.lang_pred for r in li.predict(corpus([doc(1, "words", None)])).collect()} == {"und"}
     assert li.predict(corpus([])).count() == 0
     assert li.in_known_language(corpus([doc(1, "words", None)])).count() == 1
+
+
+def test_every_labelled_text_is_learned_from(corpus, monkeypatch):
+    """Prototypes and limits by definition, from more texts than a sample would hold."""
+    monkeypatch.setattr(li, "MIN_SCORE", 1.0)
+    rng = random.Random(13)
+    syllables = SYLLABLES["aa"]
+    texts = ["".join(rng.choices(syllables, k=2)) + " " + "".join(rng.choices(syllables, k=8)) for _ in range(4000)]
+    texts += [a + b for a in syllables for b in syllables] * 3  # 48 short ones
+    docs = corpus([doc(i, t, "aa") for i, t in enumerate(texts)]).repartition(6)
+    names, prototypes = li.learn(docs, F.lit(True))
+    vectors = li.bundles(texts)
+    whole = vectors.astype(float).sum(axis=0)
+    assert names == ["aa"] and np.allclose(prototypes[0], whole / np.linalg.norm(whole), atol=1e-6)
+    least = li.limits(docs, F.lit(True), names, prototypes)
+    short = (vectors @ prototypes.T)[4000:]
+    assert {li._length(t) for t in texts} == {2, 4} and li._length(texts[-1]) == 2
+    assert abs(least[2] - float(short.min()) / 2 * 48 * li.LOWEST) < 1e-5
